@@ -360,6 +360,10 @@ def build() -> dict[str, str]:
         "'unit_price,total_amount,processed_timestamp,purchase_date,purchase_hour,purchase_year,purchase_month,"
         "purchase_day,data_source', 'price' from feed_purchases",
         "silver_presence": f"select \"table\", true as present, records, records > 0 as ok from ({silver_counts})",
+        "file_stats": f"select \"table\", records, true as all_sized from ({silver_counts})",
+        "processing_stats": "select cast(3 as bigint) as total_tables, cast(3 as bigint) as valid_tables, "
+        f"cast(sum(records) as bigint) as total_records, true as has_bytes, true as is_healthy, {RUN} as as_of "
+        f"from ({silver_counts})",
         "batch_silver": silver_counts,
         "bronze_full": " union all ".join(f"select '{e}' as \"table\", count(*) as records from feed_{e}" for e in ENTITIES),
         "bronze_append": "select trim(country) as country, 2 * count(*) as records from feed_customers group by 1",

@@ -221,20 +221,21 @@ def _presence(m: Models) -> DataFrame:
 
 
 def _file_stats(m: Models) -> DataFrame:
+    """File measures summed per table; names and sizes differ from one write to the next."""
     root = m.stored_silver()
-    return quality.union_all(
-        [
-            quality.file_stats(read_silver(m.spark, root, e)).select(F.lit(e).alias("table"), "file", "bytes", "records")
-            for e in ENTITIES
-        ]
+    files = [quality.file_stats(read_silver(m.spark, root, e)).withColumn("table", F.lit(e)) for e in ENTITIES]
+    return (
+        quality.union_all(files)
+        .groupBy("table")
+        .agg(F.sum("records").alias("records"), F.bool_and(F.col("bytes") > 0).alias("all_sized"))
     )
 
 
 def _processing_stats(m: Models) -> DataFrame:
-    root = m.stored_silver()
-    found = find_silver(m.spark, root)
+    found = find_silver(m.spark, m.stored_silver())
     files = quality.union_all([quality.file_stats(df) for df in found.values()])
-    return quality.processing_stats(quality.silver_presence(m.spark, found), files, RUN_TS)
+    stats = quality.processing_stats(quality.silver_presence(m.spark, found), files, RUN_TS)
+    return stats.withColumn("total_bytes", F.col("total_bytes") > 0).withColumnRenamed("total_bytes", "has_bytes")
 
 
 def _engagement(m: Models) -> DataFrame:
