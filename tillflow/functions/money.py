@@ -38,3 +38,29 @@ def revenue_sum(quantity: Column, price: Column) -> Column:
     amount = quantity * price
     cents = F.try_multiply(quantity.cast("bigint"), whole_cents(price))
     return cents_total(cents, amount, F.count(cents), F.count(amount))
+
+
+def _near_cents(amount: Column) -> Column:
+    """The amount in cents as a double, whole or not."""
+    return F.rint(amount * 100)
+
+
+def _exact(cents: Column) -> Column:
+    return F.abs(cents) < F.lit(float(2**53))
+
+
+def rounded(amount: Column) -> Column:
+    """``round(amount, 2)``, half up on the decimal text.
+
+    Most amounts have two decimals already; only the others need the decimal
+    arithmetic behind ``round``.
+    """
+    cents = _near_cents(amount)
+    return F.when((cents / 100.0 == amount) & _exact(cents), amount).otherwise(F.round(amount, 2))
+
+
+def line_total(quantity: Column, price: Column) -> Column:
+    """``round(quantity * price, 2)``, by way of whole cents where the price has them."""
+    cents = _near_cents(price)
+    total = quantity * cents
+    return F.when((cents / 100.0 == price) & _exact(total), total / 100.0).otherwise(F.round(quantity * price, 2))

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.functions.money import line_total, rounded
 from tillflow.functions.times import day_parts, day_text, parsed_time, stamp
 from tillflow.schemas import SILVER_COLUMNS
 
@@ -102,8 +103,8 @@ def _derived(entity: str) -> dict[str, Column]:
     if entity == "purchases":
         time = F.col("timestamp")
         return {
-            "unit_price": F.round("price", 2),
-            "total_amount": F.round(F.col("quantity") * F.col("price"), 2),
+            "unit_price": rounded(F.col("price")),
+            "total_amount": line_total(F.col("quantity"), F.col("price")),
             "purchase_date": day_text(time),
             "purchase_hour": F.hour(time),
             **day_parts(time, "purchase"),

@@ -61,49 +61,43 @@ def fct_purchases(purchases: DataFrame, customers: DataFrame) -> DataFrame:
 def daily_sales_summary(facts: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
     """Orders, revenue and distinct buyers and products per day.
 
-    Each purchase counts once under its customer and once under its product.
-    The first grouping, by day and that value, shrinks a day's rows before the
-    shuffle and spreads a busy day over all its values; the second one only
-    counts what is left.  Four distinct counts in one aggregate would copy each
-    purchase five times instead.
+    Purchases are grouped by day and customer, and apart from that by day and
+    product, before anything is counted per day.  That shrinks a day's rows
+    ahead of the shuffle and spreads a busy day over all its customers.  Four
+    distinct counts in one aggregate would copy each purchase five times.
     """
     amount = F.col("total_amount")
-    marks = facts.select(
-        *DAY, "quantity", "total_amount", whole_cents(amount).alias("cents"), "customer_segment",
-        F.explode(
-            F.array(
-                F.struct(F.lit("customer").alias("kind"), F.col("customer_id").alias("value")),
-                F.struct(F.lit("product").alias("kind"), F.col("product_id").cast("string").alias("value")),
-            )
-        ).alias("mark"),
-    )
-    per_value = marks.groupBy(*DAY, "mark.kind", "mark.value").agg(
+    cents = whole_cents(amount)
+    per_customer = facts.groupBy(*DAY, "customer_id").agg(
         F.count("*").alias("orders"),
         F.sum("quantity").alias("quantity"),
-        F.try_sum("cents").alias("cents"),
+        F.try_sum(cents).alias("cents"),
         # A sum beyond the integer range counts no rows, so the day falls back to doubles.
-        F.coalesce(F.when(F.try_sum("cents").isNotNull(), F.count("cents")), F.lit(0)).alias("cent_rows"),
-        F.sum("total_amount").alias("amount"),
-        F.count("total_amount").alias("amount_rows"),
+        F.coalesce(F.when(F.try_sum(cents).isNotNull(), F.count(cents)), F.lit(0)).alias("cent_rows"),
+        F.sum(amount).alias("amount"),
+        F.count(amount).alias("amount_rows"),
         F.bool_or(F.col("customer_segment") == ONE_TIME).alias("one_time"),
         F.bool_or(F.col("customer_segment").isin(REGULAR, FREQUENT)).alias("returning"),
     )
-    buyer = F.col("kind") == "customer"
-
-    def of_buyers(name: str):
-        return F.when(buyer, F.col(name))
-
-    revenue = cents_total(
-        of_buyers("cents"), of_buyers("amount"),
-        F.sum(of_buyers("cent_rows")), F.sum(of_buyers("amount_rows")),
-    )
-    return per_value.groupBy(*DAY).agg(
-        F.sum(of_buyers("orders")).alias("total_orders"),
-        F.count(of_buyers("value")).alias("unique_customers"),
-        F.count(F.when(~buyer, F.col("value"))).alias("unique_products"),
-        F.sum(of_buyers("quantity")).alias("total_quantity"),
+    revenue = cents_total(F.col("cents"), F.col("amount"), F.sum("cent_rows"), F.sum("amount_rows"))
+    customers = per_customer.groupBy(*DAY).agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_id").alias("unique_customers"),
+        F.sum("quantity").alias("total_quantity"),
         revenue.alias("total_revenue"),
-        F.try_divide(revenue, F.sum(of_buyers("amount_rows"))).alias("avg_order_value"),
-        F.count(F.when(buyer & F.col("one_time"), F.col("value"))).alias("new_customers"),
-        F.count(F.when(buyer & F.col("returning"), F.col("value"))).alias("returning_customers"),
-    ).withColumn("loaded_at", stamp(run_ts))
+        F.try_divide(revenue, F.sum("amount_rows")).alias("avg_order_value"),
+        F.count(F.when(F.col("one_time"), F.col("customer_id"))).alias("new_customers"),
+        F.count(F.when(F.col("returning"), F.col("customer_id"))).alias("returning_customers"),
+    )
+    products = (
+        facts.select(*DAY, "product_id").distinct().groupBy(*DAY).agg(F.count("product_id").alias("unique_products"))
+    )
+    # One row per day on each side: a union and a grouping join them, null days too.
+    both = customers.unionByName(products, allowMissingColumns=True)
+    measures = [
+        "total_orders", "unique_customers", "unique_products", "total_quantity", "total_revenue",
+        "avg_order_value", "new_customers", "returning_customers",
+    ]
+    return (
+        both.groupBy(*DAY).agg(*[F.max(m).alias(m) for m in measures]).withColumn("loaded_at", stamp(run_ts))
+    )

@@ -59,21 +59,24 @@ def run_batch_silver(
     return quality.row_counts({entity: read_silver(spark, root, entity, fmt) for entity in ENTITIES})
 
 
-def staging_models(spark: SparkSession, silver_root: str, run_ts: RunTime = None, fmt: str = "parquet") -> dict[str, DataFrame]:
+def staging_models(
+    spark: SparkSession, silver_root: str, run_ts: RunTime = None, fmt: str = "parquet", entities: tuple[str, ...] = ENTITIES
+) -> dict[str, DataFrame]:
     return {
-        f"stg_{entity}": STAGING[entity](read_silver(spark, silver_root, entity, fmt), run_ts) for entity in ENTITIES
+        f"stg_{entity}": STAGING[entity](read_silver(spark, silver_root, entity, fmt), run_ts) for entity in entities
     }
 
 
 def run_gold(
-    spark: SparkSession, silver_root: str, gold_root: str, run_ts: RunTime = None, fmt: str = "parquet"
+    spark: SparkSession, silver_root: str, gold_root: str, run_ts: RunTime = None, fmt: str = "parquet",
+    entities: tuple[str, ...] = ENTITIES,
 ) -> dict[str, DataFrame]:
     """Silver to gold in order of dependence.
 
     Each model is written and read back before the next one uses it, so no
     model is computed twice and a lost executor costs one model's work at most.
     """
-    models = staging_models(spark, silver_root, run_ts, fmt)
+    models = staging_models(spark, silver_root, run_ts, fmt, entities)
 
     def store(name: str, df: DataFrame) -> DataFrame:
         write_table(df, f"{gold_root}/{name}")

@@ -59,6 +59,24 @@ class Models:
     def stg(self, entity: str) -> DataFrame:
         return STAGING[entity](self.silver(entity), RUN_TS)
 
+    def stored(self, name: str) -> str:
+        return scratch_path(self.spark, name)
+
+    def stored_silver(self, fmt: str = "parquet", entities: tuple[str, ...] = ENTITIES) -> str:
+        root = self.stored("silver")
+        for entity in entities:
+            write_table(self.silver(entity), f"{root}/{entity}", fmt)
+        return root
+
+    def stored_stg(self, entity: str) -> DataFrame:
+        """Staging over a written silver table, for plans that go through it more than once."""
+        silver = read_silver(self.spark, self.stored_silver(entities=(entity,)), entity)
+        return STAGING[entity](silver, RUN_TS)
+
+    def stored_gold(self, entities: tuple[str, ...] = ("purchases", "customers")) -> dict[str, DataFrame]:
+        root = self.stored_silver(entities=entities)
+        return jobs.run_gold(self.spark, root, self.stored("gold"), RUN_TS, entities=entities)
+
     def rollup(self) -> DataFrame:
         return gold.customer_rollup(self.stg("purchases"))
 
@@ -66,23 +84,12 @@ class Models:
         return gold.dim_customers(self.stg("customers"), self.stg("purchases"))
 
     def fct(self) -> DataFrame:
-        return gold.fct_purchases(self.stg("purchases"), self.dim())
+        purchases = self.stored_stg("purchases")
+        return gold.fct_purchases(purchases, gold.dim_customers(self.stg("customers"), purchases))
 
     def daily(self) -> DataFrame:
         return gold.daily_sales_summary(self.fct(), RUN_TS)
 
-    def stored(self, name: str) -> str:
-        return scratch_path(self.spark, name)
-
-    def stored_silver(self, fmt: str = "parquet") -> str:
-        root = self.stored("silver")
-        for entity in ENTITIES:
-            write_table(self.silver(entity), f"{root}/{entity}", fmt)
-        return root
-
-    def stored_gold(self) -> dict[str, DataFrame]:
-        return jobs.run_gold(self.spark, self.stored_silver(), self.stored("gold"), RUN_TS)
-
 
 def _over(build: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Models(spark, sf_dir))
@@ -169,7 +176,7 @@ def _batch_silver(m: Models) -> DataFrame:
 
 
 def _silver_csv(m: Models) -> DataFrame:
-    return STAGING["customers"](read_silver(m.spark, m.stored_silver("csv"), "customers", "csv"), RUN_TS)
+    return STAGING["customers"](read_silver(m.spark, m.stored_silver("csv", ("customers",)), "customers", "csv"), RUN_TS)
 
 
 def _gold_job(m: Models) -> DataFrame:
@@ -177,8 +184,9 @@ def _gold_job(m: Models) -> DataFrame:
 
 
 def _exported(m: Models) -> DataFrame:
-    folder = export_gold({"daily_sales_summary": m.daily()}, m.stored("export"), "run")
-    schema = gold.daily_sales_summary(m.fct(), RUN_TS).schema
+    tables = m.stored_gold()
+    folder = export_gold({name: tables[name] for name in GOLD_TABLES}, m.stored("export"), "run")
+    schema = tables["daily_sales_summary"].schema
     return m.spark.read.schema(schema).option("header", True).csv(f"{folder}/daily_sales_summary")
 
 
@@ -209,11 +217,22 @@ def _moved(m: Models) -> DataFrame:
 
 
 def _checks(m: Models) -> DataFrame:
-    return quality.run_checks(m.stored_gold())
+    return jobs.run_checks(m.stored_gold())
 
 
 def _all_counts(m: Models) -> DataFrame:
-    return quality.row_counts(m.stored_gold())
+    return quality.row_counts(m.stored_gold(ENTITIES))
+
+
+def _orphans(m: Models) -> DataFrame:
+    tables = m.stored_gold()
+    orphans = quality.orphaned_purchases(tables["fct_purchases"], tables["dim_customers"])
+    return orphans.select("order_id", "customer_id", "total_amount")
+
+
+def _reconciled(m: Models) -> DataFrame:
+    tables = m.stored_gold()
+    return quality.revenue_reconciliation(tables["daily_sales_summary"], tables["fct_purchases"])
 
 
 def _presence(m: Models) -> DataFrame:
@@ -293,9 +312,9 @@ def build() -> dict[str, Query]:
         "lookup_event_type": lambda m: reports.lookup(m.silver("clickstream"), event_type="ADD_TO_CART"),
         "preview": lambda m: reports.preview(m.silver("purchases")),
         "sliced_join": _sliced,
-        "orphaned_purchases": lambda m: quality.orphaned_purchases(m.fct(), m.dim()).select("order_id", "customer_id", "total_amount"),
+        "orphaned_purchases": _orphans,
         "orphan_count": lambda m: quality.orphan_count(m.stg("purchases"), m.stg("customers")),
-        "revenue_reconciliation": lambda m: quality.revenue_reconciliation(m.daily(), m.fct()),
+        "revenue_reconciliation": _reconciled,
         "date_consistency": lambda m: quality.date_consistency(m.stg("purchases")),
         "check_not_null": lambda m: quality.check_not_null(m.raw("purchases"), "order_id", "timestamp", "quantity", table="purchases"),
         "check_unique": lambda m: quality.check_unique(m.raw("purchases"), "order_id", "purchases"),

@@ -19,6 +19,18 @@ def given(spark: SparkSession, sf_dir: str, *names: str) -> Tables:
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores over all cores.
+
+    The given facts are one file of one row group, which one task has to read.
+    A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -31,7 +43,7 @@ def clickstream_from(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "error", "scroll")
         .otherwise(F.col("event_type"))
     )
-    return events.select(
+    return spread(events, "event_id").select(
         F.when(_every("event_id", 71), " ").otherwise(F.col("user_id").cast("string")).alias("user_id"),
         F.when(_every("event_id", 59), "bad-ts").otherwise(F.col("ts").cast("string")).alias("timestamp"),
         F.concat(F.lit(" https://shop.example.com/p/"), k, F.lit(" ")).alias("page_url"),
@@ -43,8 +55,9 @@ def clickstream_from(events: DataFrame) -> DataFrame:
 
 
 def purchases_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    sold = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(
-        part, lineitem.l_partkey == part.p_partkey
+    lines = spread(lineitem, "l_orderkey", "l_linenumber", "l_partkey")
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part, F.col("l_partkey") == F.col("p_partkey")
     )
     few = (F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 12)
     buyer = (
