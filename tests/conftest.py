@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tillflow.session import SETTINGS  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    builder = SparkSession.builder.master("local[8]").appName("tests")
+    for key, value in {**SETTINGS, "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"}.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path)

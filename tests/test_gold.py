@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tillflow.operators import gold, keyed, reports
+from tillflow.operators.skew import hot_keys, sliced_join
+from tillflow.operators.staging import register_staging, stg_customers, stg_purchases
+from tillflow.operators.cleaning import silver
+from tillflow.schemas import WIRE
+
+RUN = "2026-01-01 00:00:00"
+
+
+def customers(spark, *ids):
+    rows = [(i, f"name {i}", f"{i}@x.com", "fr", "2020-01-01") for i in ids]
+    return stg_customers(silver("customers", spark.createDataFrame(rows, WIRE["customers"]), RUN), RUN)
+
+
+def purchases(spark, *rows):
+    return stg_purchases(silver("purchases", spark.createDataFrame(rows, WIRE["purchases"]), RUN), RUN)
+
+
+def bought(user, n, day="2024-01-01", first=0):
+    return [(f"{user}-{first + i}", user, f"{day} 10:00:00", 100 + i, 2, 1.25) for i in range(n)]
+
+
+def test_segments_at_their_bounds(spark):
+    counts = {"c0": 0, "c1": 1, "c2": 2, "c5": 5, "c6": 6}
+    rows = [r for user, n in counts.items() for r in bought(user, n)]
+    dim = gold.dim_customers(customers(spark, *counts), purchases(spark, *rows))
+    got = {r["customer_id"]: r for r in dim.collect()}
+    assert {c: r["customer_segment"] for c, r in got.items()} == {
+        "c0": "No Purchases", "c1": "One-time", "c2": "Regular", "c5": "Regular", "c6": "Frequent",
+    }
+    assert (got["c0"]["total_orders"], got["c0"]["total_spent"], got["c0"]["first_purchase_date"]) == (0, 0.0, None)
+    assert (got["c6"]["total_spent"], got["c6"]["avg_order_value"]) == (15.0, 2.5)
+
+
+def test_facts_orphans_and_fan_out(spark):
+    rows = bought("c1", 2) + bought("nobody", 1)
+    bought_rows = purchases(spark, *rows)
+    dim = gold.dim_customers(customers(spark, "c1", "c1"), bought_rows)
+    facts = gold.fct_purchases(bought_rows, dim).collect()
+    assert len(facts) == 5
+    assert [r["customer_segment"] for r in facts if r["customer_id"] == "nobody"] == [None]
+    assert {r["name"] for r in facts if r["customer_id"] == "c1"} == {"name c1"}
+
+
+def test_daily_summary(spark):
+    rows = (
+        bought("c1", 1) + bought("c2", 3) + bought("nobody", 2)
+        + [("x", "c2", "2024-01-02 00:00:00", 7, None, 3.0), ("y", "c2", "2024-01-02 00:00:00", 7, 1, 3.0)]
+    )
+    bought_rows = purchases(spark, *rows)
+    facts = gold.fct_purchases(bought_rows, gold.dim_customers(customers(spark, "c1", "c2"), bought_rows))
+    daily = gold.daily_sales_summary(facts, RUN)
+    got = {str(r["purchase_date"]): r for r in daily.collect()}
+    one = got["2024-01-01"]
+    assert (one["total_orders"], one["unique_customers"], one["unique_products"], one["total_quantity"]) == (6, 3, 3, 12)
+    assert (one["total_revenue"], one["avg_order_value"]) == (15.0, 2.5)
+    assert (one["new_customers"], one["returning_customers"]) == (1, 1)
+    two = got["2024-01-02"]
+    assert (two["total_orders"], two["total_quantity"], two["total_revenue"], two["avg_order_value"]) == (2, 1, 3.0, 3.0)
+    assert [str(r["purchase_date"]) for r in reports.daily_sales_trend(daily).collect()] == ["2024-01-02", "2024-01-01"]
+    assert reports.top_days(daily, 1).collect()[0]["total_revenue"] == 15.0
+
+
+def test_daily_summary_keeps_days_without_date(spark):
+    schema = gold.fct_purchases(purchases(spark, *bought("c", 1)), gold.dim_customers(customers(spark, "c"), purchases(spark, *bought("c", 1)))).schema
+    row = {f.name: None for f in schema} | {"order_id": "o", "customer_id": None, "product_id": None}
+    got = gold.daily_sales_summary(spark.createDataFrame([row], schema), RUN).collect()
+    assert [(r["total_orders"], r["unique_customers"], r["unique_products"], r["total_revenue"]) for r in got] == [(1, 0, 0, None)]
+
+
+def test_sliced_join_equals_join(spark):
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 5).alias("v"),
+    )
+    left = left.unionByName(spark.createDataFrame([("hot", 99)], "k string, v long").crossJoin(spark.range(200)).drop("id"))
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("1", 3), ("never", 4), (None, 5)], "k string, w int")
+    assert [r["k"] for r in hot_keys(left, "k", 16).collect()] == ["hot"]
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = sliced_join(left, right, "k", how, slices=16)
+        want = left.join(right, "k", how)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, how
+
+
+def test_sliced_join_deals_hot_key_over_slices(spark):
+    left = spark.range(0, 10000, 1, 4).select(F.lit("hot").alias("k"), F.col("id"))
+    hot = hot_keys(left, "k", 16).collect()
+    assert [(r["k"], r["__slices"]) for r in hot] == [("hot", 16)]
+    plan = sliced_join(left, left.limit(1), "k", slices=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__slice" in plan
+
+
+def test_dedupe_limits_copies_before_the_shuffle(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, "q"), (None, 9, "n")], "k string, at int, v string")
+    latest = keyed.dedupe_latest(df, ["k"], ["at"])
+    assert {(r["k"], r["v"]) for r in latest.collect()} == {("a", "z"), ("b", "q"), (None, "n")}
+    assert {(r["k"], r["v"]) for r in keyed.upsert(df, ["k"], ["at"]).collect()} == {("a", "z"), ("b", "q")}
+    assert "Partial" in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_prefers_changes(spark):
+    current = spark.createDataFrame([("a", 9, "old"), ("b", 1, "kept")], "k string, at int, v string")
+    changes = spark.createDataFrame([("a", 1, "new"), ("c", 1, "added")], "k string, at int, v string")
+    got = keyed.merge_latest(current, changes, ["k"], ["at"])
+    assert {(r["k"], r["v"]) for r in got.collect()} == {("a", "new"), ("b", "kept"), ("c", "added")}
+
+
+def test_retention_and_lookup(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d), d) for d in (1, 2, 3, 9)], "at timestamp, d int")
+    assert [r["d"] for r in keyed.apply_retention(df, "at", "2024-01-09 00:00:00").orderBy("d").collect()] == [2, 3, 9]
+    assert [r["d"] for r in reports.lookup(df, d=3).collect()] == [3]
+    assert reports.preview(df, 2).count() == 2
+
+
+def test_top_customers_and_recent(spark):
+    rows = bought("c1", 1) + bought("c2", 3, "2024-02-01")
+    bought_rows = purchases(spark, *rows)
+    dim = gold.dim_customers(customers(spark, "c0", "c1", "c2"), bought_rows)
+    assert [r["name"] for r in reports.top_customers(dim).collect()] == ["name c2", "name c1"]
+    recent = reports.recent_purchases(gold.fct_purchases(bought_rows, dim), 3).collect()
+    assert [r["product_id"] for r in recent] == [100, 101, 102]
+
+
+def test_staging_views(spark):
+    register_staging(spark, {"customers": customers(spark, "c1")})
+    assert spark.sql("SELECT email_clean FROM stg_customers").collect()[0][0] == "c1@x.com"

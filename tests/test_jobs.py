@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from tillflow.plans import jobs
+from tillflow.schemas import ENTITIES, WIRE
+from tillflow.sinks.tables import GOLD_TABLES, materialise, write_csv, write_table
+from tillflow.sources.files import (
+    SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, table, with_file_order,
+)
+from tillflow.operators.keyed import upsert
+
+RUN = "2026-01-01 00:00:00"
+
+FILES = {
+    "clickstream": ["u1,2024-01-01T10:00:00,http://x/1, view ,1001,s1", ",2024-01-01T10:00:00,http://x/1,click,1001,s1"],
+    "purchases": ["o1,c1,2024-01-01T10:00:00.5,1001,2,0.45", "o2,c9,2024-01-02T10:00:00,1002,1,0.10", "o3,c1,,1002,1,0.10"],
+    "customers": ["c1,Ann,Ann@X.com,fr,2023-05-01", "c2,Bob,bad,fr,2023-05-01"],
+}
+
+
+@pytest.fixture
+def landing(folder):
+    for entity, lines in FILES.items():
+        with open(f"{folder}/{entity}.csv", "w") as f:
+            f.write("\n".join([",".join(WIRE[entity].names), *lines]) + "\n")
+    return folder
+
+
+def test_csv_modes(spark, landing):
+    path = f"{landing}/purchases.csv"
+    assert csv_columns(spark, path) == WIRE["purchases"].names
+    declared = read_entity_csv(spark, "purchases", path)
+    assert declared.schema == WIRE["purchases"]
+    typed = {r["order_id"]: r["timestamp"] for r in read_entity_csv(spark, "purchases", path, "typed").collect()}
+    assert typed["o3"] is None and typed["o1"].microsecond == 500000
+    assert dict(read_entity_csv(spark, "purchases", path, "inferred").dtypes)["quantity"] == "int"
+    with pytest.raises(ValueError):
+        read_entity_csv(spark, "purchases", path, "other")
+
+
+def test_last_line_of_a_file_wins(spark, folder):
+    with open(f"{folder}/c.csv", "w") as f:
+        f.write("customer_id,name,email,country,signup_date\n" + "".join(f"k,n{i},e,c,2020-01-01\n" for i in range(50)))
+    df = with_file_order(read_entity_csv(spark, "customers", f"{folder}/c.csv"))
+    assert [r["name"] for r in upsert(df, ["customer_id"], ["file_order"]).collect()] == ["n49"]
+
+
+def test_missing_sources_are_named(spark, landing):
+    os.remove(f"{landing}/customers.csv")
+    with pytest.raises(SourceMissing, match="customers"):
+        require_sources(spark, {e: f"{landing}/{e}.csv" for e in ENTITIES})
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_batch_pipeline(spark, landing, folder, fmt):
+    counts = jobs.run_batch_silver(spark, landing, f"{folder}/silver", RUN, fmt)
+    assert {r["table"]: r["records"] for r in counts.collect()} == {"clickstream": 1, "purchases": 2, "customers": 1}
+    assert all(r["ok"] for r in jobs.run_silver_checks(spark, f"{folder}/silver", fmt).collect())
+    tables = jobs.run_gold(spark, f"{folder}/silver", f"{folder}/gold", RUN, fmt)
+    daily = {str(r["purchase_date"]): r for r in tables["daily_sales_summary"].collect()}
+    assert (daily["2024-01-01"]["total_revenue"], daily["2024-01-01"]["new_customers"]) == (0.9, 1)
+    assert (daily["2024-01-02"]["new_customers"], daily["2024-01-02"]["returning_customers"]) == (0, 0)
+    manifest = jobs.run_export({t: tables[t] for t in GOLD_TABLES}, f"{folder}/export", "r1", RUN, single_file=True)
+    got = {r["table"]: (r["records"], r["tables"]) for r in manifest.collect()}
+    assert got == {"dim_customers": (1, 1), "fct_purchases": (2, 1), "daily_sales_summary": (2, 1), "TOTAL": (5, 3)}
+    parts = [f for f in os.listdir(f"{folder}/export/r1/fct_purchases") if f.startswith("part-")]
+    assert len(parts) == 1
+    header = open(f"{folder}/export/r1/daily_sales_summary/" + next(
+        f for f in os.listdir(f"{folder}/export/r1/daily_sales_summary") if f.startswith("part-"))).readline()
+    assert header.strip() == (
+        "purchase_date,purchase_year,purchase_month,purchase_day,total_orders,unique_customers,unique_products,"
+        "total_quantity,total_revenue,avg_order_value,new_customers,returning_customers,loaded_at"
+    )
+
+
+def test_full_load_replaces(spark, landing, folder):
+    for _ in range(2):
+        jobs.load_bronze_full(spark, landing, f"{folder}/bronze")
+    assert spark.read.parquet(f"{folder}/bronze/purchases").count() == 3
+
+
+def test_date_folders_are_pruned(spark, landing, folder):
+    jobs.run_batch_silver(spark, landing, f"{folder}/silver", RUN, by_date=True)
+    df = read_silver(spark, f"{folder}/silver", "purchases").where("purchase_year = 2024 AND purchase_month = 1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert df.count() == 2 and "PartitionFilters: [isnotnull(purchase_year" in plan
+    assert find_silver(spark, f"{folder}/none") == {e: None for e in ENTITIES}
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    try:
+        spark.range(100).selectExpr("id", "id * 2 AS x").createOrReplaceTempView("src")
+        for name in ("till_a", "till_b"):
+            materialise(spark, spark.table("src"), name, "id", 4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = table(spark, "till_a").join(table(spark, "till_b"), "id")
+        assert joined.count() == 100
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("till_a", "till_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_single_csv_file(spark, folder):
+    write_csv(spark.range(0, 100, 1, 8), f"{folder}/x", single_file=True)
+    assert len([f for f in os.listdir(f"{folder}/x") if f.startswith("part-")]) == 1
+    write_table(spark.range(10), f"{folder}/y", "csv")
+    assert spark.read.option("header", True).csv(f"{folder}/y").count() == 10
