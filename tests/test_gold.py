@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tillflow.operators import gold, keyed, reports
-from tillflow.operators.skew import hot_keys, sliced_join
+from tillflow.operators.skew import _dealt, hot_keys, sliced_join
 from tillflow.operators.staging import register_staging, stg_customers, stg_purchases
 from tillflow.operators.cleaning import silver
 from tillflow.schemas import WIRE
@@ -89,12 +89,27 @@ def test_sliced_join_equals_join(spark):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, how
 
 
-def test_sliced_join_deals_hot_key_over_slices(spark):
-    left = spark.range(0, 10000, 1, 4).select(F.lit("hot").alias("k"), F.col("id"))
-    hot = hot_keys(left, "k", 16).collect()
-    assert [(r["k"], r["__slices"]) for r in hot] == [("hot", 16)]
-    plan = sliced_join(left, left.limit(1), "k", slices=16)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__slice" in plan
+def test_sliced_join_with_copies_on_the_right(spark):
+    left = spark.range(400).select(
+        F.when(F.col("id") % 3 == 0, "both").when(F.col("id") % 3 == 1, "copied").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    copies = spark.range(300).select(F.when(F.col("id") % 2 == 0, "both").otherwise("copied").alias("k"), (F.col("id") % 9).alias("w"))
+    right = copies.unionByName(spark.range(0, 60, 3).select(F.col("id").cast("string").alias("k"), F.col("id").alias("w")))
+    assert {r["k"] for r in hot_keys(right, "k", 8).collect()} == {"both", "copied"}
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = sliced_join(left, right, "k", how, slices=8)
+        want = left.join(right, "k", how)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, how
+
+
+def test_hot_key_is_dealt_over_slices(spark):
+    df = spark.range(0, 10000, 1, 4).select(F.when(F.col("id") < 5000, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    assert [(r["k"], r["slices"]) for r in hot_keys(df, "k", 16).collect()] == [("hot", 8)]
+    dealt = _dealt(df.where("k = 'hot'"), "slice", F.lit(8), ["id"]).groupBy("slice").count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 2 * 5000 / 8
+    copies = _dealt(df.where("k = 'hot'").withColumn("id", F.lit(0)), "slice", F.lit(8), ["id"])
+    assert copies.select("slice").distinct().count() > 1
 
 
 def test_dedupe_limits_copies_before_the_shuffle(spark):

@@ -32,7 +32,8 @@ def dim_customers(customers: DataFrame, purchases: DataFrame) -> DataFrame:
         "customer_id", "name", F.col("email_clean").alias("email"), "email_domain", "country",
         "signup_date", "loaded_at",
     )
-    joined = sliced_join(wanted, customer_rollup(purchases), "customer_id", deal_by=["email"])
+    # One row per customer comes out of the rollup, so only the left can hold a hot key.
+    joined = sliced_join(wanted, customer_rollup(purchases), "customer_id", deal_by=["email"], right_unique=True)
     return joined.select(
         "customer_id", "name", "email", "email_domain", "country", "signup_date",
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"),

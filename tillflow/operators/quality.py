@@ -79,7 +79,7 @@ def orphaned_purchases(facts: DataFrame, customers: DataFrame) -> DataFrame:
 def orphan_count(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """How many purchases have no known customer; counted per customer before the join."""
     per_customer = facts.groupBy("customer_id").agg(F.count("*").alias("purchases"))
-    orphans = per_customer.join(customers.select("customer_id"), "customer_id", "left_anti")
+    orphans = per_customer.join(customers.select("customer_id").distinct(), "customer_id", "left_anti")
     return orphans.agg(F.coalesce(F.sum("purchases"), F.lit(0)).alias("orphaned_purchases"))
 
 

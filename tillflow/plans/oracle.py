@@ -333,9 +333,6 @@ def build() -> dict[str, str]:
         "segment_distribution": "select customer_segment, count(*) as customers from dim_customers group by customer_segment",
         "product_performance": "select product_id, count(*) as total_orders, cast(sum(quantity) as bigint) as total_quantity, "
         f"{_total('total_amount')} as total_revenue from stg_purchases group by product_id",
-        "lookup_country": "select * from silver_customers where country = 'NATION_7'",
-        "lookup_purchase_month": "select * from silver_purchases where purchase_year = 1997 and purchase_month = 3",
-        "lookup_event_type": "select * from silver_clickstream where event_type = 'ADD_TO_CART'",
         "sliced_join": "select c.country, count(*) as purchases from stg_purchases p left join stg_customers c "
         "on p.customer_id = c.customer_id group by c.country",
         "orphaned_purchases": "select order_id, customer_id, total_amount from fct_purchases p where not exists "
@@ -395,6 +392,9 @@ def build() -> dict[str, str]:
         "row_number() over (partition by user_id, \"timestamp\" order by page_url desc nulls last, event_type desc nulls last, "
         "product_id desc nulls last, session_id desc nulls last) as place from bronze_clickstream "
         "where user_id is not null and \"timestamp\" is not null) where place = 1",
+        "stream_layers": "select 'bronze' as \"table\", count(*) as records from bronze_purchases union all "
+        "select 'silver', count(*) from bronze_purchases where quantity > 0 union all "
+        "select 'keyed', count(distinct order_id) from bronze_purchases",
         "upsert_purchases": "select order_id, user_id, bought_at as \"timestamp\", product_id, quantity, price from upserted_purchases",
         "upsert_clickstream": "select user_id, \"timestamp\", page_url, event_type, product_id, session_id from (select "
         "f.* replace (try_cast(f.\"timestamp\" as timestamp) as \"timestamp\"), row_number() over (partition by user_id, "
@@ -412,6 +412,23 @@ def build() -> dict[str, str]:
             select d.day, d.records, b.records as previous, d.records - b.records as growth
             from days d left join days b on b.day = d.day - 1""",
     }
+    lookups = {
+        "lookup_customers_email_domain": "'machinery.example.com'",
+        "lookup_customers_country": "'NATION_7'",
+        "lookup_customers_signup_year": "1994",
+        "lookup_purchases_user_id": "'1'",
+        "lookup_purchases_product_id": "42",
+        "lookup_purchases_purchase_year": "1997",
+        "lookup_purchases_purchase_month": "3",
+        "lookup_clickstream_event_type": "'ADD_TO_CART'",
+        "lookup_clickstream_product_id": "1042",
+        "lookup_clickstream_session_id": "'7-2024-01-05'",
+        "lookup_clickstream_event_year": "2024",
+        "lookup_clickstream_event_month": "1",
+    }
+    for name, value in lookups.items():
+        _, entity, column = name.split("_", 2)
+        bodies[name] = f"select * from silver_{entity} where {column} = {value}"
     return {name: _assembled(body) for name, body in bodies.items()}
 
 

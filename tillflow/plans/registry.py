@@ -18,7 +18,7 @@ from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, wri
 from tillflow.sources.files import find_silver, read_entity_csv, read_silver
 from tillflow.sources.messages import decode_json
 from tillflow.sources.sample import feed, message_stream
-from tillflow.streaming.jobs import await_all, ingest_bronze_append
+from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_layers
 from tillflow.streaming.sinks import (
     ONCE_THROUGH,
     read_keyed,
@@ -36,6 +36,23 @@ RUN_TS = "2026-01-01 00:00:00"
 PURCHASES_AS_OF, CLICKS_AS_OF = "1998-01-08 00:00:00", "2024-02-01 00:00:00"
 
 
+# One value for each attribute a silver table can be looked up by.
+LOOKUPS = {
+    ("customers", "email_domain"): "machinery.example.com",
+    ("customers", "country"): "NATION_7",
+    ("customers", "signup_year"): 1994,
+    ("purchases", "user_id"): "1",
+    ("purchases", "product_id"): 42,
+    ("purchases", "purchase_year"): 1997,
+    ("purchases", "purchase_month"): 3,
+    ("clickstream", "event_type"): "ADD_TO_CART",
+    ("clickstream", "product_id"): 1042,
+    ("clickstream", "session_id"): "7-2024-01-05",
+    ("clickstream", "event_year"): 2024,
+    ("clickstream", "event_month"): 1,
+}
+
+
 class Models:
     """The medallion layers over one data folder, each a lazy plan."""
 
@@ -84,11 +101,14 @@ class Models:
         return gold.dim_customers(self.stg("customers"), self.stg("purchases"))
 
     def fct(self) -> DataFrame:
-        purchases = self.stored_stg("purchases")
-        return gold.fct_purchases(purchases, gold.dim_customers(self.stg("customers"), purchases))
+        """Facts over written purchases and a written dimension, both of which the join goes through twice."""
+        purchases, path = self.stored_stg("purchases"), self.stored("dim")
+        dim = gold.dim_customers(self.stg("customers"), purchases)
+        write_table(dim, path)
+        return gold.fct_purchases(purchases, self.spark.read.schema(dim.schema).parquet(path))
 
     def daily(self) -> DataFrame:
-        return gold.daily_sales_summary(self.fct(), RUN_TS)
+        return self.stored_gold()["daily_sales_summary"]
 
 
 def _over(build: Callable[[Models], DataFrame]) -> Query:
@@ -130,6 +150,18 @@ def _stream_upsert(m: Models) -> DataFrame:
     return read_keyed(m.spark, out, BRONZE["clickstream"], KEYS["clickstream"])
 
 
+def _stream_layers(m: Models) -> DataFrame:
+    """All three copies of the purchases, written from one read of the stream."""
+    session = streaming_session(m.spark)
+    root, checkpoint = m.stored("layers"), m.stored("checkpoint")
+    stream = decode_json(message_stream(session, m.sf_dir, "purchases"), "purchases")
+    await_all([start_layers("purchases", stream, root, checkpoint, ["timestamp", "product_id", "quantity", "price"], ONCE_THROUGH)])
+    schema = BRONZE["purchases"]
+    layers = {layer: m.spark.read.schema(schema).parquet(f"{root}/{layer}/purchases") for layer in ("bronze", "silver")}
+    layers["keyed"] = read_keyed(m.spark, f"{root}/keyed/purchases", schema, KEYS["purchases"])
+    return quality.row_counts(layers)
+
+
 def _stream_countries(m: Models) -> DataFrame:
     session = streaming_session(m.spark)
     out, checkpoint = m.stored("snapshot"), m.stored("checkpoint")
@@ -307,9 +339,6 @@ def build() -> dict[str, Query]:
         "recent_purchases": lambda m: reports.recent_purchases(m.fct()),
         "segment_distribution": lambda m: reports.segment_distribution(m.dim()),
         "product_performance": lambda m: reports.product_performance(m.stg("purchases")),
-        "lookup_country": lambda m: reports.lookup(m.silver("customers"), country="NATION_7"),
-        "lookup_purchase_month": lambda m: reports.lookup(m.silver("purchases"), purchase_year=1997, purchase_month=3),
-        "lookup_event_type": lambda m: reports.lookup(m.silver("clickstream"), event_type="ADD_TO_CART"),
         "preview": lambda m: reports.preview(m.silver("purchases")),
         "sliced_join": _sliced,
         "orphaned_purchases": _orphans,
@@ -347,6 +376,7 @@ def build() -> dict[str, Query]:
         "stream_purchase_analytics": lambda m: _stream_windows(m, "purchases", analytics.purchase_analytics),
         "stream_customer_analytics": _stream_countries,
         "stream_upsert": _stream_upsert,
+        "stream_layers": _stream_layers,
         "upsert_purchases": _moved,
         "upsert_clickstream": lambda m: keyed.upsert(_click_log(m), KEYS["clickstream"], ["event_id"]).drop("event_id"),
         "upsert_customers": _customer_changes,
@@ -358,4 +388,6 @@ def build() -> dict[str, Query]:
         "freshness": lambda m: monitoring.freshness(m.silver("clickstream"), "timestamp", CLICKS_AS_OF),
         "volume_daily": lambda m: monitoring.volume_daily(m.silver("clickstream"), "timestamp"),
     }
+    for (entity, column), value in LOOKUPS.items():
+        found[f"lookup_{entity}_{column}"] = lambda m, e=entity, c=column, v=value: reports.lookup(m.silver(e), **{c: v})
     return {name: _over(query) for name, query in found.items()}

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting the rows of a state store costs a read per write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.enabled": "false",
 }

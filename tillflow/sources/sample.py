@@ -19,16 +19,19 @@ def given(spark: SparkSession, sf_dir: str, *names: str) -> Tables:
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
+def _few_splits(df: DataFrame) -> bool:
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows of a scan with fewer splits than cores over all cores.
 
     The given facts are one file of one row group, which one task has to read.
     A table of many files is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or not _few_splits(df):
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _every(column: str, n: int) -> Column:
@@ -119,6 +122,8 @@ def message_stream(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     static = given(spark, sf_dir, streamed, *looked_up)
     # A file stream takes folders or patterns; the bracket turns a plain file into a pattern.
     stream = spark.readStream.schema(static[streamed].schema).parquet(f"{sf_dir}/{streamed}.parque[t]")
+    if _few_splits(static[streamed]):
+        stream = stream.repartition(spark.sparkContext.defaultParallelism)
     records = derive(stream, *[static[name] for name in looked_up])
     if entity == "clickstream":
         records = records.withColumns({"event_type": F.trim("event_type"), "page_url": F.trim("page_url")})

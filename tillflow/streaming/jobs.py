@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillflow.operators.analytics import clickstream_analytics, customer_analytics, purchase_analytics
 from tillflow.operators.cleaning import stream_filter
+from tillflow.operators.keyed import upsert
 from tillflow.schemas import ENTITIES, KEYS
-from tillflow.streaming.sinks import stream_snapshot, stream_to_files, stream_upsert
+from tillflow.streaming.sinks import stream_snapshot, stream_to_files, stream_upsert, triggered
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
 TRIGGERS = {
@@ -54,6 +56,32 @@ def start_medallion(
     return queries
 
 
+def start_layers(
+    entity: str, stream: DataFrame, root: str, checkpoint: str, order_by: list[str], trigger: str | None = None
+) -> StreamingQuery:
+    """All three copies of one entity in one query, so its topic is read once and not three times.
+
+    Every copy of a batch lies under the batch's number: a batch that runs
+    again replaces its files, whichever of the copies had been written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            copies = {
+                "bronze": batch,
+                "keyed": upsert(batch, KEYS[entity], order_by),
+                "silver": stream_filter(entity, batch),
+            }
+            for layer, df in copies.items():
+                df.write.mode("overwrite").parquet(f"{root}/{layer}/{entity}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"{entity}_layers")
+    return triggered(writer, trigger).start()
+
+
 def start_analytics(
     streams: dict[str, DataFrame], root: str, checkpoints: str,
     trigger: str | None = ANALYTICS_TRIGGER, fmt: str = "parquet", distinct: str = "exact",

@@ -19,7 +19,7 @@ from tillflow.operators.keyed import upsert
 ONCE_THROUGH = "once through"
 
 
-def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     if trigger is None:
         return writer
     if trigger == ONCE_THROUGH:
@@ -38,7 +38,7 @@ def stream_to_files(
         writer = writer.option("header", True)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, trigger).start(path)
+    return triggered(writer, trigger).start(path)
 
 
 def stream_upsert(
@@ -58,7 +58,7 @@ def stream_upsert(
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def read_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
@@ -83,7 +83,7 @@ def stream_snapshot(
     writer = df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
