@@ -22,13 +22,26 @@ def freshness(df: DataFrame, time: str, as_of: datetime | str | None = None) ->
 def volume_daily(df: DataFrame, time: str) -> DataFrame:
     """Rows per day, and growth over the calendar day before.
 
-    The day before is found by an equi-join on the day, which stays distributed
-    where a window over all days would run in one task.
+    Each day's count is passed on to the next day and meets that day's own
+    count in a second grouping: the rows are counted once, nothing is joined,
+    and no window over all days has to run in one task.
     """
     days = df.groupBy(F.to_date(time).alias("day")).agg(F.count("*").alias("records"))
-    before = days.select(F.date_add("day", 1).alias("day"), F.col("records").alias("previous"))
-    return days.join(before, "day", "left").select(
-        "day", "records", "previous", (F.col("records") - F.col("previous")).alias("growth")
+    unknown = F.lit(None).cast("bigint")
+    passed_on = F.when(F.col("day").isNotNull(), F.col("records"))
+    both = days.select(
+        F.inline(
+            F.array(
+                F.struct("day", "records", unknown.alias("previous")),
+                F.struct(F.date_add("day", 1).alias("day"), unknown.alias("records"), passed_on.alias("previous")),
+            )
+        )
+    )
+    return (
+        both.groupBy("day")
+        .agg(F.max("records").alias("records"), F.max("previous").alias("previous"))
+        .where(F.col("records").isNotNull())
+        .withColumn("growth", F.col("records") - F.col("previous"))
     )
 
 
