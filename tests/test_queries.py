@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+import bench
 from tests.compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,6 +21,10 @@ def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
+def test_benchmark_names_queries():
+    assert set(bench.HEADLINE) <= set(QUERIES)
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
