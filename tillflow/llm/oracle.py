@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL
+  SELECT 'b', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM texts
+), shingles AS (
+  SELECT DISTINCT kind, id, len(w) AS n, array_to_string(w[i : i + 4], ' ') AS shingle
+  FROM words, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i)
+  WHERE len(w) >= 5
+), items AS (
+  SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'b'
+)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item
+FROM items AS i JOIN shingles AS d ON d.kind = 'd' AND d.shingle = i.shingle
+GROUP BY d.id, i.id HAVING 100 * count(*) >= 80 * any_value(n_item)
+"""
+
+OP4 = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+g AS (SELECT html, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to, url
+FROM p LEFT JOIN g ON p.html = g.html
+"""
+
 OP5 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -15,4 +44,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256
 
 
 def build() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5}
+    return {"op1_decontamination": OP1, "op4_warc": OP4, "op5_exact_dedup": OP5}

@@ -12,12 +12,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contained
+
+    return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc_zip import archived
+
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact import duplicates
 
     return duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_parts import STRONG, listing, spans
+
+    strong = F.filter("found", lambda x: x["strong"])
+    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in STRONG]
+    return spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(listing(strong), 256).alias("base_sha256"), listing(F.col("found")).alias("spans")
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,6 +55,9 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
+        "op4_warc": op4_warc,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_secrets": op6_secrets,
         "op7_sentencepiece": op7_sentencepiece,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate as decontaminating
 from . import exact, pieces
 
 
@@ -13,10 +14,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id and a text are one row afterwards.
     """
-    verdicts = exact.duplicates(docs).where("kept").select(F.col("doc_id").alias("id"), "text_sha256").distinct()
-    bare = F.sha2(F.translate(F.coalesce("text", F.lit("")), exact.BLANKS, ""), 256)
-    kept = docs.join(verdicts.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id")) & (bare == F.col("text_sha256")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    name = lambda key, sha: F.concat_ws(" ", key, sha)  # noqa: E731  null keys are left out and equal each other
+    bare = F.translate(F.coalesce("text", F.lit("")), exact.BLANKS, "")
+    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_sha256").alias("own_name"))
+    named = docs.withColumn("own_name", name("doc_id", F.sha2(bare, 256)))
+    return named.join(kept.hint("shuffle_hash"), "own_name", "left_semi").dropDuplicates(["own_name"]).drop("own_name")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % of the five-word shingles of a benchmark item go."""
+    return decontaminating.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
