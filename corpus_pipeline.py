@@ -9,6 +9,7 @@ from tillflow.llm.scratch import stored
 
 #: (name, function of (spark, docs, sf_dir)); all but the last return the columns of documents.
 STAGES = [
+    ("language_id", stages.language_id),
     ("exact_dedup", stages.exact_dedup),
     ("decontamination", stages.decontaminate),
     ("sentencepiece", stages.sentencepiece),

@@ -4,7 +4,8 @@ The model turns every space into a marker and puts one marker before the text.
 Where no piece has a marker after another character, no piece spans the place
 between a character and the next marker.  The text then falls into marked
 words, each of them markers and what follows up to the next marker, that are
-segmented apart from each other.  Every task keeps a table of the distinct
+segmented apart from each other.  In the table a marked word stands without its
+first marker, which the model puts back.  Every task keeps a table of the distinct
 marked words of its rows, segments each of them once, and joins the ids back to
 the documents by the words' positions.
 """
@@ -12,6 +13,7 @@ the documents by the words' positions.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,35 +43,38 @@ def separable(model: sentencepiece.SentencePieceProcessor) -> bool:
 
 
 class WordTable:
-    """Marked word -> ids and decoded text; starts anew when it has grown to ``limit`` words."""
+    """Marked word -> its ids, as 32-bit integers in bytes, and its decoded text; starts anew at ``limit`` words."""
 
-    def __init__(self, model: sentencepiece.SentencePieceProcessor, limit: int = 200_000):
+    def __init__(self, model: sentencepiece.SentencePieceProcessor, limit: int = 500_000):
         self.model, self.limit, self.apart = model, limit, separable(model)
-        self.ids: dict[str, list[int]] = {}
+        # A last marker with nothing after it can't be encoded alone: the empty text has no marker.
+        self.bare = model.encode("a ")[len(model.encode("a")) :]
+        self.ids: dict[str, bytes] = {}
         self.texts: dict[str, str] = {}
 
     def words(self, text: str) -> list[str]:
         if not text:
             return []
         if not self.apart:
-            return [MARK + text]
-        return MARKED.findall(MARK + text.replace(" ", MARK))
+            return [text]
+        if MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [w[1:].replace(MARK, " ") for w in MARKED.findall(MARK + text.replace(" ", MARK))]
 
     def add(self, words: set[str]) -> None:
         if len(self.ids) + len(words) > self.limit:
             self.ids.clear()
             self.texts.clear()
         new = list(words - self.ids.keys())
-        ids = self.model.encode([w[1:].replace(MARK, " ") if self.apart else w[1:] for w in new], num_threads=1)
-        self.ids.update(zip(new, ids, strict=True))
+        ids = [i if w else self.bare for w, i in zip(new, self.model.encode(new, num_threads=1), strict=True)]
+        self.ids.update(zip(new, (array("i", i).tobytes() for i in ids), strict=True))
         self.texts.update(zip(new, self.model.decode(ids, num_threads=1), strict=True))
 
-    def look_up(self, texts: list[str]) -> tuple[list[list[int]], list[str]]:
+    def look_up(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Ids and decoded texts; every marked word but the first decodes without the space of its first marker."""
         words = [self.words(text) for text in texts]
-        self.add({w for row in words for w in row})
-        ids = [[i for w in row for i in self.ids[w]] for row in words]
-        return ids, [" ".join([self.texts[w] for w in row]) for row in words]
+        self.add(set().union(*words))
+        return [b"".join(map(self.ids.__getitem__, row)) for row in words], [" ".join(map(self.texts.__getitem__, row)) for row in words]
 
 
 def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str | Column = "text") -> DataFrame:
@@ -86,9 +91,8 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str | Colum
         table = WordTable(sentencepiece.SentencePieceProcessor(model_proto=model))
         for batch in slices(batches, "text"):
             ids, decoded = table.look_up(batch.column("text").to_pylist())
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter((i for row in ids for i in row), np.int32, int(ends[-1]))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32) // 4
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), lists, pa.array(decoded, pa.string())], ["key", "ids", "decoded"])
 
     return rows.mapInArrow(task, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)

@@ -53,6 +53,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs), "doc_id", "text", declared=F.lower("lang"), host=F.col("source"))
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -60,4 +67,5 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_secrets": op6_secrets,
         "op7_sentencepiece": op7_sentencepiece,
+        "op9_language_id": op9_language_id,
     }

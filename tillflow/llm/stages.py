@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decontaminating
-from . import exact, pieces
+from . import exact, language, pieces
+from .scratch import stored
+
+
+def row_name() -> Column:
+    """Names a row by doc_id and text; rows that repeat both share it."""
+    return F.concat_ws(" ", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or whose language stays in doubt, go."""
+    model = language.fit(docs)
+    named = docs.withColumn("own_name", row_name())
+    found = language.identify(named, model, "own_name", "text", declared=F.lower("lang"), host=F.col("source"))
+    rejected = stored(found.where(~F.col("accepted")).select("own_name").distinct(), "rejected")
+    return named.join(rejected, "own_name", "left_anti").select(docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
