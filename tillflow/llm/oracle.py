@@ -22,6 +22,25 @@ FROM items AS i JOIN shingles AS d ON d.kind = 'd' AND d.shingle = i.shingle
 GROUP BY d.id, i.id HAVING 100 * count(*) >= 80 * any_value(n_item)
 """
 
+REPEATS = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), firsts AS (
+  SELECT k, min(doc_id) AS low FROM windows GROUP BY k
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (k) WHERE low < doc_id
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d) ANTI JOIN covered USING (doc_id, place)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP4 = r"""
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
 g AS (SELECT html, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY html)
@@ -44,4 +63,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256
 
 
 def build() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op4_warc": OP4, "op5_exact_dedup": OP5}
+    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op10_sparse_suffixes": REPEATS}

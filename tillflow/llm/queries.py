@@ -18,6 +18,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .recompression import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc_zip import archived
 
@@ -60,12 +66,20 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs), "doc_id", "text", declared=F.lower("lang"), host=F.col("source"))
 
 
+def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sparse_suffixes import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op3_recompression_dedup": op3_recompression_dedup,
         "op4_warc": op4_warc,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_secrets": op6_secrets,
         "op7_sentencepiece": op7_sentencepiece,
         "op9_language_id": op9_language_id,
+        "op10_sparse_suffixes": op10_sparse_suffixes,
     }
