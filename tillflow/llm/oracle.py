@@ -61,6 +61,26 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256 FROM d JOIN g USING (sha)
 """
 
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reached.doc_id, b FROM reached JOIN links ON root = a
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM reached LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 
 def build() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op10_sparse_suffixes": REPEATS}
+    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": REPEATS}

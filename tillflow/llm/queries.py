@@ -59,6 +59,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import similar
+
+    return similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit, identify
 
@@ -80,6 +86,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_exact_dedup": op5_exact_dedup,
         "op6_secrets": op6_secrets,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_language_id": op9_language_id,
         "op10_sparse_suffixes": op10_sparse_suffixes,
     }
