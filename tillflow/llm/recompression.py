@@ -9,9 +9,10 @@ wherever it stands: a symbol depends only on the words of its context, which
 grows by at most one neighbour a round and is tracked exactly.
 
 The anchor of a window is the first symbol of the highest round whose context
-lies in the window.  It is a function of the window's words, so equal windows
-have equal anchors, and a window whose anchor occurs in no other document is
-repeated nowhere.
+lies in the window, together with the ``SAID`` words that its context starts
+with (or the window's last ones): a symbol that stayed short says little alone.
+It is a function of the window's words, so equal windows have equal anchors,
+and a window whose anchor occurs in no other document is repeated nowhere.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 from .repeats import marks
 from .repeats import without_repeats as without_repeats_by
-from .words import BASE, mix
+from .words import BASE, mix, shingles
 
 ROUNDS = 12
+SAID = 8
 #: Claims that one group brings together, about.
 GROUP_CLAIMS = 100_000
 
@@ -87,7 +89,7 @@ def anchors(h: np.ndarray, ends: np.ndarray, width: int, rounds: int = ROUNDS) -
 
     whole = np.repeat(ends, sizes) - np.arange(n) >= width
     starts = np.flatnonzero(whole)
-    wanted, found = place[starts], np.zeros(len(starts), np.uint64)
+    wanted, found, found_at = place[starts], np.zeros(len(starts), np.uint64), starts.copy()
     open_ = np.arange(len(starts))
     for parse in reversed(parses):
         own = ~parse.fixed
@@ -99,7 +101,12 @@ def anchors(h: np.ndarray, ends: np.ndarray, width: int, rounds: int = ROUNDS) -
         first_in = np.minimum(first, len(names) - 1)
         fits = (first < len(names)) & (right[first_in] <= wanted[open_] + width)
         found[open_[fits]] = names[first_in[fits]]
+        found_at[open_[fits]] += left[first_in[fits]] - wanted[open_[fits]]
         open_ = open_[~fits]
+    said = min(SAID, width)
+    words = shingles(h, said)
+    if len(starts):
+        found = mix(found ^ words[np.minimum(found_at, starts + width - said)])
     return starts, found
 
 

@@ -20,7 +20,7 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 class Fingerprints(dict):
     """Word -> 64-bit fingerprint; forgets all words when it has grown to ``limit``."""
 
-    def __init__(self, seed: int = 0, limit: int = 400_000):
+    def __init__(self, seed: int = 0, limit: int = 800_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 
