@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tillflow.llm import exact
+
+ROWS = [
+    (3, "a b c"), (1, "abc"), (2, "a  b\tc "), (4, "abc"), (4, "abc"), (5, None), (6, ""), (7, " \n"), (None, "a b c d"), (8, "abcd"), (None, None),
+    (9, "only one"), (10, "onlyone"), (11, "é " * 3000), (12, "é" * 3000), (13, "z"),
+]
+
+
+def plain(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault("".join(c for c in t or "" if c not in exact.BLANKS), []).append((i, t or ""))
+    out = []
+    for bare, own in groups.items():
+        keep = min(own, key=lambda r: (-len(r[1]), r[0] is None, r[0] or 0))[0]
+        out += [(i, keep, len(own), i == keep, hashlib.sha256(bare.encode()).hexdigest()) for i, _ in own]
+    return sorted(out, key=repr)
+
+
+def test_verdicts(spark):
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string").selectExpr("*", "1 AS key", "'x' AS part", "2L AS print", "text AS sha").repartition(5)
+    assert sorted(map(tuple, exact.duplicates(df).collect()), key=repr) == plain(ROWS)
+
+
+def test_large_group_over_many_parts(spark):
+    rows = [(i, random.Random(i % 7 if i % 3 else i).choice(["same text", f"own text {i}"])) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(11)
+    assert sorted(map(tuple, exact.duplicates(df).collect()), key=repr) == plain(rows)
+
+
+def test_empty_table(spark):
+    df = exact.duplicates(spark.createDataFrame([], "doc_id bigint, text string"))
+    assert df.collect() == [] and df.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+
+
+@given(st.sets(st.integers(0, (1 << 64) - 1), max_size=200), st.sampled_from([1, 3, 16]))
+def test_codes_return_what_they_hold(values, owners):
+    span = -(-(1 << 64) // owners)
+    values = np.array(sorted(v for v in values if v < span), np.uint64)
+    code, width = exact.golomb(values, span)
+    assert exact.ungolomb(code, len(values), width).tolist() == values.tolist()

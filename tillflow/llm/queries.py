@@ -18,6 +18,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .style_tree import main_text
+
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .recompression import without_repeats
 
@@ -81,6 +87,7 @@ def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_html_text": op2_html_text,
         "op3_recompression_dedup": op3_recompression_dedup,
         "op4_warc": op4_warc,
         "op5_exact_dedup": op5_exact_dedup,
