@@ -11,11 +11,12 @@ from tillflow.llm.scratch import stored
 STAGES = [
     ("language_id", stages.language_id),
     ("exact_dedup", stages.exact_dedup),
+    ("near_dedup", stages.near_dedup),
     ("decontamination", stages.decontaminate),
     ("sentencepiece", stages.sentencepiece),
 ]
 
-#: SQL has no SentencePiece, no language model and no similarity join; tests compare the stages with plain Python.
+#: SQL has neither SentencePiece nor the fitted language model; tests compare every stage with plain Python.
 ORACLE_SQL = None
 
 

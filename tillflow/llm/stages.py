@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as decontaminating
-from . import exact, language, pieces
+from . import exact, jaccard, language, pieces
 from .scratch import stored
 
 
+#: A column that stages add and take away again.
+ROW_NAME = "__row_name"
+
+
 def row_name() -> Column:
     """Names a row by doc_id and text; rows that repeat both share it."""
     return F.concat_ws(" ", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
@@ -18,10 +22,10 @@ def row_name() -> Column:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language stays in doubt, go."""
     model = language.fit(docs)
-    named = docs.withColumn("own_name", row_name())
-    found = language.identify(named, model, "own_name", "text", declared=F.lower("lang"), host=F.col("source"))
-    rejected = stored(found.where(~F.col("accepted")).select("own_name").distinct(), "rejected")
-    return named.join(rejected, "own_name", "left_anti").select(docs.columns)
+    named = docs.withColumn(ROW_NAME, row_name())
+    found = language.identify(named, model, ROW_NAME, "text", declared=F.lower("lang"), host=F.col("source"))
+    rejected = stored(found.where(~F.col("accepted")).select(ROW_NAME).distinct(), "rejected")
+    return named.join(rejected, ROW_NAME, "left_anti").select(docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +35,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     name = lambda key, sha: F.concat_ws(" ", key, sha)  # noqa: E731  null keys are left out and equal each other
     bare = F.translate(F.coalesce("text", F.lit("")), exact.BLANKS, "")
-    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_sha256").alias("own_name"))
-    named = docs.withColumn("own_name", name("doc_id", F.sha2(bare, 256)))
-    return named.join(kept.hint("shuffle_hash"), "own_name", "left_semi").dropDuplicates(["own_name"]).drop("own_name")
+    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_sha256").alias(ROW_NAME))
+    named = docs.withColumn(ROW_NAME, name("doc_id", F.sha2(bare, 256)))
+    return named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi").dropDuplicates([ROW_NAME]).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 80 % similar five-word shingles connect, the one with the smallest doc_id stays."""
+    name = lambda key, text: F.concat_ws(" ", key, text)  # noqa: E731  null keys are left out and equal each other
+    kept = jaccard.similar(docs).where("stays").select(name("doc_id", "text_print").alias(ROW_NAME))
+    named = docs.withColumn(ROW_NAME, name("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+    return named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
