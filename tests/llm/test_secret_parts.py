@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from tillflow.llm import secret_parts as sp
+from tillflow.llm.queries import op6_secrets
 
 ROWS = [
     (1, "nothing here"),
@@ -50,7 +52,7 @@ def plain(text: str | None) -> list[tuple[int, int, int, bool]]:
 
 
 def test_spans(spark):
-    df = spark.createDataFrame(ROWS, "doc_id bigint, text string").withColumnsRenamed({}).selectExpr("*", "1 as row", "'x' as kind", "text as key").repartition(3)
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string").selectExpr("*", "1 as row", "'x' as kind", "text as key").repartition(3)
     got = sorted(((r["doc_id"], [tuple(x) for x in r["found"]]) for r in sp.spans(df).collect()), key=repr)
     names = [k for k, *_ in sp.KINDS]
     want = sorted(((i, [(s, names[k], e, b) for s, k, e, b in plain(t)]) for i, t in ROWS), key=repr)
@@ -65,5 +67,17 @@ def test_weak_parts_need_all_three(spark):
     assert kinds[11] == ["access", "mixed", "endpoint"]
 
 
+def test_query_counts_base_spans(spark):
+    """The digest columns against Python's patterns over whole documents."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    names = [k for k, *_ in sp.KINDS]
+    for r in op6_secrets(spark, "/root/testdata/sf0.01").collect():
+        found = plain(docs[r["doc_id"]])
+        base = [f"{names[k]}:{s}:{e}" for s, k, e, strong in found if strong]
+        assert r["spans"] == ",".join(f"{names[k]}:{s}:{e}" for s, k, e, _ in found)
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(b.startswith(k) for b in base) for k in sp.STRONG]
+
+
 def test_empty_table(spark):
     assert sp.spans(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0

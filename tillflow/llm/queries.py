@@ -46,7 +46,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_parts import STRONG, listing, spans
 
     strong = F.filter("found", lambda x: x["strong"])
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in STRONG]
+    of_kind = lambda kind: F.filter("found", lambda x: x["kind"] == kind)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in STRONG]
     return spans(table(spark, sf_dir, "documents")).select(
         "doc_id", *counts, F.sha2(listing(strong), 256).alias("base_sha256"), listing(F.col("found")).alias("spans")
     )
