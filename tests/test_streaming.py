@@ -15,7 +15,10 @@ from tillflow.plans import jobs
 from tillflow.schemas import BRONZE, ENTITIES, KEYS, WIRE
 from tillflow.sources.messages import decode_json, folder_source, kafka_source
 from tillflow.streaming.jobs import await_all, start_analytics, start_medallion
-from tillflow.streaming.sinks import ONCE_THROUGH, compact_keyed, read_keyed, read_snapshot, stream_to_files, stream_upsert
+from tillflow.streaming.jobs import start_layers
+from tillflow.streaming.sinks import (
+    ONCE_THROUGH, batches_of, compact_keyed, read_batches, read_keyed, read_snapshot, stream_snapshot, stream_to_files, stream_upsert,
+)
 
 RUN = "2026-01-01 00:00:00"
 
@@ -37,10 +40,14 @@ def purchase(order, time, quantity=1, price=0.5, product=1):
     return {"order_id": order, "user_id": "u", "timestamp": time, "product_id": product, "quantity": quantity, "price": price}
 
 
-def stream(spark, folder, entity, one_file_per_batch=True):
+def arriving(spark, folder, entity, one_file_per_batch=True):
     return decode_json(folder_source(spark, folder, 1 if one_file_per_batch else None), entity)
 
 
+def stream(spark, folder, entity, one_file_per_batch=True):
+    return arriving(spark, folder, entity, one_file_per_batch).drop("arrival")
+
+
 def test_decode_malformed_messages(spark):
     messages = ['{"order_id": 7, "product_id": "12", "quantity": 2, "timestamp": "nope"}', "not json", "{}"]
     df = spark.createDataFrame([(m.encode(),) for m in messages], "value binary")
@@ -68,7 +75,7 @@ def test_closed_windows_equal_batch(spark, folder, distinct):
     batch = flatten_window(clickstream_analytics(decode_json(spark.read.text(f"{folder}/in"), "clickstream"), RUN))
     newest = decode_json(spark.read.text(f"{folder}/in"), "clickstream").agg(F.max("timestamp")).collect()[0][0]
     want = batch.where(F.col("window_end") <= F.lit(newest) - F.expr("INTERVAL 1 MINUTE"))
-    got = spark.read.schema(batch.schema).parquet(f"{folder}/out")
+    got = read_batches(spark, f"{folder}/out", batch.schema)
     assert want.count() > 0
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
@@ -107,17 +114,76 @@ def test_restart_adds_nothing_twice(spark, folder):
     assert run() == 2
 
 
-def test_upsert_over_batches(spark, folder):
-    deliver(f"{folder}/in", 0, [purchase("a", "2024-01-01T00:00:10", 1), purchase("a", "2024-01-01T00:00:10", 2), purchase("b", "2024-01-01T00:00:10", 1)])
+def quantities(df):
+    return {(r["order_id"], r["quantity"]) for r in df.collect()}
+
+
+def test_last_arrival_wins(spark, folder):
+    """Also where the later row sorts lower, and where its event is older."""
+    deliver(f"{folder}/in", 0, [purchase("a", "2024-01-01T00:00:10", 2), purchase("a", "2024-01-01T00:00:10", 1), purchase("b", "2024-01-01T00:00:10", 1)])
     deliver(f"{folder}/in", 1, [purchase("b", "2023-01-01T00:00:00", 9), "junk"])
-    keys, schema = KEYS["purchases"], BRONZE["purchases"]
+    keys, schema, path = KEYS["purchases"], BRONZE["purchases"], f"{folder}/keyed"
+    run = lambda: await_all([
+        stream_upsert(arriving(spark, f"{folder}/in", "purchases"), keys, ["arrival"], path, f"{folder}/ckpt", ONCE_THROUGH, columns=schema.names)
+    ])
+    run()
+    assert quantities(read_keyed(spark, path, schema, keys)) == {("a", 1), ("b", 9)}
+    # Folded in place, the table is the same, and the stream goes on from it.
+    assert compact_keyed(spark, path, schema, keys) == 2 and len(batches_of(spark, path)) == 1
+    assert quantities(read_keyed(spark, path, schema, keys)) == {("a", 1), ("b", 9)}
+    deliver(f"{folder}/in", 2, [purchase("a", "2024-01-01T00:00:10", 5)])
+    run()
+    assert quantities(read_keyed(spark, path, schema, keys)) == {("a", 5), ("b", 9)}
+    assert compact_keyed(spark, path, schema, keys) == 2
+    assert quantities(spark.read.parquet(path)) == {("a", 5), ("b", 9)}
+
+
+def test_upsert_wants_an_order(spark, folder):
+    deliver(f"{folder}/in", 0, [purchase("a", "2024-01-01T00:00:10")])
     source = stream(spark, f"{folder}/in", "purchases")
-    await_all([stream_upsert(source, keys, ["quantity"], f"{folder}/keyed", f"{folder}/ckpt", ONCE_THROUGH)])
-    want = {("a", 2), ("b", 9)}
-    assert {(r["order_id"], r["quantity"]) for r in read_keyed(spark, f"{folder}/keyed", schema, keys).collect()} == want
-    compact_keyed(spark, f"{folder}/keyed", schema, keys, f"{folder}/compact")
-    assert {(r["order_id"], r["quantity"]) for r in read_keyed(spark, f"{folder}/compact", schema, keys).collect()} == want
-    assert spark.read.parquet(f"{folder}/compact").count() == 2
+    with pytest.raises(ValueError, match="order"):
+        stream_upsert(source, KEYS["purchases"], [], f"{folder}/keyed", f"{folder}/ckpt")
+    with pytest.raises(ValueError, match="order"):
+        start_layers("purchases", source, f"{folder}/lake", f"{folder}/ckpt")
+
+
+def test_new_checkpoint_loses_nothing(spark, folder):
+    """The second run counts its batches from 0 again, over a source that has only the new messages."""
+    deliver(f"{folder}/one", 0, [purchase("a", "2024-01-01T00:00:10"), purchase("b", "2024-01-01T00:00:10")])
+    deliver(f"{folder}/two", 0, [purchase("c", "2024-01-01T00:00:10"), purchase("b", "2024-01-01T00:00:10", 7)])
+    keys, schema = KEYS["purchases"], BRONZE["purchases"]
+    for name in ("one", "two", "two"):  # the third run is a restart
+        source = arriving(spark, f"{folder}/{name}", "purchases")
+        await_all([
+            stream_upsert(source, keys, ["arrival"], f"{folder}/keyed", f"{folder}/k{name}", ONCE_THROUGH, columns=schema.names),
+            start_layers("purchases", source, f"{folder}/lake", f"{folder}/l{name}", trigger=ONCE_THROUGH),
+            stream_to_files(source.drop("arrival"), f"{folder}/files", f"{folder}/f{name}", ONCE_THROUGH),
+            stream_snapshot(customer_analytics(source.selectExpr("product_id AS country", "order_id AS customer_id"), RUN), f"{folder}/shot", f"{folder}/s{name}", ONCE_THROUGH),
+        ])
+    want = {("a", 1), ("b", 7), ("c", 1)}
+    assert quantities(read_keyed(spark, f"{folder}/keyed", schema, keys)) == want
+    assert quantities(read_keyed(spark, f"{folder}/lake/keyed/purchases", schema, keys)) == want
+    for path in ("files", "lake/bronze/purchases", "lake/silver/purchases"):
+        assert sorted(r["order_id"] for r in read_batches(spark, f"{folder}/{path}", schema).collect()) == ["a", "b", "b", "c"]
+    (newest,) = read_snapshot(spark, f"{folder}/shot", customer_analytics(spark.createDataFrame([], "country int, customer_id string"), RUN).schema).collect()
+    assert newest["customer_count"] == 2
+
+
+def test_superseded_snapshots_go(spark, folder):
+    for n in range(4):
+        deliver(f"{folder}/in", n, [{"customer_id": f"c{n}", "country": "fr", "email": "e"}])
+    source = stream(spark, f"{folder}/in", "customers")
+    await_all([stream_snapshot(customer_analytics(source, RUN), f"{folder}/shot", f"{folder}/ckpt", ONCE_THROUGH)])
+    assert len(batches_of(spark, f"{folder}/shot")) == 2
+    schema = customer_analytics(spark.createDataFrame([], BRONZE["customers"]), RUN).schema
+    assert [r["customer_count"] for r in read_snapshot(spark, f"{folder}/shot", schema).collect()] == [4]
+
+
+def test_topic_messages_arrive_by_time_partition_and_offset(spark):
+    rows = [(b'{"order_id": "x"}', 2, 7, "2024-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "value binary, partition int, offset long, timestamp string")
+    (got,) = decode_json(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), "purchases").collect()
+    assert got["order_id"] == "x" and tuple(got["arrival"])[1:] == (2, 7)
 
 
 def test_medallion_and_analytics_jobs(spark, folder):
@@ -125,7 +191,7 @@ def test_medallion_and_analytics_jobs(spark, folder):
     deliver(f"{folder}/clickstream", 0, [click("u", t) for t in times] + [click("u", times[0], None)])
     deliver(f"{folder}/purchases", 0, [purchase(f"o{i}", t) for i, t in enumerate(times)] + [purchase("z", times[0], 0)])
     deliver(f"{folder}/customers", 0, [{"customer_id": f"c{i}", "country": "fr", "email": "e" if i else None} for i in range(3)])
-    streams = {e: stream(spark, f"{folder}/{e}", e) for e in ENTITIES}
+    streams = {e: arriving(spark, f"{folder}/{e}", e) for e in ENTITIES}
     queries = start_medallion(streams, f"{folder}/lake", f"{folder}/ckpt", ONCE_THROUGH)
     assert len(queries) == 9
     await_all(queries)
@@ -137,6 +203,7 @@ def test_medallion_and_analytics_jobs(spark, folder):
     assert {e: rows("silver", e) for e in ENTITIES} == {"clickstream": 6, "purchases": 6, "customers": 2}
     assert read_keyed(spark, f"{folder}/lake/keyed/clickstream", BRONZE["clickstream"], KEYS["clickstream"]).count() == 6
 
+    streams = {e: df.drop("arrival") for e, df in streams.items()}
     await_all(start_analytics(streams, f"{folder}/lake", f"{folder}/ckpt", ONCE_THROUGH, "csv", run_ts=RUN))
     clicks = spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/lake/clickstream_analytics")
     # Four closed minutes, the first of them with a second group for the event of no type.

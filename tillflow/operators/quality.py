@@ -114,7 +114,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def schema_conformance(tables: dict[str, DataFrame], expected: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per table: its row count and the columns it lacks or has beyond the expected ones."""
+    """Per table: the columns it lacks or has beyond the expected ones, from its header; no row is read."""
     expected = expected or SILVER_COLUMNS
 
     def names(found: list[str]) -> Column:
@@ -123,9 +123,8 @@ def schema_conformance(tables: dict[str, DataFrame], expected: dict[str, list[st
     def one(name: str, df: DataFrame) -> DataFrame:
         missing = [c for c in expected[name] if c not in df.columns]
         extra = [c for c in df.columns if c not in expected[name]]
-        return df.agg(F.count("*").alias("records")).select(
+        return df.sparkSession.range(1).select(
             F.lit(name).alias("table"),
-            "records",
             F.lit(not missing and not extra).alias("columns_match"),
             names(missing).alias("missing_columns"),
             names(extra).alias("extra_columns"),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.operators import cleaning, gold, quality
+from tillflow.operators import cleaning, gold, quality, reports
+from tillflow.operators.keyed import apply_retention, upsert
 from tillflow.operators.staging import STAGING
-from tillflow.schemas import ENTITIES, WIRE
+from tillflow.schemas import ENTITIES, KEYS, WIRE
+from tillflow.sinks import folders
 from tillflow.sinks.tables import export_gold, export_manifest, write_silver, write_table
-from tillflow.sources.files import find_silver, read_entity_csv, read_silver, require_sources
+from tillflow.sources.files import find_silver, read_entity_csv, read_silver, require_sources, text_csv, typed, with_file_order
 from tillflow.streaming.jobs import await_all, ingest_bronze_append
 
 RunTime = datetime | str | None
@@ -35,6 +38,36 @@ def load_bronze_full(spark: SparkSession, source: str, root: str) -> None:
         write_table(read_entity_csv(spark, entity, path), f"{root}/{entity}")
 
 
+# Attributes besides dates that silver tables are looked up by.
+LOOKED_UP = {
+    "clickstream": ["session_id", "event_type", "product_id"],
+    "purchases": ["user_id", "product_id"],
+    "customers": ["email_domain", "country"],
+}
+
+
+def load_keyed(spark: SparkSession, source: str, root: str) -> None:
+    """Replace the keyed tables by what the CSV files insert, line after line: the last line of a key wins."""
+    paths = _csv_paths(source)
+    require_sources(spark, paths)
+    for entity, path in paths.items():
+        lines = typed(with_file_order(text_csv(spark, entity, path)), entity, "file_order")
+        write_table(upsert(lines, KEYS[entity], ["file_order"]).drop("file_order"), f"{root}/{entity}")
+
+
+def remove_old(spark: SparkSession, path: str, time: str, as_of: RunTime, days: int = 7) -> None:
+    """Removes from the Parquet table at ``path`` the rows that are older than ``days`` days before ``as_of``.
+
+    What stays is written beside the table and then takes its place.
+    """
+    kept = apply_retention(spark.read.parquet(path), time, as_of, days)
+    work, old = f"{path}-kept-{uuid.uuid4().hex}", f"{path}-old-{uuid.uuid4().hex}"
+    write_table(kept, work)
+    folders.move(spark, path, old)
+    folders.move(spark, work, path)
+    folders.remove(spark, old)
+
+
 def load_bronze_new(spark: SparkSession, source: str, root: str, checkpoints: str) -> None:
     """Append to bronze the files that arrived since the last run, from one folder per entity."""
     await_all(
@@ -103,10 +136,18 @@ def run_silver_checks(spark: SparkSession, root: str, fmt: str = "parquet") -> D
     return quality.silver_presence(spark, find_silver(spark, root, fmt))
 
 
+def validate(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The checks, and three reports to look at: best customers, daily trend, latest purchases."""
+    return {
+        "checks": run_checks(tables),
+        "top_customers": reports.top_customers(tables["dim_customers"]),
+        "daily_sales_trend": reports.daily_sales_trend(tables["daily_sales_summary"]),
+        "recent_purchases": reports.recent_purchases(tables["fct_purchases"]),
+    }
+
+
 def run_checks(tables: dict[str, DataFrame], stop_on_failure: bool = False) -> DataFrame:
     checks = quality.run_checks(tables)
     if stop_on_failure:
         quality.require_passed(checks)
     return checks
-
-

@@ -315,7 +315,49 @@ def build() -> dict[str, str]:
         "select order_id, user_id, try_cast(\"timestamp\" as timestamp) as \"timestamp\", product_id, quantity, price "
         "from feed_purchases"
     )
+    # The row of each key that arrived last.
+    last_click = (
+        "select user_id, \"timestamp\", page_url, event_type, product_id, session_id from (select *, row_number() over "
+        "(partition by user_id, \"timestamp\" order by event_id desc) as place from bronze_clickstream "
+        "where user_id is not null and \"timestamp\" is not null) where place = 1"
+    )
+    last_purchase = (
+        "select order_id, user_id, bought_at as \"timestamp\", product_id, quantity, price from upserted_purchases"
+    )
+    # The third lines come last: a line counts if its window ends after the newest of the other lines, less a minute.
+    in_time = """
+        select * from bronze_purchases where not (order_id like '%-3' and time_bucket(interval '1 minute', "timestamp")
+            + interval '1 minute' <= (select max("timestamp") from bronze_purchases where order_id not like '%-3') - interval '1 minute')"""
+    late_windows = CTES["sale_windows"].replace("from bronze_purchases", f"from ({in_time})")
+    for entity in ENTITIES:
+        bodies[f"bronze_full_{entity}"] = bodies[f"feed_{entity}"]
+        bodies[f"batch_silver_{entity}"] = bodies[f"silver_{entity}"]
+    columns = _columns("customers")
     bodies |= {
+        "stream_layers_bronze": bodies["stream_bronze_purchases"],
+        "stream_layers_silver": bodies["stream_silver_purchases"],
+        "stream_layers_keyed": last_purchase,
+        "stream_medallion": last_purchase,
+        "keyed_load": last_purchase,
+        "stream_restart": bodies["stream_bronze_customers"],
+        "stream_new_checkpoint": f"select {columns}, 'bronze' as layer from bronze_customers union all select {columns}, 'keyed' "
+        f"from bronze_customers union all select {columns}, 'silver' from bronze_customers where email is not null",
+        "stream_snapshot_new_checkpoint": countries,
+        "stream_analytics_job": countries,
+        "stream_one_delivery": closed("sale_windows", "bronze_purchases"),
+        "stream_late_rows": closed(f"({late_windows})", "bronze_purchases"),
+        "stream_approx_bound": "select window_start, page_url, event_type, event_count, true as within_bound from ("
+        + closed("click_windows", "bronze_clickstream") + ")",
+        "bronze_append_rows": "select customer_id, nullif(trim(name), '') as name, trim(email) as email, trim(country) as country, signup_date "
+        "from feed_customers, (values (1), (2)) t(delivery)",
+        "retention_applied": "select * from silver_purchases where \"timestamp\" >= timestamp '1998-01-01 00:00:00'",
+        "preview_check": "select least(count(*), 3) as shown, least(count(*), 3) as known from silver_customers",
+        "csv_header": "select cast(position as bigint) as position, \"column\" from (values (1, 'customer_id'), (2, 'name'), (3, 'email'), "
+        "(4, 'country'), (5, 'signup_date')) t(position, \"column\")",
+        "source_gate": "select 'missing sources: customers' as said, count(*) as not_loaded from feed_customers",
+        "staging_views": "select * from stg_customers",
+        "export_dim_customers": "select * from dim_customers",
+        "export_fct_purchases": "select * from fct_purchases",
         "customer_rollup": "select * from customer_rollup",
         "dim_customers": "select * from dim_customers",
         "fct_purchases": "select * from fct_purchases",
@@ -349,13 +391,14 @@ def build() -> dict[str, str]:
         "check_unique": _unique_check("feed_purchases", "order_id", "purchases"),
         "check_unique_after_upsert": _unique_check("upserted_purchases", "order_id", "purchases"),
         "run_checks": _checks(),
+        "validate": _checks(),
         "row_counts": _counts(
             "stg_clickstream", "stg_purchases", "stg_customers", "dim_customers", "fct_purchases", "daily_sales_summary"
         ),
-        "schema_conformance": "select \"table\", records, true as columns_match, '' as missing_columns, '' as extra_columns "
-        f"from ({silver_counts}) union all select 'purchases (raw)', count(*), false, "
+        "schema_conformance": "select \"table\", true as columns_match, '' as missing_columns, '' as extra_columns "
+        "from (values ('clickstream'), ('purchases'), ('customers')) t(\"table\") union all select 'purchases (raw)', false, "
         "'unit_price,total_amount,processed_timestamp,purchase_date,purchase_hour,purchase_year,purchase_month,"
-        "purchase_day,data_source', 'price' from feed_purchases",
+        "purchase_day,data_source', 'price'",
         "silver_presence": f"select \"table\", true as present, records, records > 0 as ok from ({silver_counts})",
         "file_stats": f"select \"table\", records, true as all_sized from ({silver_counts})",
         "processing_stats": "select cast(3 as bigint) as total_tables, cast(3 as bigint) as valid_tables, "
@@ -388,10 +431,8 @@ def build() -> dict[str, str]:
                 union all select 'daily_sales_summary', count(*), 'Daily aggregated sales metrics' from daily_sales_summary)
             select "table", records, 1 as tables, description, {RUN} as exported_at from sizes
             union all select 'TOTAL', cast(sum(records) as bigint), count(*), 'All tables', {RUN} from sizes""",
-        "stream_upsert": "select user_id, \"timestamp\", page_url, event_type, product_id, session_id from (select *, "
-        "row_number() over (partition by user_id, \"timestamp\" order by page_url desc nulls last, event_type desc nulls last, "
-        "product_id desc nulls last, session_id desc nulls last) as place from bronze_clickstream "
-        "where user_id is not null and \"timestamp\" is not null) where place = 1",
+        "stream_upsert": last_click,
+        "keyed_compacted": last_click,
         "stream_layers": "select 'bronze' as \"table\", count(*) as records from bronze_purchases union all "
         "select 'silver', count(*) from bronze_purchases where quantity > 0 union all "
         "select 'keyed', count(distinct order_id) from bronze_purchases",

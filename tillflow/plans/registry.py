@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from tillflow.functions.scoring import engagement_score
 from tillflow.operators import analytics, cleaning, gold, keyed, monitoring, quality, reports
 from tillflow.operators.skew import sliced_join
-from tillflow.operators.staging import STAGING
+from tillflow.operators.staging import STAGING, register_staging
 from tillflow.plans import jobs
 from tillflow.schemas import BRONZE, ENTITIES, KEYS, WIRE
 from tillflow.session import scratch_path, streaming_session, use_utc
-from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_table
-from tillflow.sources.files import find_silver, read_entity_csv, read_silver
+from tillflow.sinks import folders
+from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_lookup, write_table
+from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, table
 from tillflow.sources.messages import decode_json
-from tillflow.sources.sample import feed, message_stream
-from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_layers
+from tillflow.sources.sample import feed, message_stream, messages, write_deliveries
+from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion
 from tillflow.streaming.sinks import (
     ONCE_THROUGH,
+    compact_keyed,
+    read_batches,
     read_keyed,
     read_snapshot,
     stream_snapshot,
@@ -85,11 +88,6 @@ class Models:
             write_table(self.silver(entity), f"{root}/{entity}", fmt)
         return root
 
-    def stored_stg(self, entity: str) -> DataFrame:
-        """Staging over a written silver table, for plans that go through it more than once."""
-        silver = read_silver(self.spark, self.stored_silver(entities=(entity,)), entity)
-        return STAGING[entity](silver, RUN_TS)
-
     def stored_gold(self, entities: tuple[str, ...] = ("purchases", "customers")) -> dict[str, DataFrame]:
         root = self.stored_silver(entities=entities)
         return jobs.run_gold(self.spark, root, self.stored("gold"), RUN_TS, entities=entities)
@@ -101,74 +99,171 @@ class Models:
         return gold.dim_customers(self.stg("customers"), self.stg("purchases"))
 
     def fct(self) -> DataFrame:
-        """Facts over written purchases and a written dimension, both of which the join goes through twice."""
-        purchases, path = self.stored_stg("purchases"), self.stored("dim")
-        dim = gold.dim_customers(self.stg("customers"), purchases)
-        write_table(dim, path)
-        return gold.fct_purchases(purchases, self.spark.read.schema(dim.schema).parquet(path))
+        return gold.fct_purchases(self.stg("purchases"), self.dim())
 
     def daily(self) -> DataFrame:
-        return self.stored_gold()["daily_sales_summary"]
+        return gold.daily_sales_summary(self.fct(), RUN_TS)
 
 
 def _over(build: Callable[[Models], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Models(spark, sf_dir))
 
 
-def _streamed(m: Models, entity: str, start, schema) -> DataFrame:
-    """Run one streaming query over the feed's messages until all are read; its output."""
-    session = streaming_session(m.spark)
+# Messages come in so many deliveries, each read by a run of its own.
+DELIVERIES = 4
+
+
+def _delivered(m: Models, entity: str, start, found: DataFrame | None = None, count: int = DELIVERIES) -> None:
+    """Delivers the messages slice by slice and runs the query of ``start`` after each until it has read all."""
+    session, source = streaming_session(m.spark), m.stored("messages")
+    slices = write_deliveries(messages(m.spark, m.sf_dir, entity) if found is None else found, m.stored("slices"), count)
+    for i, folder in enumerate(slices):
+        folders.move(m.spark, folder, f"{source}/{i:04d}")
+        await_all([start(decode_json(message_stream(session, source), entity))])
+
+
+def _streamed(m: Models, entity: str, start, schema, **delivery) -> DataFrame:
+    """What a query that appends to files has written of all deliveries."""
     out, checkpoint = m.stored("stream"), m.stored("checkpoint")
-    stream = decode_json(message_stream(session, m.sf_dir, entity), entity)
-    await_all([start(stream, out, checkpoint)])
-    return m.spark.read.schema(schema).parquet(out)
+    _delivered(m, entity, lambda df: start(df, out, checkpoint), **delivery)
+    return read_batches(m.spark, out, schema)
 
 
-def _stream_windows(m: Models, entity: str, measure, distinct: str | None = None) -> DataFrame:
+def _stream_windows(m: Models, entity: str, measure, distinct: str | None = None, **delivery) -> DataFrame:
     options = {"distinct": distinct} if distinct else {}
     expected = analytics.flatten_window(measure(m.bronze(entity), RUN_TS, **options))
     return _streamed(
         m, entity,
         lambda df, out, ckpt: stream_to_files(measure(df, RUN_TS, **options), out, ckpt, ONCE_THROUGH),
-        expected.schema,
+        expected.schema, **delivery,
     )
 
 
+def _late_rows(m: Models) -> DataFrame:
+    """Purchases per window; the third line of every order comes after everything else, mostly too late."""
+    found = messages(m.spark, m.sf_dir, "purchases")
+    late = F.get_json_object(F.decode("value", "UTF-8"), "$.order_id").endswith("-3")
+    out, checkpoint = m.stored("stream"), m.stored("checkpoint")
+    start = lambda df: stream_to_files(analytics.purchase_analytics(df, RUN_TS), out, checkpoint, ONCE_THROUGH)
+    session, source = streaming_session(m.spark), m.stored("messages")
+    slices = write_deliveries(found.where(~late), m.stored("slices"), DELIVERIES) + write_deliveries(found.where(late), m.stored("late"), 1)
+    for i, folder in enumerate(slices):
+        folders.move(m.spark, folder, f"{source}/{i:04d}")
+        await_all([start(decode_json(message_stream(session, source), "purchases"))])
+    schema = analytics.flatten_window(analytics.purchase_analytics(m.bronze("purchases"), RUN_TS)).schema
+    return read_batches(m.spark, out, schema)
+
+
+def _approx_bound(m: Models) -> DataFrame:
+    """Per window: whether the sketched distinct counts are within a tenth, or one, of the exact ones."""
+    keys = ["window_start", "page_url", "event_type"]
+    sketched = _stream_windows(m, "clickstream", analytics.clickstream_analytics, "approx")
+    exact = analytics.flatten_window(analytics.clickstream_analytics(m.bronze("clickstream"), RUN_TS))
+    exact = exact.select(*keys, F.col("unique_users").alias("users"), F.col("unique_sessions").alias("sessions"))
+    both = sketched.alias("s").join(exact.alias("e"), [F.col(f"s.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys])
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1), F.col(b) / 10)
+    return both.select(*[f"s.{k}" for k in keys], "event_count", (near("unique_users", "users") & near("unique_sessions", "sessions")).alias("within_bound"))
+
+
 def _stream_layer(m: Models, entity: str, silver: bool) -> DataFrame:
     def start(df: DataFrame, out: str, checkpoint: str):
+        df = df.select(BRONZE[entity].names)
         return stream_to_files(cleaning.stream_filter(entity, df) if silver else df, out, checkpoint, ONCE_THROUGH)
 
-    return _streamed(m, entity, start, BRONZE[entity])
+    return _streamed(m, entity, start, BRONZE[entity], count=2)
 
 
-def _stream_upsert(m: Models) -> DataFrame:
-    session = streaming_session(m.spark)
-    out, checkpoint = m.stored("keyed"), m.stored("checkpoint")
-    stream = decode_json(message_stream(session, m.sf_dir, "clickstream"), "clickstream")
-    last = [c for c in BRONZE["clickstream"].names if c not in KEYS["clickstream"]]
-    await_all([stream_upsert(stream, KEYS["clickstream"], last, out, checkpoint, ONCE_THROUGH)])
-    return read_keyed(m.spark, out, BRONZE["clickstream"], KEYS["clickstream"])
+def _stream_restart(m: Models) -> DataFrame:
+    """Bronze customers after a second run on the same checkpoint, which finds nothing new."""
+    out, checkpoint = m.stored("stream"), m.stored("checkpoint")
+
+    def twice(df: DataFrame):
+        start = lambda: stream_to_files(df.select(BRONZE["customers"].names), out, checkpoint, ONCE_THROUGH)
+        await_all([start()])
+        return start()
 
+    _delivered(m, "customers", twice, count=2)
+    return read_batches(m.spark, out, BRONZE["customers"])
 
-def _stream_layers(m: Models) -> DataFrame:
+
+def _upserted(m: Models, entity: str, after=None) -> DataFrame:
+    out, checkpoint, names = m.stored("keyed"), m.stored("checkpoint"), BRONZE[entity].names
+
+    def start(df: DataFrame):
+        if after and folders.exists(m.spark, out):
+            after(out)
+        return stream_upsert(df, KEYS[entity], ["arrival"], out, checkpoint, ONCE_THROUGH, columns=names)
+
+    # one delivery by time would split the copies of a key as they arrive, so slices follow the arrival
+    found = messages(m.spark, m.sf_dir, entity)
+    _delivered(m, entity, start, found.withColumn("at", F.timestamp_micros("offset")) if entity == "clickstream" else found)
+    return read_keyed(m.spark, out, BRONZE[entity], KEYS[entity])
+
+
+def _compacted(m: Models) -> DataFrame:
+    """The keyed table, folded before each delivery but the first."""
+    fold = lambda out: compact_keyed(m.spark, out, BRONZE["clickstream"], KEYS["clickstream"])
+    return _upserted(m, "clickstream", fold)
+
+
+def _layers(m: Models, entity: str, root: str) -> dict[str, DataFrame]:
+    schema = BRONZE[entity]
+    found = {layer: read_batches(m.spark, f"{root}/{layer}/{entity}", schema) for layer in ("bronze", "silver")}
+    return found | {"keyed": read_keyed(m.spark, f"{root}/keyed/{entity}", schema, KEYS[entity])}
+
+
+def _stream_layers(m: Models) -> dict[str, DataFrame]:
     """All three copies of the purchases, written from one read of the stream."""
-    session = streaming_session(m.spark)
     root, checkpoint = m.stored("layers"), m.stored("checkpoint")
-    stream = decode_json(message_stream(session, m.sf_dir, "purchases"), "purchases")
-    await_all([start_layers("purchases", stream, root, checkpoint, ["timestamp", "product_id", "quantity", "price"], ONCE_THROUGH)])
-    schema = BRONZE["purchases"]
-    layers = {layer: m.spark.read.schema(schema).parquet(f"{root}/{layer}/purchases") for layer in ("bronze", "silver")}
-    layers["keyed"] = read_keyed(m.spark, f"{root}/keyed/purchases", schema, KEYS["purchases"])
-    return quality.row_counts(layers)
+    _delivered(m, "purchases", lambda df: start_layers("purchases", df, root, checkpoint, trigger=ONCE_THROUGH), count=1)
+    return _layers(m, "purchases", root)
+
+
+def _new_checkpoint(m: Models) -> DataFrame:
+    """All three copies of the customers, half of them written on one checkpoint and half on another."""
+    root, checkpoints = m.stored("layers"), iter([m.stored("checkpoint"), m.stored("checkpoint")])
+    halves = write_deliveries(messages(m.spark, m.sf_dir, "customers"), m.stored("slices"), 2)
+    for folder, checkpoint in zip(halves, checkpoints):
+        source = m.stored("messages")
+        folders.move(m.spark, folder, f"{source}/0")
+        stream = decode_json(message_stream(streaming_session(m.spark), source), "customers")
+        await_all([start_layers("customers", stream, root, checkpoint, trigger=ONCE_THROUGH)])
+    return quality.union_all([df.withColumn("layer", F.lit(layer)) for layer, df in _layers(m, "customers", root).items()])
+
+
+def _stream_countries(m: Models, checkpoints: int = 1) -> DataFrame:
+    """The newest snapshot; with two checkpoints the second run starts from the earliest message again."""
+    out = m.stored("snapshot")
+    for _ in range(checkpoints):
+        checkpoint = m.stored("checkpoint")
+        start = lambda df, at=checkpoint: stream_snapshot(analytics.customer_analytics(df, RUN_TS), out, at, ONCE_THROUGH)
+        _delivered(m, "customers", start)
+    return read_snapshot(m.spark, out, analytics.customer_analytics(m.bronze("customers"), RUN_TS).schema)
+
+
+def _all_streams(m: Models) -> dict[str, DataFrame]:
+    session, streams = streaming_session(m.spark), {}
+    for entity in ENTITIES:
+        source = m.stored("messages")
+        (folder,) = write_deliveries(messages(m.spark, m.sf_dir, entity), m.stored("slices"), 1)
+        folders.move(m.spark, folder, f"{source}/0")
+        streams[entity] = decode_json(message_stream(session, source), entity)
+    return streams
 
 
-def _stream_countries(m: Models) -> DataFrame:
-    session = streaming_session(m.spark)
-    out, checkpoint = m.stored("snapshot"), m.stored("checkpoint")
-    stream = decode_json(message_stream(session, m.sf_dir, "customers"), "customers")
-    await_all([stream_snapshot(analytics.customer_analytics(stream, RUN_TS), out, checkpoint, ONCE_THROUGH)])
-    schema = analytics.customer_analytics(m.bronze("customers"), RUN_TS).schema
-    return read_snapshot(m.spark, out, schema)
+def _medallion(m: Models) -> DataFrame:
+    """The keyed purchases of the job with nine queries."""
+    root = m.stored("lake")
+    await_all(start_medallion(_all_streams(m), root, m.stored("checkpoints"), ONCE_THROUGH))
+    return _layers(m, "purchases", root)["keyed"]
+
+
+def _analytics_job(m: Models) -> DataFrame:
+    """The country snapshot of the job with three queries."""
+    root = m.stored("analytics")
+    records = {e: df.select(BRONZE[e].names) for e, df in _all_streams(m).items()}
+    await_all(start_analytics(records, root, m.stored("checkpoints"), ONCE_THROUGH, run_ts=RUN_TS))
+    return read_snapshot(m.spark, f"{root}/customer_analytics", analytics.customer_analytics(m.bronze("customers"), RUN_TS).schema)
 
 
 def _decoded(m: Models) -> DataFrame:
@@ -182,12 +277,18 @@ def _csv_round_trip(m: Models, mode: str) -> DataFrame:
     return read_entity_csv(m.spark, "purchases", path, mode)
 
 
-def _bronze_full(m: Models) -> DataFrame:
-    source, root = m.stored("landing"), m.stored("bronze")
+def _landing(m: Models) -> str:
+    source = m.stored("landing")
+    as_they_are = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     for entity in ENTITIES:
-        write_csv(m.raw(entity), f"{source}/{entity}.csv")
-    jobs.load_bronze_full(m.spark, source, root)
-    return quality.row_counts({e: m.spark.read.schema(WIRE[e]).parquet(f"{root}/{e}") for e in ENTITIES})
+        m.raw(entity).write.options(**as_they_are).csv(f"{source}/{entity}.csv")
+    return source
+
+
+def _bronze_full(m: Models) -> dict[str, DataFrame]:
+    root = m.stored("bronze")
+    jobs.load_bronze_full(m.spark, _landing(m), root)
+    return {e: m.spark.read.schema(WIRE[e]).parquet(f"{root}/{e}") for e in ENTITIES}
 
 
 def _bronze_append(m: Models) -> DataFrame:
@@ -197,14 +298,73 @@ def _bronze_append(m: Models) -> DataFrame:
     for entity in ("customers", "customers"):
         m.raw(entity).write.mode("append").option("header", True).csv(source)
         await_all([ingest_bronze_append(session, entity, source, out, checkpoint, WIRE[entity])])
-    return m.spark.read.schema(WIRE["customers"]).parquet(out).groupBy("country").agg(F.count("*").alias("records"))
+    return read_batches(m.spark, out, WIRE["customers"])
 
 
-def _batch_silver(m: Models) -> DataFrame:
-    source = m.stored("landing")
-    for entity in ENTITIES:
+def _batch_silver(m: Models) -> tuple[DataFrame, str]:
+    """Row counts as the job returns them, and where the tables are."""
+    root = m.stored("silver")
+    return jobs.run_batch_silver(m.spark, _landing(m), root, RUN_TS, by_date=True), root
+
+
+def _keyed_load(m: Models) -> DataFrame:
+    """Purchases from CSV files that hold them in the order in which they arrived."""
+    source, root = m.stored("landing"), m.stored("keyed")
+    ordered = feed(m.spark, m.sf_dir, "purchases").repartitionByRange(4, "arrival").sortWithinPartitions("arrival")
+    write_csv(ordered.select(WIRE["purchases"].names), f"{source}/purchases.csv")
+    for entity in ("clickstream", "customers"):
         write_csv(m.raw(entity), f"{source}/{entity}.csv")
-    return jobs.run_batch_silver(m.spark, source, m.stored("silver"), RUN_TS, by_date=True)
+    jobs.load_keyed(m.spark, source, root)
+    return m.spark.read.schema(BRONZE["purchases"]).parquet(f"{root}/purchases")
+
+
+def _looked_up(m: Models, entity: str, column: str, value) -> DataFrame:
+    """A look-up in the stored table."""
+    root = m.stored("silver")
+    write_lookup(m.silver(entity), f"{root}/{entity}", jobs.DATE_FOLDERS[entity], jobs.LOOKED_UP[entity])
+    return reports.lookup(read_silver(m.spark, root, entity), **{column: value})
+
+
+def _kept(m: Models) -> DataFrame:
+    """A stored table after its old rows were removed."""
+    path = m.stored("purchases")
+    write_table(m.silver("purchases"), path)
+    jobs.remove_old(m.spark, path, "timestamp", PURCHASES_AS_OF, 7)
+    return m.spark.read.schema(m.silver("purchases").schema).parquet(path)
+
+
+def _previewed(m: Models) -> DataFrame:
+    """How many rows a preview gives, and whether the table has them all."""
+    silver = m.silver("customers")
+    known = silver.select("customer_id").distinct().withColumn("known", F.lit(1))
+    return reports.preview(silver).join(known, "customer_id", "left").agg(F.count("*").alias("shown"), F.count("known").alias("known"))
+
+
+def _header(m: Models) -> DataFrame:
+    """The columns of a CSV file, from its header."""
+    path = m.stored("customers.csv")
+    write_csv(m.raw("customers"), path)
+    return m.spark.createDataFrame(list(enumerate(csv_columns(m.spark, path), 1)), "position bigint, column string")
+
+
+def _gate(m: Models) -> DataFrame:
+    """What the source gate says when one of the three inputs is missing."""
+    source = _landing(m)
+    folders.remove(m.spark, f"{source}/customers.csv")
+    try:
+        require_sources(m.spark, {e: f"{source}/{e}.csv" for e in ENTITIES})
+        missing = ""
+    except SourceMissing as found:
+        missing = str(found).split("(")[0].strip()
+    return m.raw("customers").agg(F.lit(missing).alias("said"), F.count("*").alias("not_loaded"))
+
+
+def _views(m: Models) -> DataFrame:
+    """A staging view, read by its name."""
+    root = m.stored_silver()
+    models = jobs.staging_models(m.spark, root, RUN_TS)
+    register_staging(m.spark, {name.removeprefix("stg_"): df for name, df in models.items()})
+    return table(m.spark, "stg_customers")
 
 
 def _silver_csv(m: Models) -> DataFrame:
@@ -215,11 +375,10 @@ def _gold_job(m: Models) -> DataFrame:
     return m.stored_gold()["daily_sales_summary"]
 
 
-def _exported(m: Models) -> DataFrame:
+def _exported(m: Models, name: str) -> DataFrame:
     tables = m.stored_gold()
     folder = export_gold({name: tables[name] for name in GOLD_TABLES}, m.stored("export"), "run")
-    schema = tables["daily_sales_summary"].schema
-    return m.spark.read.schema(schema).option("header", True).csv(f"{folder}/daily_sales_summary")
+    return m.spark.read.schema(tables[name].schema).option("header", True).csv(f"{folder}/{name}")
 
 
 def _manifest(m: Models) -> DataFrame:
@@ -328,6 +487,10 @@ def build() -> dict[str, Query]:
         found[f"stg_{entity}"] = lambda m, e=entity: m.stg(e)
         found[f"stream_bronze_{entity}"] = lambda m, e=entity: _stream_layer(m, e, silver=False)
         found[f"stream_silver_{entity}"] = lambda m, e=entity: _stream_layer(m, e, silver=True)
+        found[f"bronze_full_{entity}"] = lambda m, e=entity: _bronze_full(m)[e]
+        found[f"batch_silver_{entity}"] = lambda m, e=entity: read_silver(m.spark, _batch_silver(m)[1], e)
+    for layer in ("bronze", "silver", "keyed"):
+        found[f"stream_layers_{layer}"] = lambda m, name=layer: _stream_layers(m)[name]
     found |= {
         "customer_rollup": Models.rollup,
         "dim_customers": Models.dim,
@@ -344,7 +507,7 @@ def build() -> dict[str, Query]:
         "orphaned_purchases": _orphans,
         "orphan_count": lambda m: quality.orphan_count(m.stg("purchases"), m.stg("customers")),
         "revenue_reconciliation": _reconciled,
-        "date_consistency": lambda m: quality.date_consistency(m.stg("purchases")),
+        "date_consistency": lambda m: quality.date_consistency(m.fct()),
         "check_not_null": lambda m: quality.check_not_null(m.raw("purchases"), "order_id", "timestamp", "quantity", table="purchases"),
         "check_unique": lambda m: quality.check_unique(m.raw("purchases"), "order_id", "purchases"),
         "check_unique_after_upsert": lambda m: quality.check_unique(_moved(m), "order_id", "purchases"),
@@ -365,18 +528,37 @@ def build() -> dict[str, Query]:
         "csv_typed": lambda m: _csv_round_trip(m, "typed"),
         "csv_inferred": lambda m: _csv_round_trip(m, "inferred"),
         "silver_csv": _silver_csv,
-        "bronze_full": _bronze_full,
-        "bronze_append": _bronze_append,
-        "batch_silver": _batch_silver,
+        "bronze_full": lambda m: quality.row_counts(_bronze_full(m)),
+        "bronze_append": lambda m: _bronze_append(m).groupBy("country").agg(F.count("*").alias("records")),
+        "bronze_append_rows": _bronze_append,
+        "batch_silver": lambda m: _batch_silver(m)[0],
+        "keyed_load": _keyed_load,
+        "retention_applied": _kept,
+        "validate": lambda m: jobs.validate(m.stored_gold())["checks"],
+        "preview_check": _previewed,
+        "csv_header": _header,
+        "source_gate": _gate,
+        "staging_views": _views,
         "gold_job": _gold_job,
-        "export_gold": _exported,
+        "export_gold": lambda m: _exported(m, "daily_sales_summary"),
+        "export_dim_customers": lambda m: _exported(m, "dim_customers"),
+        "export_fct_purchases": lambda m: _exported(m, "fct_purchases"),
         "export_manifest": _manifest,
         "stream_clickstream_analytics": lambda m: _stream_windows(m, "clickstream", analytics.clickstream_analytics, "exact"),
         "stream_clickstream_approx": lambda m: _stream_windows(m, "clickstream", analytics.clickstream_analytics, "approx"),
         "stream_purchase_analytics": lambda m: _stream_windows(m, "purchases", analytics.purchase_analytics),
         "stream_customer_analytics": _stream_countries,
-        "stream_upsert": _stream_upsert,
-        "stream_layers": _stream_layers,
+        "stream_one_delivery": lambda m: _stream_windows(m, "purchases", analytics.purchase_analytics, count=1),
+        "stream_late_rows": _late_rows,
+        "stream_approx_bound": _approx_bound,
+        "stream_restart": _stream_restart,
+        "stream_new_checkpoint": _new_checkpoint,
+        "stream_snapshot_new_checkpoint": lambda m: _stream_countries(m, 2),
+        "stream_upsert": lambda m: _upserted(m, "clickstream"),
+        "keyed_compacted": _compacted,
+        "stream_layers": lambda m: quality.row_counts(_stream_layers(m)),
+        "stream_medallion": _medallion,
+        "stream_analytics_job": _analytics_job,
         "upsert_purchases": _moved,
         "upsert_clickstream": lambda m: keyed.upsert(_click_log(m), KEYS["clickstream"], ["event_id"]).drop("event_id"),
         "upsert_customers": _customer_changes,
@@ -389,5 +571,5 @@ def build() -> dict[str, Query]:
         "volume_daily": lambda m: monitoring.volume_daily(m.silver("clickstream"), "timestamp"),
     }
     for (entity, column), value in LOOKUPS.items():
-        found[f"lookup_{entity}_{column}"] = lambda m, e=entity, c=column, v=value: reports.lookup(m.silver(e), **{c: v})
+        found[f"lookup_{entity}_{column}"] = lambda m, e=entity, c=column, v=value: _looked_up(m, e, c, v)
     return {name: _over(query) for name, query in found.items()}

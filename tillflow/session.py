@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from tillflow.sinks import folders
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -38,25 +42,46 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
-    Only a local master may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine alone.
+    Only a local master may do without the setting and gets a temporary folder.
+    On any other master the folder's file system has to be named: a path
+    without a scheme could mean a different disk on every machine.
     """
     context = spark.sparkContext
+    local = context.master.startswith("local[") or context.master == "local"
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
+    if folder and (local or "://" in folder or folder.startswith("file:/")):
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tillflow-")
-    context.setCheckpointDir(folder)
-    return folder
+    if not local:
+        raise RuntimeError("set spark.checkpoint.dir to the URI of a folder all executors share")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tillflow-")
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Removes all paths that ``scratch_path`` has given out; runs when the driver ends."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            folders.remove(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended, and with it the way to its file system
+            return
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; no two calls return the same one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; no two calls return the same one. It goes when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:

@@ -41,6 +41,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     writer.save(path)
 
 
+def write_lookup(df: DataFrame, path: str, partition_by: list[str], looked_up: list[str]) -> None:
+    """Replace the table at ``path`` by one that is looked up by dates and by other attributes.
+
+    Dates are folders.  Rows are sorted by the first of the other attributes, so
+    that its smallest and largest values tell most row groups apart, and every
+    one of them has Bloom filters.
+    """
+    writer = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *looked_up).write.mode("overwrite")
+    for column in looked_up:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def write_silver(
     df: DataFrame, root: str, entity: str, fmt: str = "parquet", partition_by: list[str] | None = None
 ) -> None:

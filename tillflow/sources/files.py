@@ -27,15 +27,25 @@ def read_entity_csv(spark: SparkSession, entity: str, path: str, mode: str = "de
         return reader.schema(WIRE[entity]).csv(path)
     if mode != "typed":
         raise ValueError(f"unknown mode {mode!r}")
+    return typed(text_csv(spark, entity, path), entity)
+
+
+def text_csv(spark: SparkSession, entity: str, path: str) -> DataFrame:
+    """One entity's CSV files with every field as text."""
     text = StructType([StructField(f.name, StringType(), True) for f in BRONZE[entity]])
-    df = reader.schema(text).csv(path)
+    return spark.read.option("header", True).schema(text).csv(path)
+
+
+def typed(df: DataFrame, entity: str, *others: str) -> DataFrame:
+    """Text fields as bronze types, null where they can't be read, and other columns as they are."""
     return df.select(
         *[
             F.try_to_timestamp(f.name).alias(f.name)
             if f.name == TIME_FIELD[entity]
             else F.col(f.name).try_cast(f.dataType).alias(f.name)
             for f in BRONZE[entity]
-        ]
+        ],
+        *others,
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tillflow.functions.times import parsed_time
 from tillflow.schemas import TIME_FIELD, WIRE
 
+# Column that says when a message arrived, next to its record.
+ARRIVAL = "arrival"
+
 
 def kafka_source(spark: SparkSession, topic: str, servers: str, starting: str = "earliest", **options: str) -> DataFrame:
     """One topic as a stream of messages. Needs the Kafka connector on the class path."""
@@ -21,20 +24,31 @@ def kafka_source(spark: SparkSession, topic: str, servers: str, starting: str =
 
 
 def folder_source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Text files, one JSON message per line, as a stream with the same ``value`` column."""
+    """Text files, one JSON message per line, as a stream of messages.
+
+    They arrive in the order of their files' times and of the files' splits; lines of a split keep their order.
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    file = F.col("_metadata")
+    place = F.struct(file["file_modification_time"], file["file_path"], file["file_block_start"])
+    return reader.text(path).select("value", place.alias(ARRIVAL))
 
 
 def decode_json(messages: DataFrame, entity: str) -> DataFrame:
-    """The record in each message's ``value``.
+    """The record in each message's ``value``, and its ``arrival``: what sorts messages as they came.
 
     Text that is no JSON object gives a record of nulls, which the silver rules
-    remove.  A time that cannot be read becomes null.
+    remove.  A time that cannot be read becomes null.  Messages of a topic
+    arrive by time, partition and offset; those without any place have no
+    ``arrival`` column.
     """
-    decoded = messages.select(F.from_json(F.col("value").cast("string"), WIRE[entity]).alias("data")).select("data.*")
+    if {"partition", "offset", "timestamp"} <= set(messages.columns):
+        messages = messages.withColumn(ARRIVAL, F.struct("timestamp", "partition", "offset"))
+    data = F.from_json(F.col("value").cast("string"), WIRE[entity]).alias("data")
+    place = [ARRIVAL] if ARRIVAL in messages.columns else []
+    decoded = messages.select(data, *place).select("data.*", *place)
     name = TIME_FIELD[entity]
     return decoded.withColumn(name, parsed_time(decoded, name))
 

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillflow.schemas import WIRE
+from tillflow.sinks.folders import names
+
 Tables = dict[str, DataFrame]
 
 
@@ -19,21 +22,6 @@ def given(spark: SparkSession, sf_dir: str, *names: str) -> Tables:
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
-def _few_splits(df: DataFrame) -> bool:
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores over all cores.
-
-    The given facts are one file of one row group, which one task has to read.
-    A table of many files is left as it is.
-    """
-    if df.isStreaming or not _few_splits(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -46,7 +34,7 @@ def clickstream_from(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "error", "scroll")
         .otherwise(F.col("event_type"))
     )
-    return spread(events, "event_id").select(
+    return events.select(
         F.when(_every("event_id", 71), " ").otherwise(F.col("user_id").cast("string")).alias("user_id"),
         F.when(_every("event_id", 59), "bad-ts").otherwise(F.col("ts").cast("string")).alias("timestamp"),
         F.concat(F.lit(" https://shop.example.com/p/"), k, F.lit(" ")).alias("page_url"),
@@ -58,8 +46,7 @@ def clickstream_from(events: DataFrame) -> DataFrame:
 
 
 def purchases_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    lines = spread(lineitem, "l_orderkey", "l_linenumber", "l_partkey")
-    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    sold = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
     )
     few = (F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 12)
@@ -113,18 +100,46 @@ def feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return derive(*given(spark, sf_dir, *names).values())
 
 
-def message_stream(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The feed as a stream of JSON messages: the first table streams, the others are looked up.
+# A message's place in its topic: (timestamp, partition, offset), from columns that the wire format lacks.
+PLACES = {
+    "clickstream": ("timestamp '2024-01-01'", "0", "event_id"),
+    # supplier, and price in cents, which has fewer than ten digits
+    "purchases": (
+        "cast(arrival.l_shipdate as timestamp)", "arrival.l_partkey", "arrival.l_suppkey * 10000000000 + round(arrival.l_extendedprice * 100)"
+    ),
+    "customers": ("timestamp '2024-01-01'", "0", "customer_id"),
+}
+MESSAGES = "value binary, timestamp timestamp, partition int, offset bigint"
+
+
+def messages(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The feed as JSON messages of a topic, and the time of each record (``at``).
 
     Event types lose their padding and page urls too, as the live producer sends them clean.
     """
-    derive, (streamed, *looked_up) = FEEDS[entity]
-    static = given(spark, sf_dir, streamed, *looked_up)
-    # A file stream takes folders or patterns; the bracket turns a plain file into a pattern.
-    stream = spark.readStream.schema(static[streamed].schema).parquet(f"{sf_dir}/{streamed}.parque[t]")
-    if _few_splits(static[streamed]):
-        stream = stream.repartition(spark.sparkContext.defaultParallelism)
-    records = derive(stream, *[static[name] for name in looked_up])
+    records = feed(spark, sf_dir, entity)
     if entity == "clickstream":
         records = records.withColumns({"event_type": F.trim("event_type"), "page_url": F.trim("page_url")})
-    return records.select(F.encode(F.to_json(F.struct("*")), "UTF-8").alias("value"))
+    time, partition, offset = map(F.expr, PLACES[entity])
+    return records.select(
+        F.encode(F.to_json(F.struct(*WIRE[entity].names)), "UTF-8").alias("value"), time.alias("timestamp"),
+        partition.cast("int").alias("partition"), offset.cast("long").alias("offset"), F.try_to_timestamp("signup_date" if entity == "customers" else "timestamp").alias("at"),
+    )
+
+
+def write_deliveries(found: DataFrame, path: str, count: int) -> list[str]:
+    """Messages in ``count`` folders, in the order of their records' times; returns the folders that have any.
+
+    Slices of equal length, so that records of equal times stay together; records without time come first.
+    """
+    low, high = found.agg(F.min("at").cast("double"), F.max("at").cast("double")).first()
+    span = max((high or 0.0) - (low or 0.0), 1e-6)
+    number = F.coalesce(F.floor((F.col("at").cast("double") - F.lit(low)) / span * count), F.lit(0))
+    found.withColumn("delivery", F.least(number, F.lit(count - 1)).cast("int")).drop("at").write.partitionBy("delivery").parquet(path)
+    present = {name for name in names(found.sparkSession, path) if name.startswith("delivery=")}
+    return [f"{path}/delivery={i}" for i in range(count) if f"delivery={i}" in present]
+
+
+def message_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages that have been delivered to a folder, as a stream."""
+    return spark.readStream.schema(MESSAGES).parquet(f"{folder}/*")

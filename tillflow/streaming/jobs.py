@@ -11,9 +11,10 @@ from pyspark.sql.types import StructType
 
 from tillflow.operators.analytics import clickstream_analytics, customer_analytics, purchase_analytics
 from tillflow.operators.cleaning import stream_filter
-from tillflow.operators.keyed import upsert
+from tillflow.operators.keyed import Order
 from tillflow.schemas import ENTITIES, KEYS
-from tillflow.streaming.sinks import stream_snapshot, stream_to_files, stream_upsert, triggered
+from tillflow.sources.messages import ARRIVAL
+from tillflow.streaming.sinks import batch_folder, latest, started, stream_snapshot, stream_to_files, stream_upsert
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
 TRIGGERS = {
@@ -33,12 +34,15 @@ def start_medallion(
 ) -> list[StreamingQuery]:
     """Bronze, keyed and silver copies of each entity's stream: nine queries.
 
-    ``trigger`` replaces the trigger of all of them.  ``order_by`` says which row
-    of a key is the last within one batch.
+    ``trigger`` replaces the trigger of all of them.  Of the rows of a key, the
+    one that arrived last stays: by the stream's ``arrival`` column, or by
+    ``order_by``.
     """
     queries = []
     for entity in ENTITIES:
         stream = streams[entity]
+        last = (order_by or {}).get(entity) or [c for c in stream.columns if c == ARRIVAL]
+        record = [c for c in stream.columns if c != ARRIVAL]
 
         def when(layer: str) -> str | None:
             return trigger or TRIGGERS.get((layer, entity))
@@ -46,40 +50,42 @@ def start_medallion(
         def places(layer: str) -> tuple[str, str]:
             return f"{root}/{layer}/{entity}", f"{checkpoints}/{entity}_{layer}"
 
-        queries.append(stream_to_files(stream, *places("bronze"), when("bronze"), name=f"{entity}_bronze"))
-        last = (order_by or {}).get(entity) or [c for c in stream.columns if c not in KEYS[entity]]
+        queries.append(stream_to_files(stream.select(record), *places("bronze"), when("bronze"), name=f"{entity}_bronze"))
         queries.append(
-            stream_upsert(stream, KEYS[entity], last, *places("keyed"), when("keyed"), name=f"{entity}_keyed")
+            stream_upsert(stream, KEYS[entity], last, *places("keyed"), when("keyed"), f"{entity}_keyed", record)
         )
-        kept = stream_filter(entity, stream)
+        kept = stream_filter(entity, stream.select(record))
         queries.append(stream_to_files(kept, *places("silver"), when("silver"), name=f"{entity}_silver"))
     return queries
 
 
 def start_layers(
-    entity: str, stream: DataFrame, root: str, checkpoint: str, order_by: list[str], trigger: str | None = None
+    entity: str, stream: DataFrame, root: str, checkpoint: str, order_by: list[Order] | None = None, trigger: str | None = None
 ) -> StreamingQuery:
     """All three copies of one entity in one query, so its topic is read once and not three times.
 
-    Every copy of a batch lies under the batch's number: a batch that runs
-    again replaces its files, whichever of the copies had been written.
+    Every copy of a batch has a folder of its own: a batch that runs again
+    replaces its files, whichever of the copies had been written.
     """
+    last = order_by or [c for c in stream.columns if c == ARRIVAL]
+    if not last:
+        raise ValueError("a keyed copy needs the order in which rows arrive")
+    record = [c for c in stream.columns if c != ARRIVAL]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             copies = {
-                "bronze": batch,
-                "keyed": upsert(batch, KEYS[entity], order_by),
-                "silver": stream_filter(entity, batch),
+                "bronze": batch.select(record),
+                "keyed": latest(batch, KEYS[entity], last, record),
+                "silver": stream_filter(entity, batch.select(record)),
             }
             for layer, df in copies.items():
-                df.write.mode("overwrite").parquet(f"{root}/{layer}/{entity}/batch={batch_id}")
+                df.write.mode("overwrite").parquet(batch_folder(batch, f"{root}/{layer}/{entity}", batch_id))
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"{entity}_layers")
-    return triggered(writer, trigger).start()
+    return started(stream, write, checkpoint, trigger, f"{entity}_layers")
 
 
 def start_analytics(

@@ -1,22 +1,36 @@
 """Streaming sinks.
 
 Each query owns its checkpoint; started again on it, a query goes on where it
-stopped and adds nothing twice.
+stopped and adds nothing twice.  A query on a new checkpoint counts its batches
+from 0 again, so every store keeps the batches of each checkpoint apart:
+
+    path/_generations/000001-<id of the query>
+    path/generation=1/batch=0/part-...
+
+The id is kept in the checkpoint.  The first batch of an id that the store
+doesn't know opens the next generation; a batch that runs again replaces its
+own folder.  Later generations are newer than all batches of earlier ones.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillflow.operators.analytics import flatten_window
-from tillflow.operators.keyed import upsert
+from tillflow.operators.keyed import Order, upsert
+from tillflow.sinks import folders
 
 # A processing-time interval such as "30 seconds", "once through" (all that is
 # there, then stop), or None for batches as fast as possible.
 ONCE_THROUGH = "once through"
+# Generation of compacted tables: older than that of any stream.
+COMPACTED = 0
 
 
 def triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -27,67 +41,138 @@ def triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter
     return writer.trigger(processingTime=trigger)
 
 
+def generation(spark: SparkSession, path: str, query: str) -> int:
+    """The number of a query's generation in a store; a query that is new to it gets the next one."""
+    known = folders.names(spark, f"{path}/_generations")
+    for name in known:
+        number, _, owner = name.partition("-")
+        if owner == query:
+            return int(number)
+    number = max((int(name.partition("-")[0]) for name in known), default=COMPACTED) + 1
+    folders.make(spark, f"{path}/_generations/{number:06d}-{query}")
+    return number
+
+
+def batch_folder(batch: DataFrame, path: str, batch_id: int) -> str:
+    """Where the batch that is being written belongs."""
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{path}/generation={generation(spark, path, query)}/batch={batch_id}"
+
+
+def started(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: str | None, name: str | None, mode: str = "append"
+) -> StreamingQuery:
+    writer = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return triggered(writer, trigger).start()
+
+
 def stream_to_files(
     df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet", name: str | None = None
 ) -> StreamingQuery:
     """Append to files. A window is written once, after the watermark has passed its end."""
     if "window" in df.columns:
         df = flatten_window(df)
-    writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    if name:
-        writer = writer.queryName(name)
-    return triggered(writer, trigger).start(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.save(batch_folder(batch, path, batch_id))
+
+    return started(df, write, checkpoint, trigger, name)
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """All rows of a store, of every generation."""
+    reader = spark.read.schema(StructType([*schema.fields]).add("generation", "integer").add("batch", "long")).format(fmt)
+    return reader.option("header", True).load(path).select(schema.names)
+
+
+def latest(batch: DataFrame, keys: list[str], order_by: list[Order], columns: list[str] | None = None) -> DataFrame:
+    """Of each key in a batch the row that arrived last; of equal places, the row that its task read last."""
+    numbered = batch.withColumn("__row", F.monotonically_increasing_id())
+    return upsert(numbered, keys, [*order_by, "__row"]).select(columns or batch.columns)
 
 
 def stream_upsert(
-    df: DataFrame, keys: list[str], order_by: list[str], path: str, checkpoint: str,
-    trigger: str | None = None, name: str | None = None,
+    df: DataFrame, keys: list[str], order_by: list[Order], path: str, checkpoint: str,
+    trigger: str | None = None, name: str | None = None, columns: list[str] | None = None,
 ) -> StreamingQuery:
     """Insert-as-upsert into a keyed table.
 
-    A batch writes its latest row per key under its own number, so its cost
-    follows the batch and not the table, and a batch that runs again replaces
-    what it wrote.  ``read_keyed`` picks each key's newest row.
+    A batch writes its latest row per key into its own folder, so its cost
+    follows the batch and not the table.  ``order_by`` says which row of a key
+    arrived last in a batch; ``columns`` are those that the table keeps.
+    ``read_keyed`` picks each key's newest row.
     """
+    if not order_by:
+        raise ValueError("a keyed table needs the order in which rows arrive")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, keys, order_by).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        latest(batch, keys, order_by, columns).write.mode("overwrite").parquet(batch_folder(batch, path, batch_id))
+
+    return started(df, write, checkpoint, trigger, name)
 
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return triggered(writer, trigger).start()
+
+def _keyed(spark: SparkSession, path: str, batches: list[str] | None, schema: StructType, keys: list[str]) -> DataFrame:
+    reader = spark.read.schema(StructType([*schema.fields]).add("generation", "integer").add("batch", "long"))
+    found = reader.parquet(path) if batches is None else reader.option("basePath", path).parquet(*batches)
+    return upsert(found, keys, ["generation", "batch"]).select(schema.names)
 
 
 def read_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
     """The keyed table as it stands: of each key, the row that arrived last."""
-    stored = spark.read.schema(StructType([*schema.fields]).add("batch", "long")).parquet(path)
-    return upsert(stored, keys, ["batch"]).drop("batch")
+    return _keyed(spark, path, None, schema, keys)
+
+
+def batches_of(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
+    """(generation, batch, folder) of a store's finished batches, oldest first."""
+    found = []
+    for generation_ in folders.names(spark, path):
+        if generation_.startswith("generation="):
+            for batch in folders.names(spark, f"{path}/{generation_}"):
+                folder = f"{path}/{generation_}/{batch}"
+                if folders.exists(spark, f"{folder}/_SUCCESS"):
+                    found.append((int(generation_.partition("=")[2]), int(batch.partition("=")[2]), folder))
+    return sorted(found)
+
 
+def compact_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> int:
+    """Folds the finished batches of a keyed table into one, in place; returns how many there were.
 
-def compact_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str], into: str) -> None:
-    """Write the table as it stands to a new path, as one batch older than all to come."""
-    read_keyed(spark, path, schema, keys).write.mode("overwrite").parquet(f"{into}/batch=-1")
+    The folded table takes its place first, older than every batch of a stream,
+    and the batches go afterwards, oldest first: at every moment the newest row
+    of a key is there, and a stream may write on.
+    """
+    old = batches_of(spark, path)
+    if not old:
+        return 0
+    work = f"{path}/_compaction-{uuid.uuid4().hex}"
+    _keyed(spark, path, [folder for *_, folder in old], schema, keys).write.parquet(work)
+    number = max((batch for g, batch, _ in old if g == COMPACTED), default=-1) + 1
+    folders.move(spark, work, f"{path}/generation={COMPACTED}/batch={number}")
+    for *_, folder in old:
+        folders.remove(spark, folder)
+    return len(old)
 
 
 def stream_snapshot(
     df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, name: str | None = None
 ) -> StreamingQuery:
-    """Keep the whole result of an unwindowed aggregate, one snapshot per batch."""
+    """Keep the whole result of an unwindowed aggregate; the newest snapshot and the one before stay."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/snapshot={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_folder(batch, path, batch_id))
+        for *_, folder in batches_of(batch.sparkSession, path)[:-2]:
+            folders.remove(batch.sparkSession, folder)
 
-    writer = df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    return triggered(writer, trigger).start()
+    return started(df, write, checkpoint, trigger, name, "complete")
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The newest snapshot. The filter is on the partition column, so older ones are not read."""
-    stored = spark.read.schema(StructType([*schema.fields]).add("snapshot", "long")).parquet(path)
-    newest = stored.agg(F.max("snapshot")).scalar()
-    return stored.where(F.col("snapshot") == newest).drop("snapshot")
+    """The newest finished snapshot, found by the folders' names."""
+    *_, folder = batches_of(spark, path)[-1]
+    return spark.read.schema(schema).parquet(folder)
