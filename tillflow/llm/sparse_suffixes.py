@@ -28,7 +28,7 @@ from .repeats import without_repeats as without_repeats_by
 from .words import shingles
 
 #: Words that a minimiser spans.
-ORDER = 8
+ORDER = 16
 #: Claims that a task compares at once; a run of neighbours is never cut.
 COMPARED = 50_000
 
