@@ -27,7 +27,7 @@ from .repeats import without_repeats as without_repeats_by
 from .words import BASE, mix, shingles
 
 ROUNDS = 12
-SAID = 8
+SAID = 16
 #: Claims that one group brings together, about.
 GROUP_CLAIMS = 100_000
 

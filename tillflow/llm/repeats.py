@@ -55,12 +55,15 @@ def groups(rows: Iterator[tuple], sizes: Callable[[tuple], int], most: int) -> I
         yield held
 
 
-def hashed(batches: Iterator[pa.RecordBatch], prints: Fingerprints, least: int) -> Iterator[list[tuple]]:
-    """Lists of (row of the batch as a dict without text, words, fingerprints) of documents with ``least`` words or more."""
+def hashed(batches: Iterator[pa.RecordBatch], prints: Fingerprints, least: int, asked: str | None = None) -> Iterator[list[tuple]]:
+    """Lists of (row of the batch as a dict without text, words, fingerprints).
+
+    Fingerprints are made for documents with ``least`` words or more, where the column ``asked`` holds anything.
+    """
     for batch in slices(batches, "text"):
         others = batch.drop_columns(["text"]).to_pylist()
         words = (split(t) for t in batch.column("text").to_pylist())
-        rows = ((o, w, prints.of(w) if len(w) >= least else None) for o, w in zip(others, words, strict=True))
+        rows = ((o, w, prints.of(w) if len(w) >= least and (asked is None or o[asked]) else None) for o, w in zip(others, words, strict=True))
         yield from groups(rows, lambda r: len(r[1]), AT_ONCE)
 
 
@@ -178,7 +181,7 @@ def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints, claims = Fingerprints(), Claims()
         seconds = Fingerprints(seed=1)
-        for rows in hashed(batches, prints, width):
+        for rows in hashed(batches, prints, width, "names"):
             out, open_ = [], []
             for row, words, h in rows:
                 data = b" ".join(words)
