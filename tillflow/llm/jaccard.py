@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .repeats import NULL_ID, groups
+from .repeats import NULL_ID, bounds, groups
 from .scratch import stored
 from .words import BASE, Fingerprints, mix, shingles, slices, split
 
@@ -46,8 +46,8 @@ HELD = 1_500_000
 COMMON_FROM, MOST_COMMON = 32, 500_000
 #: Times that a task must see a shingle to report it as possibly common.
 SEEN = 4
-#: Shingles that one group of the exchange brings together, and members of a block's tree, about.
-GROUP_SHINGLES, TREE_MEMBERS = 1_000_000, 2048
+#: Shingles that one group of the exchange brings together, members of a block's tree, and of the trees of a task, about.
+GROUP_SHINGLES, TREE_MEMBERS, PART_MEMBERS = 1_000_000, 2048, 50_000
 LEAF = 16
 ROW, COUNT = 0, 1
 POINT, MEMBER, ASK = 0, 1, 2
@@ -249,36 +249,60 @@ class Tree:
         return found[fits]
 
 
+def distinct_blocks(members: DataFrame) -> DataFrame:
+    """Members (shingle, class, head) of one of all blocks that have the same members; head is the least of them."""
+    name = F.xxhash64("class"), F.xxhash64("class", F.lit(1))
+    blocks = members.groupBy("shingle").agg(
+        F.bit_xor(name[0]).alias("one"), F.bit_xor(name[1]).alias("two"), F.count("*").alias("n"), F.min("class").alias("head")
+    )
+    kept = blocks.groupBy("one", "two", "n", "head").agg(F.min("shingle").alias("shingle")).select("shingle", "head")
+    return members.join(kept, "shingle")
+
+
+def fitting(spots: np.ndarray, asks: np.ndarray, held: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each asking spot the held ones that may be similar to it; small blocks need no tree."""
+    if len(held) > 4 * LEAF:
+        tree = Tree(spots[held])
+        for i in asks.tolist():
+            yield i, held[tree.search(spots[i], percent)]
+        return
+    box = spots[held]
+    for i in asks.tolist():
+        query = spots[i]
+        shared = np.minimum(box[:, 1:], query[1:]).sum(axis=1)
+        yield i, held[enough(query[0], box[:, 0], shared, percent)]
+
+
 def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that blocks (shingle, class) still allow, found in the blocks' trees."""
     rooted = members.join(roots, members["class"] == roots["node"], "left").select("shingle", "class", F.coalesce("root", "class").alias("root"))
     sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     blocks = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
-    blocks = blocks.where("roots > 1").withColumn("trees", F.ceil(F.col("n") / TREE_MEMBERS).cast("int"))
+    blocks = blocks.where("roots > 1").withColumn("trees", F.ceil(F.col("n") / TREE_MEMBERS))
     open_ = stored(rooted.join(blocks.select("shingle", "main", "trees"), "shingle").join(points, "class"), "open_blocks")
 
     trees = open_.withColumn("tree", F.pmod(F.xxhash64("class"), F.col("trees"))).withColumn("asks", F.lit(False))
-    asking = open_.where("root <> main").withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1))).withColumn("asks", F.lit(True))
+    asking = open_.where("root <> main").withColumn("tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("trees") - 1))).withColumn("asks", F.lit(True))
+    parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // PART_MEMBERS))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         counts = np.frombuffer(b"".join(pdf["counts"]), np.int32).reshape(-1, GROUPS)
         spots = np.column_stack([pdf["n"].to_numpy(np.int64), counts])
-        names, own = pdf["class"].to_numpy(), pdf["root"].to_numpy()
-        asks = pdf["asks"].to_numpy(bool)
-        held = np.flatnonzero(~asks)
-        found = []
-        if len(held) and asks.any():
-            tree = Tree(spots[held])
-            for i in np.flatnonzero(asks):
-                hits = held[tree.search(spots[i], percent)]
-                hits = hits[own[hits] != own[i]]
-                found.append(np.column_stack([np.full(len(hits), names[i]), names[hits]]))
-        out = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": out.min(axis=1, initial=NULL_ID), "b": out.max(axis=1, initial=-NULL_ID)})
+        names, own, asks = pdf["class"].to_numpy(), pdf["root"].to_numpy(), pdf["asks"].to_numpy(bool)
+        block, tree = pdf["shingle"].to_numpy(), pdf["tree"].to_numpy()
+        order, found = np.lexsort((tree, block)), [np.empty((0, 2), np.int64)]
+        for i, j in bounds(block[order], tree[order]):
+            at = order[i:j]
+            for k, hits in fitting(spots, at[asks[at]], at[~asks[at]], percent):
+                hits = hits[own[hits] != own[k]]
+                if len(hits):
+                    found.append(np.column_stack([np.minimum(names[k], names[hits]), np.maximum(names[k], names[hits])]))
+        out = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
     columns = ["shingle", "tree", "class", "root", "n", "counts", "asks"]
-    both = trees.select(columns).unionByName(asking.select(columns))
-    return both.groupBy("shingle", "tree").applyInPandas(search, "a bigint, b bigint").distinct()
+    both = trees.select(columns).unionByName(asking.select(columns)).withColumn("part", F.pmod(F.xxhash64("shingle", "tree"), F.lit(parts)))
+    return both.groupBy("part").applyInPandas(search, "a bigint, b bigint").distinct()
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
@@ -309,6 +333,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     points = stored(blocks.where(F.col("kind") == POINT).select("class", "n", "counts").dropDuplicates(["class"]), "points")
     asked = blocks.where(F.col("kind") == ASK).select("part", "data").groupBy("part").applyInArrow(met, "shingle bigint, class bigint")
     members = stored(blocks.where(F.col("kind") == MEMBER).select("shingle", "class").unionByName(asked).distinct(), "members")
+    members = stored(distinct_blocks(members), "distinct_blocks")
 
     reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep"))
     reps = reps.join(members.select("class").distinct(), "class", "left_semi").select("class", "rep.id", "rep.tag")
@@ -319,10 +344,9 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
 
     held = stored(rows.join(reps.hint("shuffle_hash"), ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
 
-    heads = members.groupBy("shingle").agg(F.min("class").alias("a"))
-    stars = members.join(heads, "shingle").where("class <> a").select("a", F.col("class").alias("b")).distinct()
+    stars = members.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
     links = stored(verified(bounded(stars, points, percent), held, percent), "links")
-    more = searched(members, points, components(links), percent)
+    more = searched(members.select("shingle", "class"), points, components(links), percent)
     links = links.unionByName(stored(verified(more, held, percent), "links"))
 
     # A component's number is its smallest key, over all rows of all its classes.
