@@ -38,7 +38,7 @@ from .words import slices
 #: Payloads below this many bytes are never revisits.
 LEAST_REVISIT = 1000
 #: A package is closed when its archive has grown to this; ranges read at once have about the second size.
-PACKAGE_BYTES, RANGE_BYTES = 256_000_000, 4_000_000
+PACKAGE_BYTES, RANGE_BYTES = 256_000_000, 1_000_000
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -118,7 +118,7 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package, done = None, []
-        for batch in slices(batches, "html"):
+        for batch in slices(batches, "html", 1_000_000):
             for row in batch.to_pylist():
                 package = package or Package(folder)
                 kind = "response" if row["refers_to"] is None else "revisit"
