@@ -83,4 +83,4 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_i
 
 
 def build() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": REPEATS}
+    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": f"SELECT * FROM ({REPEATS}) WHERE n_removed > 0"}

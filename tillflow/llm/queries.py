@@ -76,13 +76,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit, identify
 
     docs = table(spark, sf_dir, "documents")
-    return identify(docs, fit(docs), "doc_id", "text", declared=F.lower("lang"), host=F.col("source"))
+    found = identify(docs, fit(docs), "doc_id", "text", declared=F.lower("lang"), host=F.col("source"))
+    return found.withColumnRenamed("accepted", "kept")
 
 
 def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that repeat a passage of a document with a smaller doc_id, and what is left of them."""
     from .sparse_suffixes import without_repeats
 
-    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    found = without_repeats(table(spark, sf_dir, "documents")).where("n_removed > 0")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
