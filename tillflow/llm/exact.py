@@ -154,7 +154,7 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         .select(F.sha2("bare", 256).alias("sha"), "n_chars", "first", "n")
         .groupBy("sha").agg(F.max_by("first", "n_chars").alias("keep_id"), F.sum("n").alias("group_size"))
     )
-    found = rows.where("suspect").join(classes, "sha")
+    found = rows.where("suspect").join(stored(classes, "classes"), "sha")
     alone = rows.where(~F.col("suspect")).withColumns({"keep_id": F.col("key"), "group_size": F.lit(1).cast("long")})
     columns: list[Column] = [
         F.col("key").alias(key), F.col("keep_id"), F.col("group_size"),
