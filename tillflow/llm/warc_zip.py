@@ -114,7 +114,7 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
         rows.where(F.octet_length("html") >= LEAST_REVISIT)
         .groupBy("digest").agg(F.max("key").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last")
     )
-    rows = rows.join(equal, "digest", "left").withColumn("refers_to", F.when(~F.col("key").eqNullSafe(F.col("last")), F.col("last")))
+    rows = rows.join(equal.hint("shuffle_hash"), "digest", "left").withColumn("refers_to", F.when(~F.col("key").eqNullSafe(F.col("last")), F.col("last")))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package, done = None, []
