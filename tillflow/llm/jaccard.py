@@ -12,12 +12,15 @@ classes.
    shingle form a block.  A tree over all points would have to be searched
    beyond any bound, as few of its boxes exclude anything in so many
    dimensions; in a block it has little to search.
-3. Each block's least class is paired with the others, and the pairs that pass
-   the bound are verified.  That joins nearly all there is to join, by as many
-   pairs as blocks have members, not their square.
-4. In blocks that still hold several components, the members outside the
-   block's largest component search R-trees of its members, cut into trees of
-   bounded size, for members of other components.  Survivors are verified.
+3. Each block's least class is paired with the others.  The pairs that pass
+   the bound join nearly all there is to join, by as many pairs as blocks have
+   members, not their square.
+4. In blocks that these pairs leave in several components, the members outside
+   the block's largest component search R-trees of its members, cut into trees
+   of bounded size, for members of other components.
+5. The shingle sets of the ends of all these pairs are made, and the pairs
+   verified.  The search is repeated with the components that verified links
+   make, for pairs that unverified ones had hidden.
 
 So every pair of similar sets is verified or its ends are already connected.
 Blocks are found by an exchange in which a task sends one class for each
@@ -39,7 +42,9 @@ from .repeats import NULL_ID, bounds, groups
 from .scratch import stored
 from .words import BASE, Fingerprints, mix, shingles, slices, split
 
-GROUPS = 32
+GROUPS = 256
+#: Stands for any count from this on.
+MANY = 65_535
 #: Shingles that a task holds before it sends what it has found.
 HELD = 1_500_000
 #: A shingle is common from so many documents on, and there are at most so many common ones.
@@ -133,7 +138,7 @@ def block_table(docs: DataFrame, width: int, percent: int, common: np.ndarray, p
                 known.add(name)
                 names.append(name)
                 counts = np.bincount((own >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
-                points.append((len(own), counts.astype(np.int32).tobytes()))
+                points.append((len(own), np.minimum(counts, MANY).astype(np.uint16).tobytes()))
                 firsts.append(first_shingles(own, common, percent))
             if not names:
                 continue
@@ -167,6 +172,12 @@ def met(table: pa.Table) -> pa.Table:
     return pa.table({"shingle": tokens[shared].view(np.int64), "class": owners[shared]})
 
 
+def counted(data: list[bytes]) -> np.ndarray:
+    """Counts per group, one row per point; a count that was cut is as large as can be."""
+    counts = np.frombuffer(b"".join(data), np.uint16).reshape(-1, GROUPS).astype(np.int32)
+    return np.where(counts == MANY, np.int32(1 << 22), counts) if (counts == MANY).any() else counts
+
+
 def enough(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of n and m that share so many are similar: overlap / union >= percent / 100."""
     return (100 + percent) * overlap >= percent * (n + m)
@@ -179,7 +190,7 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, GROUPS) for c in ("counts_a", "counts_b"))
+            one, two = (counted(batch.column(c).to_pylist()) for c in ("counts_a", "counts_b"))
             n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             yield batch.select(["a", "b"]).filter(pa.array(enough(n, m, np.minimum(one, two).sum(axis=1), percent)))
 
@@ -286,8 +297,7 @@ def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: i
     parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // PART_MEMBERS))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = np.frombuffer(b"".join(pdf["counts"]), np.int32).reshape(-1, GROUPS)
-        spots = np.column_stack([pdf["n"].to_numpy(np.int64), counts])
+        spots = np.column_stack([pdf["n"].to_numpy(np.int32), counted(pdf["counts"].tolist())])
         names, own, asks = pdf["class"].to_numpy(), pdf["root"].to_numpy(), pdf["asks"].to_numpy(bool)
         block, tree = pdf["shingle"].to_numpy(), pdf["tree"].to_numpy()
         order, found = np.lexsort((tree, block)), [np.empty((0, 2), np.int64)]
@@ -335,19 +345,26 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     members = stored(blocks.where(F.col("kind") == MEMBER).select("shingle", "class").unionByName(asked).distinct(), "members")
     members = stored(distinct_blocks(members), "distinct_blocks")
 
-    reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep"))
-    reps = reps.join(members.select("class").distinct(), "class", "left_semi").select("class", "rep.id", "rep.tag")
+    # Pairs that the bound allows, first along stars, then between what those leave apart.
+    blocks_of = members.select("shingle", "class")
+    stars = members.where("class <> head").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct()
+    allowed = stored(bounded(stars, points, percent), "stars")
+    allowed = allowed.unionByName(stored(searched(blocks_of, points, components(allowed), percent), "searched"))
+
+    # Only the sets of their ends are made; the pairs looked at later have no other ends.
+    ends = allowed.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep")).join(ends, "class", "left_semi")
+    reps = stored(reps.select("class", "rep.id", "rep.tag"), "ends")
 
     def own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in groups(sets(batches, width), lambda r: len(r[1]) + 1, HELD):
             yield pa.RecordBatch.from_arrays([pa.array([r["class"] for r, _ in part], pa.int64()), pa.array([o.tobytes() for _, o in part], pa.binary())], ["class", "own"])
 
-    held = stored(rows.join(reps.hint("shuffle_hash"), ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
-
-    stars = members.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-    links = stored(verified(bounded(stars, points, percent), held, percent), "links")
-    more = searched(members.select("shingle", "class"), points, components(links), percent)
-    links = links.unionByName(stored(verified(more, held, percent), "links"))
+    held = stored(rows.join(reps, ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
+    links = stored(verified(allowed, held, percent).distinct(), "links")
+    # Where a pair that was allowed is none, its ends may have other partners.
+    apart = searched(blocks_of, points, components(links), percent).join(allowed, ["a", "b"], "left_anti")
+    links = links.unionByName(stored(verified(apart, held, percent).distinct(), "links"))
 
     # A component's number is its smallest key, over all rows of all its classes.
     roots = components(links)
