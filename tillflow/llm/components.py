@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from .scratch import stored
 
 
-def state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low"))).first())
+def is_forest(edges: DataFrame) -> bool:
+    """Whether every node but the roots has one edge, to a root that has none upwards."""
+    split = edges.groupBy("high").agg(F.count("*").alias("n")).where("n > 1").select("high")
+    chained = edges.join(edges.select(F.col("high").alias("low")), "low", "left_semi").select("high")
+    return split.union(chained).isEmpty()
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -29,8 +32,6 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of links (a, b) that are not the least of their component."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
-    before, now = None, state(edges)
-    while now != before:
+    while not is_forest(edges):
         edges = stored(small_star(large_star(edges)), "edges")
-        before, now = now, state(edges)
     return edges.select(F.col("high").alias("node"), F.col("low").alias("root"))

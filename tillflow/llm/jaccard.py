@@ -363,11 +363,12 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     held = stored(rows.join(reps, ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
     links = stored(verified(allowed, held, percent).distinct(), "links")
     # Where a pair that was allowed is none, its ends may have other partners.
-    apart = searched(blocks_of, points, components(links), percent).join(allowed, ["a", "b"], "left_anti")
-    links = links.unionByName(stored(verified(apart, held, percent).distinct(), "links"))
+    joined = components(links)
+    apart = searched(blocks_of, points, joined, percent).join(allowed, ["a", "b"], "left_anti")
+    found = stored(verified(apart, held, percent).distinct(), "links")
+    roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
 
     # A component's number is its smallest key, over all rows of all its classes.
-    roots = components(links)
     named = light.groupBy("class").agg(F.min("id").alias("least")).join(roots, F.col("class") == F.col("node"), "left")
     named = named.select("class", "least", F.coalesce("root", "class").alias("root"))
     whole = named.groupBy("root").agg(F.min("least").alias("component"))
