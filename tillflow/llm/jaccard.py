@@ -12,15 +12,15 @@ classes.
    shingle form a block.  A tree over all points would have to be searched
    beyond any bound, as few of its boxes exclude anything in so many
    dimensions; in a block it has little to search.
-3. Each block's least class is paired with the others.  The pairs that pass
-   the bound join nearly all there is to join, by as many pairs as blocks have
-   members, not their square.
+3. Each class is paired with the least and the greatest of those classes that
+   are the least of a block of its own.  The pairs that pass the bound join
+   nearly all there is to join, by two pairs a class.
 4. In blocks that these pairs leave in several components, the members outside
    the block's largest component search R-trees of its members, cut into trees
-   of bounded size, for members of other components.
+   of bounded size, for the best member of each other component.
 5. The shingle sets of the ends of all these pairs are made, and the pairs
    verified.  The search is repeated with the components that verified links
-   make, for pairs that unverified ones had hidden.
+   make, now for all members of other components, and what it finds is verified.
 
 So every pair of similar sets is verified or its ends are already connected.
 Blocks are found by an exchange in which a task sends one class for each
@@ -43,6 +43,8 @@ from .scratch import stored
 from .words import BASE, Fingerprints, mix, shingles, slices, split
 
 GROUPS = 256
+#: Sets of more shingles than four a group have twice as many groups, and so on.
+DENSE = 4
 #: Stands for any count from this on.
 MANY = 65_535
 #: Shingles that a task holds before it sends what it has found.
@@ -137,8 +139,7 @@ def block_table(docs: DataFrame, width: int, percent: int, common: np.ndarray, p
                     continue
                 known.add(name)
                 names.append(name)
-                counts = np.bincount((own >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
-                points.append((len(own), np.minimum(counts, MANY).astype(np.uint16).tobytes()))
+                points.append((len(own), np.minimum(group_counts(own), MANY).astype(np.uint16).tobytes()))
                 firsts.append(first_shingles(own, common, percent))
             if not names:
                 continue
@@ -172,10 +173,28 @@ def met(table: pa.Table) -> pa.Table:
     return pa.table({"shingle": tokens[shared].view(np.int64), "class": owners[shared]})
 
 
-def counted(data: list[bytes]) -> np.ndarray:
-    """Counts per group, one row per point; a count that was cut is as large as can be."""
-    counts = np.frombuffer(b"".join(data), np.uint16).reshape(-1, GROUPS).astype(np.int32)
-    return np.where(counts == MANY, np.int32(1 << 22), counts) if (counts == MANY).any() else counts
+def group_counts(own: np.ndarray) -> np.ndarray:
+    """Shingles per group; groups are ranges of fingerprints, so half as many are sums of neighbours."""
+    size = GROUPS
+    while size * DENSE < len(own):
+        size *= 2
+    return np.bincount((own >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64), minlength=size)
+
+
+def fine(data: bytes) -> np.ndarray:
+    """Counts of a point; one that was cut is as large as can be."""
+    counts = np.frombuffer(data, np.uint16).astype(np.int64)
+    return np.where(counts == MANY, 1 << 40, counts) if (counts == MANY).any() else counts
+
+
+def folded(counts: np.ndarray, size: int) -> np.ndarray:
+    return counts.reshape(size, -1).sum(axis=1) if len(counts) > size else counts
+
+
+def overlap_bound(one: np.ndarray, two: np.ndarray) -> int:
+    """The most that two sets can share, by the groups that the smaller number of them has."""
+    size = min(len(one), len(two))
+    return int(np.minimum(folded(one, size), folded(two, size)).sum())
 
 
 def enough(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> np.ndarray:
@@ -190,9 +209,9 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, two = (counted(batch.column(c).to_pylist()) for c in ("counts_a", "counts_b"))
-            n, m = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            yield batch.select(["a", "b"]).filter(pa.array(enough(n, m, np.minimum(one, two).sum(axis=1), percent)))
+            columns = (batch.column(c).to_pylist() for c in ("counts_a", "counts_b", "n_a", "n_b"))
+            fits = [bool(enough(n, m, overlap_bound(fine(a), fine(b)), percent)) for a, b, n, m in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     sized = pairs
     for side in "ab":
@@ -284,8 +303,11 @@ def fitting(spots: np.ndarray, asks: np.ndarray, held: np.ndarray, percent: int)
         yield i, held[enough(query[0], box[:, 0], shared, percent)]
 
 
-def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that blocks (shingle, class) still allow, found in the blocks' trees."""
+def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int, best: bool = False) -> DataFrame:
+    """Pairs (a, b) of different components that blocks (shingle, class) still allow, found in the blocks' trees.
+
+    With ``best`` a class gets one partner of each component that it meets in a tree, the one with the largest bound.
+    """
     rooted = members.join(roots, members["class"] == roots["node"], "left").select("shingle", "class", F.coalesce("root", "class").alias("root"))
     sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     blocks = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
@@ -297,7 +319,8 @@ def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: i
     parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // PART_MEMBERS))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        spots = np.column_stack([pdf["n"].to_numpy(np.int32), counted(pdf["counts"].tolist())])
+        counts = [fine(c) for c in pdf["counts"]]
+        spots = np.column_stack([pdf["n"].to_numpy(np.int64), np.array([folded(c, GROUPS) for c in counts])])
         names, own, asks = pdf["class"].to_numpy(), pdf["root"].to_numpy(), pdf["asks"].to_numpy(bool)
         block, tree = pdf["shingle"].to_numpy(), pdf["tree"].to_numpy()
         order, found = np.lexsort((tree, block)), [np.empty((0, 2), np.int64)]
@@ -305,6 +328,12 @@ def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: i
             at = order[i:j]
             for k, hits in fitting(spots, at[asks[at]], at[~asks[at]], percent):
                 hits = hits[own[hits] != own[k]]
+                shared = np.array([overlap_bound(counts[k], counts[h]) for h in hits.tolist()], np.int64)
+                fits = enough(spots[k, 0], spots[hits, 0], shared, percent)
+                hits, shared = hits[fits], shared[fits]
+                if best and len(hits):
+                    ranked = hits[np.lexsort((names[hits], -shared / (spots[hits, 0] + spots[k, 0])))]
+                    hits = ranked[np.unique(own[ranked], return_index=True)[1]]
                 if len(hits):
                     found.append(np.column_stack([np.minimum(names[k], names[hits]), np.maximum(names[k], names[hits])]))
         out = np.unique(np.concatenate(found), axis=0)
@@ -347,25 +376,26 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
 
     # Pairs that the bound allows, first along stars, then between what those leave apart.
     blocks_of = members.select("shingle", "class")
-    stars = members.where("class <> head").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct()
+    heads = members.where("class <> head").groupBy("class").agg(F.min("head").alias("first"), F.max("head").alias("last"))
+    stars = heads.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("a"), F.col("class").alias("b"))
     allowed = stored(bounded(stars, points, percent), "stars")
-    allowed = allowed.unionByName(stored(searched(blocks_of, points, components(allowed), percent), "searched"))
-
-    # Only the sets of their ends are made; the pairs looked at later have no other ends.
-    ends = allowed.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep")).join(ends, "class", "left_semi")
-    reps = stored(reps.select("class", "rep.id", "rep.tag"), "ends")
+    allowed = allowed.unionByName(stored(searched(blocks_of, points, components(allowed), percent, best=True), "searched"))
 
     def own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in groups(sets(batches, width), lambda r: len(r[1]) + 1, HELD):
             yield pa.RecordBatch.from_arrays([pa.array([r["class"] for r, _ in part], pa.int64()), pa.array([o.tobytes() for _, o in part], pa.binary())], ["class", "own"])
 
-    held = stored(rows.join(reps, ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
-    links = stored(verified(allowed, held, percent).distinct(), "links")
+    def held(pairs: DataFrame) -> DataFrame:
+        """The shingle sets of the ends of pairs, and of no other classes."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep")).join(ends, "class", "left_semi")
+        reps = stored(reps.select("class", "rep.id", "rep.tag"), "ends")
+        return stored(rows.join(reps, ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
+
+    joined = components(stored(verified(allowed, held(allowed), percent).distinct(), "links"))
     # Where a pair that was allowed is none, its ends may have other partners.
-    joined = components(links)
-    apart = searched(blocks_of, points, joined, percent).join(allowed, ["a", "b"], "left_anti")
-    found = stored(verified(apart, held, percent).distinct(), "links")
+    apart = stored(searched(blocks_of, points, joined, percent).join(allowed, ["a", "b"], "left_anti"), "apart")
+    found = stored(verified(apart, held(apart), percent).distinct(), "links")
     roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
 
     # A component's number is its smallest key, over all rows of all its classes.
