@@ -49,8 +49,8 @@ DENSE = 4
 MANY = 65_535
 #: Shingles that a task holds before it sends what it has found.
 HELD = 1_500_000
-#: A shingle is common from so many documents on, and there are at most so many common ones.
-COMMON_FROM, MOST_COMMON = 32, 500_000
+#: A shingle is common from so many documents on, and there are at most so many common ones (8 bytes each in every task).
+COMMON_FROM, MOST_COMMON = 32, 4_000_000
 #: Times that a task must see a shingle to report it as possibly common.
 SEEN = 4
 #: Shingles that one group of the exchange brings together, members of a block's tree, and of the trees of a task, about.
@@ -365,7 +365,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     total = light.agg(F.sum("n")).first()[0] or 0
     least = max(COMMON_FROM, total // MOST_COMMON)
     common = known.where(F.col("kind") == COUNT).groupBy("class").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    common = np.sort(np.array([r[0] for r in common.select("class").collect()], np.int64).view(np.uint64))
+    common = np.sort(common.select("class").toArrow().column("class").to_numpy().astype(np.int64).view(np.uint64))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (5 * GROUP_SHINGLES)))
     blocks = stored(block_table(rows, width, percent, common, parts), "blocks", by="kind")
 
