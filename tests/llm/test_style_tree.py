@@ -75,3 +75,14 @@ def test_importance(spark):
     got = {r["path"]: (r["pages"], round(r["importance"], 6)) for r in style_tree.importance(df).collect()}
     # eight pages, presented alike, with two contents of four pages each: ln 2 / ln 8
     assert got == {7: (8, round(1 / 3, 6)), 8: (1, 1.0)}
+
+
+def test_repeated_line_among_own_paragraphs(spark):
+    """A line that is the same on every page of a host goes, whatever its element, inside articles and outside; own texts stay."""
+    for around in ("<article>%s</article>", "<body>%s</body>"):
+        for line in ("<p>All rights reserved</p>", "<ul><li>All rights reserved</li></ul>", "<table><tr><td>All rights reserved</td></tr></table>", "<blockquote>All rights reserved</blockquote>"):
+            page = lambda i: around % (f"<h1>Title {i}</h1>" + "".join(f"<p>Words {i} {k}</p>" for k in range(1 + i % 3)) + line)  # noqa: E731, B023
+            pages = [(i, f"https://a.example/{i}", page(i)) for i in range(8)] + [(100 + i, f"https://b.example/{i}", page(i)) for i in range(3)]
+            got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+            own = lambda i: " ".join([f"Title {i}", *(f"Words {i} {k}" for k in range(1 + i % 3))])
+            assert got == {i: own(i) for i in range(8)} | {100 + i: own(i) + " All rights reserved" for i in range(3)}

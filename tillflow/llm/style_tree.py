@@ -8,15 +8,20 @@ two entropies, each divided by the largest it could be: a menu or a notice is
 presented alike and says the same on all pages, an article differs.  Equal
 pages of a host count once.
 
-Names enter as prior knowledge.  Branches whose element, role or class says
-menu, advert, form and the like have no importance; articles, and the headings
-and paragraphs in them, have all.  Where a page has an article or main element,
-its text is looked for there.  All other containers are judged by the tree, if
-enough pages of the host have them; branches of low importance are removed from
-every page.
-
-Each page is parsed once.  What leaves the parse are the texts of its blocks
-and, per container, two hashes; counts are aggregated in two steps, so that a
+Every text is a leaf under its element's path.  A leaf's importance is the
+information of meeting its text there: 0 if every page of the host that has the
+path has the text, 1 if one page has it; the mean over the path's texts is the
+entropy above.  So a licence line among the paragraphs of every article goes
+and the paragraphs stay.
+
+Names enter as prior knowledge: elements whose tag, role or class says menu,
+advert, form and the like weigh their branch down.  Where a page has an article
+or main element of full weight, its text is looked for there.  The texts chosen
+are judged by the tree, if enough pages of the host have them; branches and
+leaves of low importance are removed from every page.
+
+Each page is parsed once.  What leaves the parse are the texts of its blocks,
+two hashes per container and one per leaf; counts are aggregated in two steps, so that a
 host that holds a third of all pages is counted by many tasks.
 """
 
@@ -36,7 +41,7 @@ from .language import host_of
 from .scratch import stored
 from .words import slices
 
-#: Branches below this importance go; containers on fewer distinct pages of a host are not judged.
+#: Branches below this importance go; paths on fewer distinct pages of a host are not judged.
 LEAST_IMPORTANCE, LEAST_PAGES = 0.2, 6
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|<[!?][^>]*>""", re.S)
@@ -49,7 +54,6 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-PLAIN = frozenset("html body p h1 h2 h3 h4 h5 h6 blockquote pre article main hr br li dd dt td th tr tbody figcaption".split())
 NOISE_TAGS = frozenset("head nav footer aside form button input dialog menu audio video canvas".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div section article main body td".split())
@@ -65,10 +69,10 @@ HEADER_NAMES = frozenset({"header"})
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "article", "doubted", "children", "content")
+    __slots__ = ("tag", "path", "noise", "article", "paths", "children", "content")
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, doubted: tuple[int, ...]):
-        self.tag, self.path, self.noise, self.article, self.doubted = tag, path, noise, article, doubted
+    def __init__(self, tag: str, path: int, noise: bool, article: bool, paths: tuple[int, ...]):
+        self.tag, self.path, self.noise, self.article, self.paths = tag, path, noise, article, paths
         self.children: list[str] = []
         self.content: list[str] = []
 
@@ -78,13 +82,17 @@ def names_of(attributes: dict[str, str]) -> list[str]:
     return [n.lower() for n in NAME_PARTS.findall(text)]
 
 
+def leaf_of(path: int, text: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{path}:{text}") >> 1
+
+
 class Page:
-    """Blocks of text (in an article, containers in doubt, text) and the elements of a page, from one pass over its markup."""
+    """Blocks of text (in an article, nodes from the root down to the leaf, text) and the elements of a page, from one pass over its markup."""
 
     def __init__(self, html: str):
         self.blocks: list[tuple[bool, tuple[int, ...], str]] = []
         self.elements: list[Element] = []
-        self.stack = [Element("", 0, False, False, ())]
+        self.stack = [Element("", 0, False, False, (0,))]
         self.text: list[str] = []
         at = 0
         while m := TOKEN.search(html, at):
@@ -106,6 +114,7 @@ class Page:
         while len(self.stack) > 1:
             self.pop()
         self.flush()
+        self.elements.append(self.stack[0])
 
     def flush(self) -> None:
         """Ends a block: the text so far belongs to the innermost open element."""
@@ -113,8 +122,8 @@ class Page:
         self.text = []
         top = self.stack[-1]
         if text and not top.noise:
-            self.blocks.append((top.article, top.doubted, text))
-            for element in self.stack[1:]:
+            self.blocks.append((top.article, (*top.paths, leaf_of(top.path, text)), text))
+            for element in self.stack:
                 element.content.append(text)
 
     def pop(self) -> None:
@@ -153,9 +162,8 @@ class Page:
         )
         named = f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}"
         path = xxhash.xxh3_64_intdigest(f"{parent.path}/{named}") >> 1
-        doubted = parent.doubted if tag in PLAIN or noise else (*parent.doubted, path)
         parent.children.append(named)
-        self.stack.append(Element(tag, path, noise, article, doubted))
+        self.stack.append(Element(tag, path, noise, article, (*parent.paths, path)))
 
     def end(self, tag: str) -> None:
         if tag in INLINE or tag in VOID:
@@ -175,40 +183,48 @@ class Page:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Per page (key, url, host, html): its blocks as a row, and a row for each of its containers: path, presentation and content."""
+    """Per page (key, url, host, html): its blocks as a row, and a row for each of its nodes.
+
+    A container has path, presentation and content; a leaf has its element's
+    path, no presentation, and as content the name it has among a block's nodes.
+    """
     key = pages.schema["key"].dataType.simpleString()
-    block = pa.struct([("doubted", pa.list_(pa.int64())), ("text", pa.string())])
+    block = pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string())])
     hashed = lambda x: xxhash.xxh3_64_intdigest(x) >> 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for batch in slices(batches, "html"):
-            rows: dict[str, list] = {c: [] for c in ("of", "row", "host", "page", "path", "shown", "said", "blocks", "doubted")}
+            rows: dict[str, list] = {c: [] for c in ("of", "row", "host", "page", "path", "shown", "said", "blocks", "nodes")}
             for i, (host, html) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
                 page, n = Page(html), n + 1
                 blocks = page.main_blocks()
-                doubted = sorted({p for d, _ in blocks for p in d})
+                nodes = {p for d, _ in blocks for p in d}
                 own = {"of": i, "row": (part << 40) + n, "host": host, "page": hashed(html)}
                 found: dict[int, list[Element]] = {}
                 for element in page.elements:
-                    if element.path in doubted:
+                    if element.path in nodes:
                         found.setdefault(element.path, []).append(element)
-                for path, same in found.items():
-                    row = own | {"path": path, "shown": hashed("|".join(c for e in same for c in e.children)), "said": hashed(" ".join(t for e in same for t in e.content))}
+                made = [
+                    {"path": path, "shown": hashed("|".join(c for e in same for c in e.children)), "said": hashed(" ".join(t for e in same for t in e.content))}
+                    for path, same in found.items()
+                ]
+                made += [{"path": path, "said": leaf} for path, leaf in {d[-2:] for d, _ in blocks}]
+                for row in [*made, {"blocks": [{"nodes": list(d), "text": t} for d, t in blocks], "nodes": sorted(nodes)}]:
+                    row = own | row
                     for c, values in rows.items():
                         values.append(row.get(c))
-                row = own | {"blocks": [{"doubted": list(d), "text": t} for d, t in blocks], "doubted": doubted}
-                for c, values in rows.items():
-                    values.append(row.get(c))
             of = pa.array(rows["of"], pa.int64())
             kinds = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.list_(block), pa.list_(pa.int64())]
             columns = [pa.array(rows[c], k) for c, k in zip(list(rows)[1:], kinds, strict=True)]
-            whole = pa.array([p is None for p in rows["path"]])
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(of), batch.column("url").take(of), whole, *columns], ["key", "url", "whole", *list(rows)[1:]])
+            whole = pa.array([b is not None for b in rows["blocks"]])
+            # nodes need neither key nor address
+            page_of = pa.array([i if b is not None else None for i, b in zip(rows["of"], rows["blocks"], strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(page_of), batch.column("url").take(page_of), whole, *columns], ["key", "url", "whole", *list(rows)[1:]])
 
     return pages.mapInArrow(
         task, f"key {key}, url string, whole boolean, row bigint, host string, page bigint, path bigint, shown bigint, said bigint, "
-        "blocks array<struct<doubted:array<bigint>,text:string>>, doubted array<bigint>",
+        "blocks array<struct<nodes:array<bigint>,text:string>>, nodes array<bigint>",
     )
 
 
@@ -222,23 +238,35 @@ def importance(containers: DataFrame) -> DataFrame:
     return sums.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.max(entropy).alias("importance"))
 
 
+def low_nodes(nodes: DataFrame, least: float, least_pages: int) -> DataFrame:
+    """(host, node) of the containers and leaves whose importance is below ``least``.
+
+    A leaf is low where more than pages ** (1 - least) of its path's pages have
+    it.  Leaves that no path could make low are left out before they meet their
+    path, so that a path with many texts is no hot key.
+    """
+    paths = stored(importance(nodes.where("shown IS NOT NULL")).where(F.col("pages") >= least_pages), "paths")
+    leaves = nodes.where("shown IS NULL").select("host", "path", "said", "page").distinct().groupBy("host", "path", "said").agg(F.count("*").alias("n"))
+    leaves = leaves.where(F.col("n") > F.lit(max(least_pages, 1) ** (1 - least) - 1e-9)).join(paths.select("host", "path", "pages"), ["host", "path"])
+    information = F.when(F.col("pages") > 1, 1 - F.log("n") / F.log("pages")).otherwise(1.0)
+    return leaves.where(information < least).select("host", F.col("said").alias("node")).unionByName(paths.where(F.col("importance") < least).select("host", F.col("path").alias("node")))
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
     """One row per row of ``pages``: key, url, text (empty if none).
 
     Character references are decoded, white space in a block is one space,
     blocks are joined by one space in page order.  Null and empty html give the
     empty text; pages without url are one host.  Repeated rows stay.  If every
-    block of a page lies in branches of low importance, none is removed.  Other
-    columns are not read.
+    block of a page is of low importance, none is removed.  Other columns are
+    not read.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     table = stored(parsed(rows), "blocks", by="whole")
-    low = importance(table.where(~F.col("whole"))).where((F.col("pages") >= least_pages) & (F.col("importance") < least)).select("host", "path")
+    low = stored(low_nodes(table.where(~F.col("whole")), least, least_pages), "low")
     whole = table.where("whole")
-    open_ = whole.where(F.size("doubted") > 0)
-    gone = open_.select("row", "host", F.explode("doubted").alias("path")).join(low, ["host", "path"]).groupBy("row").agg(F.collect_set("path").alias("gone"))
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["doubted"], F.col("gone")), F.lit(False)))
-    judged = open_.join(gone, "row", "left").withColumn("kept", F.when(F.size(kept) > 0, kept).otherwise(F.col("blocks")))
-    text = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), " ").alias("text")
-    head = [F.col("key").alias(key), F.col("url").alias(url)]
-    return judged.select(*head, text("kept")).unionByName(whole.where(F.size("doubted") == 0).select(*head, text("blocks")))
+    # Written, so that its size is known and few removals don't move the texts.
+    gone = stored(whole.select("row", "host", F.explode("nodes").alias("node")).join(low, ["host", "node"]).groupBy("row").agg(F.collect_set("node").alias("gone")), "gone")
+    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["nodes"], F.col("gone")), F.lit(False)))
+    judged = whole.join(gone, "row", "left").withColumn("kept", F.when(F.size(kept) > 0, kept).otherwise(F.col("blocks")))
+    return judged.select(F.col("key").alias(key), F.col("url").alias(url), F.array_join(F.transform("kept", lambda b: b["text"]), " ").alias("text"))
