@@ -86,3 +86,20 @@ def test_repeated_line_among_own_paragraphs(spark):
             got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
             own = lambda i: " ".join([f"Title {i}", *(f"Words {i} {k}" for k in range(1 + i % 3))])
             assert got == {i: own(i) for i in range(8)} | {100 + i: own(i) + " All rights reserved" for i in range(3)}
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article style='overflow:hidden'><p>text</p></article>", "text"),
+    ("<main class='overflow-hidden' data-state=\"hidden\"><p>text</p></main>", "text"),
+    ("<article><p hidden>no</p><p hidden=''>no</p><p style='color:red; DISPLAY : none !important'>no</p><p class='hidden'>no</p><p>yes</p></article>", "yes"),
+    ("<div class='no-sidebar has-menu' id='search-result'><article><p>text</p></article></div>", "text"),
+    ("<div class='no-sidebar'><p>text</p></div><div class='sidebar'>side</div>", "text"),
+    ("<div class='menu-page'><nav>menu</nav><p>skip</p><article><p>the text of the page</p><div class='share'>share</div></article></div><p>x</p>", "the text of the page"),
+    ("<form id='aspnetForm'><nav>menu</nav><article><p>text</p></article></form>", "text"),
+    ("<article><p>text</p></article><div class='related'><article><p>teaser, longer than the text</p></article></div>", "text"),
+    ("<div><p>text</p></div><aside><article><p>teaser, longer than the text</p></article></aside>", "text"),
+    ("<div class='popup'><p>all there is</p></div>", "all there is"),
+    ("<div hidden><p>no</p></div>", ""),
+])
+def test_names_weigh_and_do_not_delete(page, want):
+    assert " ".join(t for _, t in Page(page).main_blocks()) == want

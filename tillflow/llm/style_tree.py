@@ -43,9 +43,11 @@ from .words import slices
 
 #: Branches below this importance go; paths on fewer distinct pages of a host are not judged.
 LEAST_IMPORTANCE, LEAST_PAGES = 0.2, 6
+#: What the importance of a branch is multiplied by for a tag, or a name, that says it is not the page's text.
+TAG_WEIGHT, NAME_WEIGHT = 0.05, 0.1
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|<[!?][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Kinds of HTML elements.
@@ -62,24 +64,43 @@ SCOPES = frozenset("ul ol dl table div section article main body td".split())
 NOISE_NAMES = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside footer ad ads adv advert adverts advertisement advertising adsense banner sponsor "
     "sponsored promo promotion cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login search "
-    "form comment comments discussion disqus respond replies reply share sharing social related recommended pagination pager toolbar widget copyright hidden "
+    "form comment comments discussion disqus respond replies reply share sharing social related recommended pagination pager toolbar widget copyright "
     "complementary contentinfo masthead topbar skip".split()
 )
 HEADER_NAMES = frozenset({"header"})
+#: Parts of a name that turn it into a word about the layout or the page: no-sidebar, has-menu, search-results.
+NEGATING, LAYOUT = frozenset("no non not without has have with".split()), frozenset("result results".split())
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "article", "paths", "children", "content")
+    """An element of full weight is 1, of a branch that is not shown 0."""
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, paths: tuple[int, ...]):
-        self.tag, self.path, self.noise, self.article, self.paths = tag, path, noise, article, paths
+    __slots__ = ("tag", "path", "weight", "article", "paths", "children", "content")
+
+    def __init__(self, tag: str, path: int, weight: float, article: bool, paths: tuple[int, ...]):
+        self.tag, self.path, self.weight, self.article, self.paths = tag, path, weight, article, paths
         self.children: list[str] = []
         self.content: list[str] = []
 
 
-def names_of(attributes: dict[str, str]) -> list[str]:
-    text = " ".join(attributes.get(a, "") for a in ("class", "id", "role"))
-    return [n.lower() for n in NAME_PARTS.findall(text)]
+def names_of(attributes: dict[str, str]) -> set[str]:
+    """Parts of classes, id and roles that say what the element is."""
+    found: set[str] = set()
+    for name in " ".join(attributes.get(a, "") for a in ("class", "id", "role")).split():
+        parts = [n.lower() for n in NAME_PARTS.findall(name)]
+        if parts and parts[0] not in NEGATING and parts[-1] not in LAYOUT:
+            found.update(parts)
+        if name.lower() == "hidden":
+            found.add("hidden")
+    return found
+
+
+def not_shown(attributes: dict[str, str]) -> bool:
+    if attributes.get("hidden", "false").lower() != "false":
+        return True
+    style = [d.partition(":") for d in attributes.get("style", "").lower().split(";")]
+    shown = [value.split("!")[0].strip() for name, _, value in style if name.strip() == "display"]
+    return bool(shown) and shown[-1] == "none"
 
 
 def leaf_of(path: int, text: str) -> int:
@@ -87,12 +108,12 @@ def leaf_of(path: int, text: str) -> int:
 
 
 class Page:
-    """Blocks of text (in an article, nodes from the root down to the leaf, text) and the elements of a page, from one pass over its markup."""
+    """Blocks of text (in an article, weight, nodes from the root down to the leaf, text) and the elements of a page, from one pass over its markup."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[bool, tuple[int, ...], str]] = []
+        self.blocks: list[tuple[bool, float, tuple[int, ...], str]] = []
         self.elements: list[Element] = []
-        self.stack = [Element("", 0, False, False, (0,))]
+        self.stack = [Element("", 0, 1.0, False, (0,))]
         self.text: list[str] = []
         at = 0
         while m := TOKEN.search(html, at):
@@ -121,15 +142,16 @@ class Page:
         text = " ".join(markup.unescape("".join(self.text)).split())
         self.text = []
         top = self.stack[-1]
-        if text and not top.noise:
-            self.blocks.append((top.article, (*top.paths, leaf_of(top.path, text)), text))
+        if text and top.weight:
+            self.blocks.append((top.article, top.weight, (*top.paths, leaf_of(top.path, text)), text))
             for element in self.stack:
-                element.content.append(text)
+                if top.weight >= element.weight:  # a branch that weighs less says nothing of those around it
+                    element.content.append(text)
 
     def pop(self) -> None:
         self.flush()
         element = self.stack.pop()
-        if not element.noise:
+        if element.weight:
             self.elements.append(element)
 
     def start(self, tag: str, raw: str) -> None:
@@ -152,18 +174,23 @@ class Page:
                 elif open_ in SCOPES:
                     break
         parent = self.stack[-1]
-        attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if "=" in raw else {}
+        attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if raw.strip() else {}
         names = names_of(attributes)
         article = parent.article or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        noise = (
-            parent.noise or tag in NOISE_TAGS or not NOISE_NAMES.isdisjoint(names) and tag not in ("html", "body", "article", "main")
-            or (not parent.article and (tag == "header" or not HEADER_NAMES.isdisjoint(names)))
-            or re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", raw, re.I) is not None and tag not in ("html", "body")
-        )
+        weight = parent.weight
+        if tag not in ("html", "body"):
+            if tag == "head" or not_shown(attributes):
+                weight = 0.0
+            elif tag == "form":  # may hold the whole page
+                weight *= NAME_WEIGHT
+            elif tag in NOISE_TAGS or (tag == "header" and not parent.article):
+                weight *= TAG_WEIGHT
+            elif tag not in ("article", "main") and not (NOISE_NAMES | {"hidden"}).isdisjoint(names) or (not parent.article and not HEADER_NAMES.isdisjoint(names)):
+                weight *= NAME_WEIGHT
         named = f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}"
         path = xxhash.xxh3_64_intdigest(f"{parent.path}/{named}") >> 1
         parent.children.append(named)
-        self.stack.append(Element(tag, path, noise, article, (*parent.paths, path)))
+        self.stack.append(Element(tag, path, weight, article, (*parent.paths, path)))
 
     def end(self, tag: str) -> None:
         if tag in INLINE or tag in VOID:
@@ -178,8 +205,26 @@ class Page:
                 return
 
     def main_blocks(self) -> list[tuple[tuple[int, ...], str]]:
-        inside = [(d, t) for a, d, t in self.blocks if a]
-        return inside or [(d, t) for _, d, t in self.blocks]
+        """The blocks that are looked at: those in articles of full weight, else what weighs most.
+
+        An article inside a branch with a name of noise may be the page's own,
+        with its wrapper named after the layout, or a teaser beside the text;
+        the longer of it and the text of full weight outside is taken.
+        """
+        inside = [b for b in self.blocks if b[0]]
+        full = [b for b in self.blocks if b[1] >= LEAST_IMPORTANCE]
+        found = [b for b in full if b[0]] or full
+        if inside and not any(b[0] for b in full):
+            most = max(b[1] for b in inside)
+            wrapped = [b for b in inside if b[1] >= most]
+            long = lambda blocks: sum(len(b[3]) for b in blocks)
+            # below two names, or below a tag of noise, it is a teaser
+            if not full or most >= NAME_WEIGHT and long(wrapped) > long(full):
+                found = wrapped
+        if not found and self.blocks:
+            most = max(b[1] for b in self.blocks)
+            found = [b for b in self.blocks if b[1] >= most]
+        return [(nodes, text) for *_, nodes, text in found]
 
 
 def parsed(pages: DataFrame) -> DataFrame:
