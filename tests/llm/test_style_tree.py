@@ -103,3 +103,14 @@ def test_repeated_line_among_own_paragraphs(spark):
 ])
 def test_names_weigh_and_do_not_delete(page, want):
     assert " ".join(t for _, t in Page(page).main_blocks()) == want
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<html><head><title>x</title><body><p>text</p>", "text"),
+    ("<head><meta charset=utf-8><title>x</title><style>p{}</style><link rel=a href=b><p>text", "text"),
+    ("<head><title>x</title>bare text<p>more", "bare text more"),
+    ("<head><title>x</title><b>bold</b> text", "bold text"),
+    ("<head><title>x</title></head><body><article>text</article>", "text"),
+])
+def test_head_without_end(page, want):
+    assert " ".join(t for _, t in Page(page).main_blocks()) == want

@@ -57,6 +57,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 NOISE_TAGS = frozenset("head nav footer aside form button input dialog menu audio video canvas".split())
+HEAD_CONTENT = frozenset("title base basefont bgsound link meta style script noscript noframes template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div section article main body td".split())
 
@@ -141,6 +142,8 @@ class Page:
         """Ends a block: the text so far belongs to the innermost open element."""
         text = " ".join(markup.unescape("".join(self.text)).split())
         self.text = []
+        if text:
+            self.close_head()
         top = self.stack[-1]
         if text and top.weight:
             self.blocks.append((top.article, top.weight, (*top.paths, leaf_of(top.path, text)), text))
@@ -148,6 +151,11 @@ class Page:
                 if top.weight >= element.weight:  # a branch that weighs less says nothing of those around it
                     element.content.append(text)
 
+    def close_head(self) -> None:
+        """A head ends, closed or not, where anything starts that is no head content."""
+        if self.stack[-1].tag == "head":
+            self.stack.pop()
+
     def pop(self) -> None:
         self.flush()
         element = self.stack.pop()
@@ -155,6 +163,8 @@ class Page:
             self.elements.append(element)
 
     def start(self, tag: str, raw: str) -> None:
+        if tag not in HEAD_CONTENT:
+            self.close_head()
         if tag == "br":
             self.text.append(" ")
         if tag in VOID or tag in INLINE:
