@@ -114,3 +114,21 @@ def test_names_weigh_and_do_not_delete(page, want):
 ])
 def test_head_without_end(page, want):
     assert " ".join(t for _, t in Page(page).main_blocks()) == want
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<body><svg class=icon /><article><p>text</p></article>", "text"),
+    ("<svg viewBox='0 0 1 1'><title>icon</title><path d='M0'/><g><text>label</text></g></svg><p>text</p>", "text"),
+    ("<p>a</p><svg><path d='M0'><p>b</p><p>c</p>", "a b c"),
+    ("<svg><svg><text>x</text></svg><text>y</text></svg><p>text</p>", "text"),
+    ("<article><p>where <math><msup><mi>x</mi><mn>2</mn></msup><mo>+</mo><mi>y</mi></math> holds</p></article>", "where x2+y holds"),
+    ("<article><p>a</p><math/><p>b</p></article>", "a b"),
+    ("<article><object data=x><param name=y><p>fallback</p></object><p>text</p></article>", "fallback text"),
+    ("<article><object data=x><p>a</p></article>", "a"),
+    ("<svg><title/><style/><path/></svg><p>text</p>", "text"),
+    ("<template><p>no</p></template><p>text</p>", "text"),
+    ("<article><p>a</p><select><option>no<option>no</select><p>b</p></article>", "a b"),
+    ("<div><select><option>no</div><p>text</p>", "text"),
+])
+def test_drawings_formulas_and_fallbacks(page, want):
+    assert " ".join(t for _, t in Page(page).main_blocks()) == want

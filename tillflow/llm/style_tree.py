@@ -52,11 +52,19 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template select svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd mstyle merror mpadded mphantom "
+    "menclose maction mspace semantics annotation annotation-xml".split()
 )
-NOISE_TAGS = frozenset("head nav footer aside form button input dialog menu audio video canvas".split())
+#: Tags that end an open svg, as they are no part of a drawing.
+BREAKS_OUT = frozenset(
+    "article aside b big blockquote body br center code dd div dl dt em embed footer form h1 h2 h3 h4 h5 h6 header hr i img li main menu meta nav ol p pre ruby s "
+    "section small span strong strike sub sup table tt u ul var".split()
+)
+HIDDEN_TAGS = frozenset("head template svg".split())
+NOISE_TAGS = frozenset("nav footer aside form button input select dialog menu audio video canvas".split())
 HEAD_CONTENT = frozenset("title base basefont bgsound link meta style script noscript noframes template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div section article main body td".split())
@@ -125,7 +133,7 @@ class Page:
             tag = m[2].lower()
             if m[1]:
                 self.end(tag)
-            elif tag in RAW:
+            elif tag in RAW and not (m[3].endswith("/") and self.stack[-1].tag == "svg"):
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = close.end() if close else len(html)
             else:
@@ -165,6 +173,15 @@ class Page:
     def start(self, tag: str, raw: str) -> None:
         if tag not in HEAD_CONTENT:
             self.close_head()
+        if self.stack[-1].tag == "svg":
+            if tag in BREAKS_OUT:
+                self.pop()
+            elif tag != "svg":
+                return
+        if tag == "svg" and raw.endswith("/"):
+            return
+        if tag in ("mtd", "mspace"):
+            self.text.append(" ")
         if tag == "br":
             self.text.append(" ")
         if tag in VOID or tag in INLINE:
@@ -189,7 +206,7 @@ class Page:
         article = parent.article or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
         weight = parent.weight
         if tag not in ("html", "body"):
-            if tag == "head" or not_shown(attributes):
+            if tag in HIDDEN_TAGS or not_shown(attributes):
                 weight = 0.0
             elif tag == "form":  # may hold the whole page
                 weight *= NAME_WEIGHT
