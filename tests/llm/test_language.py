@@ -99,3 +99,20 @@ def test_empty_tables(spark, model):
     assert empty.languages == []
     (r,) = language.identify(spark.createDataFrame([(1, "some words")], "doc_id bigint, text string"), empty, "doc_id", "text").collect()
     assert r["language"] is None and not r["accepted"]
+
+
+def test_rare_language_in_a_large_table(spark):
+    """Which languages there are depends on their own rows, not on their share; one text in most rows fills no sample."""
+    draw = random.Random(4)
+    rows = [("cc", text("cc", draw)) for _ in range(25)] + [("aa", text("aa", draw)) for _ in range(3000)] + [("bb", text("bb", draw)) for _ in range(30)]
+    copy = text("aa", draw)
+    df = spark.createDataFrame(rows + [("bb", copy)] * 4000, "lang string, text string").repartition(5)
+    model = language.fit(df, fit_rows=200)
+    assert model.languages == ["aa", "bb", "cc"]
+    labelled = df.select(F.col("text"), F.col("lang").alias("label"))
+    shares = {"aa": 200 / 3000, "bb": 1.0, "cc": 1.0}
+    found = [tuple(r) for r in language.sampled(labelled, shares).collect()]
+    assert len(found) == len(set(found)) and {t for t, name in found if name == "bb"} == {t for name, t in rows if name == "bb"} | {copy}
+    assert sum(name == "cc" for _, name in found) == 25 and 100 < sum(name == "aa" for _, name in found) < 320
+    got = language.identify(spark.createDataFrame([(i, text("cc", draw)) for i in range(10)], "doc_id bigint, text string"), model, "doc_id", "text").collect()
+    assert all(r["language"] == "cc" for r in got)

@@ -9,7 +9,8 @@ log P(language | everything) is the sum of
 * the prior of the host, smoothed towards that of its address suffix, which is
   smoothed towards that of all rows.
 
-Trigram counts come from a bounded sample of labelled rows (``FIT_ROWS``); all
+Trigram counts come from a bounded sample of each label's distinct texts
+(``FIT_ROWS``); which languages there are is decided by counts of all rows.  All
 other counts are grouped aggregates over every row, in which a host that holds
 a third of them is one row per task.
 """
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from .scratch import stored
 from .words import slices
 
-#: Labelled rows that trigram counts are taken from, about; a language needs LEAST_ROWS of them.
-FIT_ROWS, LEAST_ROWS = 20_000, 20
+#: Distinct texts of each label that trigram counts are taken from, about; a language needs LEAST_ROWS labelled rows.
+FIT_ROWS, LEAST_ROWS = 5_000, 20
 #: The evidence of a text is that of this many independent trigrams at most.
 STRENGTH = 150.0
 #: Rows of the parent that count with a host or suffix, and rows that each declaration is seen with beforehand.
@@ -56,35 +57,52 @@ def trigrams(text: str | None) -> np.ndarray:
     return ((((b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]) * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
+def sampled(rows: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """(text, label) of the given share of each label's distinct texts, each text once per label."""
+    label_share = F.create_map(*[F.lit(v) for item in shares.items() for v in item])[F.col("label")]
+    rows = rows.withColumn("print", F.xxhash64("text")).where(F.pmod("print", F.lit(1_000_000_000)) < label_share * 1_000_000_000)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Leaves one copy per task, so that a text in a third of all rows is no hot key."""
+        seen: set[tuple[str, int]] = set()
+        for batch in batches:
+            new = []
+            for i, name in enumerate(zip(batch.column("label").to_pylist(), batch.column("print").to_pylist(), strict=True)):
+                if name not in seen:
+                    seen.add(name)
+                    new.append(i)
+            yield batch.take(pa.array(new, pa.int64()))
+
+    return rows.mapInArrow(once, rows.schema).dropDuplicates(["label", "print"]).select("text", "label")
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
-    """Trigram counts by label from about ``fit_rows`` labelled rows; the driver gets 65,536 sums per language."""
+    """Trigram counts by label from about ``fit_rows`` distinct texts of each; the driver gets 65,536 sums per language."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(F.col("text").isNotNull() & F.col("label").isNotNull())
-    total = rows.count()
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(min(1.0, fit_rows / max(total, 1)) * 1_000_000))
+    counts = rows.groupBy("label").agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("text")).alias("texts"))
+    shares = {r["label"]: min(1.0, fit_rows / max(r["texts"], 1)) for r in counts.where(F.col("n") >= LEAST_ROWS).collect()}
+    if not shares:
+        return Model([], np.empty((BUCKETS, 0), np.float32))
+    rows = sampled(rows, shares)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        counts: dict[str, int] = {}
         for batch in slices(batches, "text"):
             for t, name in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 if name not in sums:
-                    sums[name], counts[name] = np.zeros(BUCKETS, np.int64), 0
+                    sums[name] = np.zeros(BUCKETS, np.int64)
                 sums[name] += np.bincount(trigrams(t), minlength=BUCKETS)
-                counts[name] += 1
         for name, values in sums.items():
             at = np.flatnonzero(values)
-            at, found = np.append(at, -1), np.append(values[at], counts[name])
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(found)], ["label", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(values[at])], ["label", "bucket", "n"])
 
-    found = rows.mapInArrow(task, "label string, bucket bigint, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    enough = found.where((F.col("bucket") == -1) & (F.col("n") >= LEAST_ROWS)).select("label")
-    found = found.join(enough, "label").toPandas()
-    languages = sorted(found["label"].unique())
+    found = rows.mapInArrow(task, "label string, bucket bigint, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    languages = sorted(shares)
     sums = np.full((BUCKETS, len(languages)), 0.5)
     for i, name in enumerate(languages):
-        own = found[(found["label"] == name) & (found["bucket"] >= 0)]
+        own = found[found["label"] == name]
         sums[own["bucket"].to_numpy(), i] += own["n"].to_numpy()
-    return Model(languages, np.log(sums / sums.sum(axis=0)).astype(np.float32) if languages else sums.astype(np.float32))
+    return Model(languages, np.log(sums / sums.sum(axis=0)).astype(np.float32))
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
