@@ -116,3 +116,24 @@ def test_rare_language_in_a_large_table(spark):
     assert sum(name == "cc" for _, name in found) == 25 and 100 < sum(name == "aa" for _, name in found) < 320
     got = language.identify(spark.createDataFrame([(i, text("cc", draw)) for i in range(10)], "doc_id bigint, text string"), model, "doc_id", "text").collect()
     assert all(r["language"] == "cc" for r in got)
+
+
+def test_query_of_pages_uses_markup_and_address(spark):
+    import __spark_entry__ as entry
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = entry.queries()["op9_page_language_id"](spark, "/root/testdata/sf0.01")
+    assert found.columns == ["page_id", "language", "probability", "kept", "n_trigrams"]
+    declared = pages.select("page_id", language.markup_language(F.col("html")).alias("declared"))
+    rows = found.join(declared, "page_id").collect()
+    assert len(rows) == found.count() == pages.count() and sum(r["language"] == r["declared"] for r in rows) >= 240
+
+
+def test_suffix_smooths_hosts(spark, model):
+    """A host that is hardly known takes after the other hosts of its suffix."""
+    draw = random.Random(5)
+    rows = [(100 + i, text(name, draw), f"h{i}.example.{end}", end) for i in range(120) for name, end in [(("aa", "xa"), ("bb", "xb"))[i % 2]]]
+    rows += [(1, "zzz", "new.example.xa", "xa"), (2, "zzz", "new.example.xb", "xb")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, host string, suffix string")
+    got = {r["doc_id"]: r["language"] for r in language.identify(df, model, "doc_id", "text", host=F.col("host"), suffix=F.col("suffix")).where("doc_id < 3").collect()}
+    assert got == {1: "aa", 2: "bb"}

@@ -80,6 +80,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("accepted", "kept")
 
 
+def op9_page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, with what its markup declares and its address; the language of its text is told by the documents."""
+    from .language import fit, host_of, identify, markup_language, suffix_of, visible_text
+
+    html, url = F.col("html"), F.col("url")
+    found = identify(
+        table(spark, sf_dir, "pages"), fit(table(spark, sf_dir, "documents")), "page_id", visible_text(html),
+        declared=markup_language(html), host=host_of(url), suffix=suffix_of(url),
+    )
+    return found.withColumnRenamed("accepted", "kept")
+
+
 def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that repeat a passage of a document with a smaller doc_id, and what is left of them."""
     from .sparse_suffixes import without_repeats
@@ -101,3 +113,8 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": op9_language_id,
         "op10_sparse_suffixes": op10_sparse_suffixes,
     }
+
+
+def further() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of an operator over a second table."""
+    return {"op9_page_language_id": op9_page_language_id}
