@@ -12,7 +12,8 @@ blank line between, form a scope.  Scopes are intervals of the text; joining
 them with the parts inside them is a merge over the parts in order, in which a
 part meets its scope's totals and never the other parts one by one.  A weak
 part is reported only if its scope holds all three: an identifier, a secret and
-an endpoint, each strong or weak.
+an endpoint, each strong or weak.  A weak part that overlaps a strong span counts
+for its scope and is not reported itself.
 
 One shuffle moves the spans (a few numbers each) to their row's task; its
 largest unit is the spans of one text.
@@ -100,14 +101,14 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int =
             "covered": F.max(F.when(strong, F.col("end"))).over(row.rowsBetween(*upto)),
             "next": F.min(F.when(strong, F.col("start"))).over(row.rowsBetween(*after)),
         })
-        .where(F.col("kind").isNull() | strong | ((F.coalesce("covered", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))))
+        .withColumn("free", (F.coalesce("covered", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
         .withColumn("reached", F.max(F.when(F.col("part") != "blank", F.col("end"))).over(row.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("breaks", ((F.col("part") == "blank") | (F.col("start") - F.col("reached") > reach)).cast("int"))
         .withColumn("scope", F.sum(F.coalesce("breaks", F.lit(0))).over(row.rowsBetween(*upto)))
     )
     scope = Window.partitionBy("row", "scope")
     held = [F.max((F.col("part") == p).cast("int")).over(scope) == 1 for p in ("identifier", "secret", "endpoint")]
-    linked = apart.withColumn("linked", held[0] & held[1] & held[2]).where(F.col("kind").isNull() | strong | (F.col("linked") & (F.col("part") != "blank")))
+    linked = apart.withColumn("linked", held[0] & held[1] & held[2]).where(F.col("kind").isNull() | strong | (F.col("linked") & F.col("free") & (F.col("part") != "blank")))
     listed = F.when(F.col("kind").isNotNull(), F.struct("start", "kind", "end", "strong"))
     found = linked.groupBy("row").agg(F.first("key").alias("key"), F.array_sort(F.collect_list(listed)).alias("found"))
     named = F.transform("found", lambda x: F.struct(x["start"].alias("start"), F.get(kinds, x["kind"]).alias("kind"), x["end"].alias("end"), x["strong"].alias("strong")))
