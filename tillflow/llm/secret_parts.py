@@ -8,9 +8,10 @@ Strong spans (assignments, access identifiers, hex runs) are always reported.
 Weak candidates are parts of a credential that mean little alone: a login or
 client identifier, a token of mixed characters or a short assigned password, an
 endpoint.  Parts that follow each other within ``REACH`` code points, without a
-blank line between, form a scope.  Scopes are intervals of the text; joining
-them with the parts inside them is a merge over the parts in order, in which a
-part meets its scope's totals and never the other parts one by one.  A weak
+blank line between, form a scope.  Scopes are intervals of the text that never
+overlap, so instead of an interval join, running window sums over the parts of
+a row number the scopes, and a part meets its scope's totals and never the other
+parts one by one.  A weak
 part is reported only if its scope holds all three: an identifier, a secret and
 an endpoint, each strong or weak.  A weak part that overlaps a strong span counts
 for its scope and is not reported itself.
