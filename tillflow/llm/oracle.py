@@ -81,6 +81,50 @@ WITH RECURSIVE d AS (
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM reached LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), l AS (
+  SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 200,
+    'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'),
+    'E': doc_id > min(doc_id) OVER (PARTITION BY t)
+  } AS fails
+  FROM d LEFT JOIN l USING (doc_id)
+), masks AS (
+  SELECT part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END) AS mask,
+         count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), placed AS (
+  SELECT part, array_to_string(o, '') AS filter_order, step, o[step] AS f,
+         sum(n) FILTER (WHERE NOT list_has_any(mask, o[1 : step])) AS kept,
+         sum(n) FILTER (WHERE list_contains(mask, o[step]) AND NOT list_has_any(mask, o[1 : step - 1])) AS removed,
+         sum(n) FILTER (WHERE list_contains(mask, o[step]) AND list_has_any(mask, o[1 : step - 1])) AS redundant,
+         sum(n) FILTER (WHERE mask = [o[step]]) AS unique_fails,
+         sum(good) FILTER (WHERE list_contains(mask, o[step]) AND NOT list_has_any(mask, o[1 : step - 1])) AS good_lost,
+         sum(toxic) FILTER (WHERE list_contains(mask, o[step]) AND NOT list_has_any(mask, o[1 : step - 1])) AS toxic_lost
+  FROM masks, steps GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM placed
+"""
+
 
 def build() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": f"SELECT * FROM ({REPEATS}) WHERE n_removed > 0"}
+    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": f"SELECT * FROM ({REPEATS}) WHERE n_removed > 0", "op13_filter_audit": OP13}

@@ -100,6 +100,12 @@ def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit, cells
+
+    return audit(cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -112,6 +118,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_language_id": op9_language_id,
         "op10_sparse_suffixes": op10_sparse_suffixes,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
