@@ -126,5 +126,30 @@ FROM placed
 """
 
 
+def op12(rounds: int = 10) -> str:
+    """Plain k-means, a pair of tables for each round."""
+    tables = [r"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v, sha256('3:' || vec_id) AS h
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""", """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM kept ORDER BY h, v LIMIT 8)"""]
+    for i in range(rounds + 1):
+        tables.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT r, c, list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{i}) GROUP BY r
+)""")
+        if i < rounds:
+            tables.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, list(m ORDER BY j) AS v FROM (
+    SELECT c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a{i} JOIN kept USING (r)) GROUP BY c, j
+  ) GROUP BY c
+  UNION ALL SELECT c, v FROM c{i} WHERE c NOT IN (SELECT c FROM a{i})
+)""")
+    return f"""WITH {", ".join(tables)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} USING (c)"""
+
+
 def build() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": f"SELECT * FROM ({REPEATS}) WHERE n_removed > 0", "op13_filter_audit": OP13}
+    return {"op1_decontamination": OP1, "op3_recompression_dedup": REPEATS, "op4_warc": OP4, "op5_exact_dedup": OP5, "op8_jaccard_join": OP8, "op10_sparse_suffixes": f"SELECT * FROM ({REPEATS}) WHERE n_removed > 0", "op12_clustering": op12(), "op13_filter_audit": OP13}

@@ -100,6 +100,12 @@ def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .clustering import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .filter_audit import audit, cells
 
@@ -118,6 +124,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_language_id": op9_language_id,
         "op10_sparse_suffixes": op10_sparse_suffixes,
+        "op12_clustering": op12_clustering,
         "op13_filter_audit": op13_filter_audit,
     }
 

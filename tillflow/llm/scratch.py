@@ -3,28 +3,14 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
-
+from tillflow.session import shared_folder
+from tillflow.sinks import folders
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
-
-    Only a local master without that setting gets a temporary folder, which is
-    then kept in the setting.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = f"file://{tempfile.mkdtemp(prefix='tillflow-')}"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+_written: list[tuple[SparkSession, str]] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -46,16 +32,20 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder that nothing reads any more."""
+    folders.remove(spark, path)
+    _written[:] = [w for w in _written if w[1] != path]
+
+
 def remove_all() -> None:
     """Removes what this driver has written; results read from it must have been used by then."""
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-        except Exception:  # the session has ended
-            return
+            folders.remove(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended, or the folder's file system is out of reach; others may not be
+            continue
 
 
 atexit.register(remove_all)
