@@ -17,7 +17,7 @@ def con():
 
 
 def test_all_operators():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == [*range(1, 11), 12, 13] and set(SQL) < set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == [*range(1, 14)] and set(SQL) < set(QUERIES)
 
 
 @pytest.mark.parametrize("name", SQL)

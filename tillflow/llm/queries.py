@@ -100,6 +100,13 @@ def op10_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, scored
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .clustering import nearest
 
@@ -124,6 +131,7 @@ def build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_language_id": op9_language_id,
         "op10_sparse_suffixes": op10_sparse_suffixes,
+        "op11_toxicity": op11_toxicity,
         "op12_clustering": op12_clustering,
         "op13_filter_audit": op13_filter_audit,
     }
