@@ -6,13 +6,16 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillflow.operators import cleaning, gold, quality, reports
 from tillflow.operators.keyed import apply_retention, upsert
 from tillflow.operators.staging import STAGING
+from tillflow.plans import retention
 from tillflow.schemas import ENTITIES, KEYS, WIRE
 from tillflow.sinks import folders
-from tillflow.sinks.tables import export_gold, export_manifest, write_silver, write_table
+from tillflow.sinks.curve import write_curve
+from tillflow.sinks.tables import export_gold, export_manifest, profile_measures, write_counted, write_table
 from tillflow.sources.files import find_silver, read_entity_csv, read_silver, require_sources, text_csv, typed, with_file_order
 from tillflow.streaming.jobs import await_all, ingest_bronze_append
 
@@ -38,14 +41,20 @@ def load_bronze_full(spark: SparkSession, source: str, root: str) -> None:
         write_table(read_entity_csv(spark, entity, path), f"{root}/{entity}")
 
 
-# Attributes besides dates that silver tables are looked up by.
+# Attributes that silver tables are looked up by, besides the year, which has folders.
 LOOKED_UP = {
-    "clickstream": ["session_id", "event_type", "product_id"],
-    "purchases": ["user_id", "product_id"],
+    "clickstream": ["event_month", "session_id", "event_type", "product_id"],
+    "purchases": ["purchase_month", "user_id", "product_id"],
     "customers": ["email_domain", "country"],
 }
 
 
+def write_lookups(spark: SparkSession, silver_root: str, root: str, entity: str, files: int | None = None) -> int:
+    """A copy of a stored silver table that is looked up by any of its attributes: folders by year, files along a curve."""
+    silver = read_silver(spark, silver_root, entity)
+    return write_curve(silver, f"{root}/{entity}", LOOKED_UP[entity], DATE_FOLDERS[entity][:1], files)
+
+
 def load_keyed(spark: SparkSession, source: str, root: str) -> None:
     """Replace the keyed tables by what the CSV files insert, line after line: the last line of a key wins."""
     paths = _csv_paths(source)
@@ -55,11 +64,19 @@ def load_keyed(spark: SparkSession, source: str, root: str) -> None:
         write_table(upsert(lines, KEYS[entity], ["file_order"]).drop("file_order"), f"{root}/{entity}")
 
 
-def remove_old(spark: SparkSession, path: str, time: str, as_of: RunTime, days: int = 7) -> None:
+def remove_old(
+    spark: SparkSession, path: str, time: str, as_of: RunTime, days: int = 7, folders_by: list[str] | None = None
+) -> None:
     """Removes from the Parquet table at ``path`` the rows that are older than ``days`` days before ``as_of``.
 
-    What stays is written beside the table and then takes its place.
+    A table in date folders (``folders_by``: year, month, day or the first of
+    them) loses old folders and has one rewritten, see ``retention``.  A table
+    without folders has to be rewritten: what stays is written beside it and
+    then takes its place.
     """
+    if folders_by:
+        retention.remove_old_folders(spark, path, folders_by, time, as_of, days)
+        return
     kept = apply_retention(spark.read.parquet(path), time, as_of, days)
     work, old = f"{path}-kept-{uuid.uuid4().hex}", f"{path}-old-{uuid.uuid4().hex}"
     write_table(kept, work)
@@ -83,13 +100,25 @@ def load_bronze_new(spark: SparkSession, source: str, root: str, checkpoints: st
 def run_batch_silver(
     spark: SparkSession, source: str, root: str, run_ts: RunTime = None, fmt: str = "parquet", by_date: bool = False
 ) -> DataFrame:
-    """CSV files to silver tables; returns their row counts, read from what was written."""
+    """CSV files to silver tables; returns their row counts, taken while the tables are written."""
+    return batch_summary(spark, source, root, run_ts, fmt, by_date).groupBy("table").agg(F.first("records").alias("records"))
+
+
+def batch_summary(
+    spark: SparkSession, source: str, root: str, run_ts: RunTime = None, fmt: str = "parquet", by_date: bool = False
+) -> DataFrame:
+    """CSV files to silver tables; returns each table's rows, columns, types and filled values.
+
+    All measures are observed in the tasks that write: no table is read again.
+    """
     paths = _csv_paths(source)
     require_sources(spark, paths)
+    found = []
     for entity, path in paths.items():
         df = cleaning.silver(entity, read_entity_csv(spark, entity, path), run_ts)
-        write_silver(df, root, entity, fmt, DATE_FOLDERS[entity] if by_date else None)
-    return quality.row_counts({entity: read_silver(spark, root, entity, fmt) for entity in ENTITIES})
+        seen = write_counted(df, f"{root}/{entity}", fmt, DATE_FOLDERS[entity] if by_date else None, **profile_measures(df))
+        found += [(entity, seen["rows"], i + 1, c, kind, seen[f"filled_{i}"]) for i, (c, kind) in enumerate(df.dtypes)]
+    return spark.createDataFrame(found, "table string, records bigint, position int, column string, type string, filled bigint")
 
 
 def staging_models(

@@ -269,13 +269,13 @@ def _columns(entity: str) -> str:
     return ", ".join(f'"{c}"' for c in WIRE[entity].names)
 
 
-def _profile() -> str:
+def _profile(entity: str) -> str:
     from tillflow.schemas import silver_schema
 
     return " union all ".join(
-        f"select 'customers' as \"table\", count(*) as records, cast({i + 1} as integer) as position, '{f.name}' as \"column\", "
-        f"'{f.dataType.simpleString()}' as type, count({f.name}) as filled from silver_customers"
-        for i, f in enumerate(silver_schema("customers"))
+        f"select '{entity}' as \"table\", count(*) as records, cast({i + 1} as integer) as position, '{f.name}' as \"column\", "
+        f"'{f.dataType.simpleString()}' as type, count(\"{f.name}\") as filled from silver_{entity}"
+        for i, f in enumerate(silver_schema(entity))
     )
 
 
@@ -407,7 +407,7 @@ def build() -> dict[str, str]:
         "batch_silver": silver_counts,
         "bronze_full": " union all ".join(f"select '{e}' as \"table\", count(*) as records from feed_{e}" for e in ENTITIES),
         "bronze_append": "select trim(country) as country, 2 * count(*) as records from feed_customers group by 1",
-        "profile": _profile(),
+        "profile": _profile("customers"),
         "retention": "select * from silver_purchases where \"timestamp\" >= timestamp '1998-01-01 00:00:00'",
         "clickstream_analytics": "select * from click_windows",
         "purchase_analytics": "select * from sale_windows",
@@ -453,6 +453,12 @@ def build() -> dict[str, str]:
             select d.day, d.records, b.records as previous, d.records - b.records as growth
             from days d left join days b on b.day = d.day - 1""",
     }
+    bodies["retention_partitioned"] = (
+        "select *, cast(\"timestamp\" as date) > date '2024-01-18' as same_file from silver_clickstream "
+        "where \"timestamp\" >= timestamp '2024-01-18 09:30:00'"
+    )
+    bodies["batch_summary"] = " union all ".join(_profile(entity) for entity in ENTITIES)
+    bodies["stored_counts"] = _counts("silver_clickstream", "silver_purchases", "silver_customers", "dim_customers", "fct_purchases", "daily_sales_summary")
     lookups = {
         "lookup_customers_email_domain": "'machinery.example.com'",
         "lookup_customers_country": "'NATION_7'",
@@ -470,6 +476,10 @@ def build() -> dict[str, str]:
     for name, value in lookups.items():
         _, entity, column = name.split("_", 2)
         bodies[name] = f"select * from silver_{entity} where {column} = {value}"
+    bodies["lookup_files"] = " union all ".join(
+        f"select '{entity}' as \"table\", '{column}' as \"column\", count(*) as records, true as skips_most from silver_{entity} where {column} = {value}"
+        for (_, entity, column), value in ((name.split("_", 2), value) for name, value in lookups.items())
+    )
     return {name: _assembled(body) for name, body in bodies.items()}
 
 

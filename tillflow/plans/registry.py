@@ -15,8 +15,9 @@ from tillflow.plans import jobs
 from tillflow.schemas import BRONZE, ENTITIES, KEYS, WIRE
 from tillflow.session import scratch_path, streaming_session, use_utc
 from tillflow.sinks import folders
-from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_lookup, write_table
-from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, table
+from tillflow.sinks.curve import files_to_read
+from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_table
+from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, stored_tables, table
 from tillflow.sources.messages import decode_json
 from tillflow.sources.sample import feed, message_stream, messages, write_deliveries
 from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion
@@ -37,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "2026-01-01 00:00:00"
 # Retention and freshness are measured from days inside the given data.
 PURCHASES_AS_OF, CLICKS_AS_OF = "1998-01-08 00:00:00", "2024-02-01 00:00:00"
+CLICKS_KEPT_AS_OF = "2024-01-25 09:30:00"
 
 
 # One value for each attribute a silver table can be looked up by.
@@ -54,6 +56,8 @@ LOOKUPS = {
     ("clickstream", "event_year"): 2024,
     ("clickstream", "event_month"): 1,
 }
+# Tables to look up in have about so many files here; at full size a file holds millions of rows.
+LOOKUP_FILES = 256
 
 
 class Models:
@@ -318,11 +322,37 @@ def _keyed_load(m: Models) -> DataFrame:
     return m.spark.read.schema(BRONZE["purchases"]).parquet(f"{root}/purchases")
 
 
+_lookup_roots: dict[tuple[str, str, str], str] = {}
+
+
+def _lookup_table(m: Models, entity: str) -> DataFrame:
+    """The table to look up in, written at the first look-up of an application and read by all."""
+    name = (m.spark.sparkContext.applicationId, m.sf_dir, entity)
+    if name not in _lookup_roots:
+        root = m.stored("lookups")
+        jobs.write_lookups(m.spark, m.stored_silver(entities=(entity,)), root, entity, LOOKUP_FILES)
+        _lookup_roots[name] = root
+    return read_silver(m.spark, _lookup_roots[name], entity)
+
+
 def _looked_up(m: Models, entity: str, column: str, value) -> DataFrame:
-    """A look-up in the stored table."""
-    root = m.stored("silver")
-    write_lookup(m.silver(entity), f"{root}/{entity}", jobs.DATE_FOLDERS[entity], jobs.LOOKED_UP[entity])
-    return reports.lookup(read_silver(m.spark, root, entity), **{column: value})
+    return reports.lookup(_lookup_table(m, entity), **{column: value})
+
+
+def _lookup_files(m: Models) -> DataFrame:
+    """Per attribute: the rows that a look-up finds, and whether it leaves at most half of the files to be read."""
+    found = []
+    for (entity, column), value in LOOKUPS.items():
+        table = _lookup_table(m, entity)
+        files = files_to_read(table, column, value).select("files", "read", F.lit(0).alias("records"), F.lit(0).alias("total"))
+        rows = table.agg(F.count_if(F.col(column) == F.lit(value)).alias("records"), F.count("*").alias("total"))
+        both = files.unionByName(rows.select(F.lit(0).alias("files"), F.lit(0).alias("read"), "records", "total")).agg(
+            *[F.sum(c).alias(c) for c in ("files", "read", "records", "total")]
+        )
+        # no layout skips much for a value that a quarter of all rows hold
+        skips = (2 * F.col("read") <= F.col("files")) | (4 * F.col("records") >= F.col("total"))
+        found.append(both.select(F.lit(entity).alias("table"), F.lit(column).alias("column"), "records", skips.alias("skips_most")))
+    return quality.union_all(found)
 
 
 def _kept(m: Models) -> DataFrame:
@@ -333,6 +363,31 @@ def _kept(m: Models) -> DataFrame:
     return m.spark.read.schema(m.silver("purchases").schema).parquet(path)
 
 
+def _kept_folders(m: Models) -> DataFrame:
+    """A table in folders by day after retention, and whether each row's file is one from before."""
+    path, columns = m.stored("clickstream"), ["event_year", "event_month", "event_day"]
+    write_table(m.silver("clickstream"), path, partition_by=columns)
+    table = lambda: m.spark.read.schema(m.silver("clickstream").schema).parquet(path)
+    before = m.stored("files")
+    write_table(table().select(F.col("_metadata.file_path").alias("old_file")).distinct(), before)
+    jobs.remove_old(m.spark, path, "timestamp", CLICKS_KEPT_AS_OF, 7, columns)
+    now = table().withColumn("file", F.col("_metadata.file_path"))
+    joined = now.join(m.spark.read.parquet(before), F.col("file") == F.col("old_file"), "left")
+    return joined.withColumn("same_file", F.col("old_file").isNotNull()).drop("file", "old_file")
+
+
+def _summary(m: Models) -> DataFrame:
+    return jobs.batch_summary(m.spark, _landing(m), m.stored("silver"), RUN_TS)
+
+
+def _stored_counts(m: Models) -> DataFrame:
+    """Rows of the silver and gold tables, from the footers of their files."""
+    silver, gold_root = m.stored_silver(), m.stored("gold")
+    jobs.run_gold(m.spark, silver, gold_root, RUN_TS, entities=("purchases", "customers"))
+    paths = {f"silver_{e}": f"{silver}/{e}" for e in ENTITIES} | {name: f"{gold_root}/{name}" for name in GOLD_TABLES}
+    return quality.row_counts(stored_tables(m.spark, paths))
+
+
 def _previewed(m: Models) -> DataFrame:
     """How many rows a preview gives, and whether the table has them all."""
     silver = m.silver("customers")
@@ -534,6 +589,10 @@ def build() -> dict[str, Query]:
         "batch_silver": lambda m: _batch_silver(m)[0],
         "keyed_load": _keyed_load,
         "retention_applied": _kept,
+        "retention_partitioned": _kept_folders,
+        "lookup_files": _lookup_files,
+        "batch_summary": _summary,
+        "stored_counts": _stored_counts,
         "validate": lambda m: jobs.validate(m.stored_gold())["checks"],
         "preview_check": _previewed,
         "csv_header": _header,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.times import stamp
@@ -41,17 +41,27 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     writer.save(path)
 
 
-def write_lookup(df: DataFrame, path: str, partition_by: list[str], looked_up: list[str]) -> None:
-    """Replace the table at ``path`` by one that is looked up by dates and by other attributes.
+def write_counted(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **measures: Column
+) -> dict[str, object]:
+    """As ``write_table``, and returns aggregates of the rows as they were written, with no further scan.
 
-    Dates are folders.  Rows are sorted by the first of the other attributes, so
-    that its smallest and largest values tell most row groups apart, and every
-    one of them has Bloom filters.
+    ``rows`` is always among them.  They are observed behind the last shuffle, in
+    the tasks that write, each of which counts once however often it is tried.
     """
-    writer = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *looked_up).write.mode("overwrite")
-    for column in looked_up:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
-    writer.partitionBy(*partition_by).parquet(path)
+    seen = Observation()
+    shaped = df.hint("rebalance", *partition_by) if partition_by else df
+    shaped = shaped.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    writer = shaped.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    return dict(seen.get)
+
+
+def profile_measures(df: DataFrame) -> dict[str, Column]:
+    """How many rows fill each column, for ``write_counted``."""
+    return {f"filled_{i}": F.count(F.col(c)) for i, c in enumerate(df.columns)}
 
 
 def write_silver(

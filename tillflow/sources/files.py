@@ -74,6 +74,26 @@ def read_silver(spark: SparkSession, root: str, entity: str, fmt: str = "parquet
     return reader.parquet(f"{root}/{entity}")
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A sibling session that answers counts, and least and largest numbers, of Parquet tables from their footers.
+
+    Spark's second Parquet scan takes such aggregates over; the first reads and
+    counts rows.
+    """
+    sibling = spark.newSession()
+    first = sibling.conf.get("spark.sql.sources.useV1SourceList", "").split(",")
+    sibling.conf.set("spark.sql.sources.useV1SourceList", ",".join(name for name in first if name != "parquet"))
+    sibling.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return sibling
+
+
+def stored_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """Parquet tables to count by their footers; they belong to a session of their own."""
+    session = footer_session(spark)
+    return {name: session.read.parquet(path) for name, path in paths.items()}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path is there, on whichever file system it names."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
