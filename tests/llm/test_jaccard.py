@@ -17,7 +17,7 @@ def shingle_set(text):
 
 def plain(rows, percent=80):
     sets = [shingle_set(t) for _, t in rows]
-    order = lambda i: jaccard.NULL_ID if i is None else i
+    order = lambda i: (i is None, i or 0)  # noqa: E731  a null key is larger than any other
     root = list(range(len(rows)))
 
     def find(x):
@@ -32,7 +32,7 @@ def plain(rows, percent=80):
     least = {}
     for a, (i, _) in enumerate(rows):
         least[find(a)] = min(least.get(find(a), order(i)), order(i))
-    back = lambda i: None if i == jaccard.NULL_ID else i
+    back = lambda i: None if i[0] else i[1]
     return sorted(((i, len(s), back(least[find(a)])) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
 
 
@@ -57,13 +57,15 @@ def corpus(seed):
         words = list(base)
         words[draw.randrange(120)] = f"own{k}"
         rows.append((30_000 + k, " ".join(words)))
-    return [*rows, (None, rows[0][1]), (None, "nothing like the others at all"), (5, None), (6, ""), (6, " "), rows[1], rows[1], (rows[1][0], "other text with that number")]
+    return [*rows, (None, rows[0][1]), (None, "nothing like the others at all"), (5, None), (6, ""), (2**63 - 1, "text of the largest number there is"), (None, None), (6, " "), rows[1], rows[1], (rows[1][0], "other text with that number")]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "HELD", 4000)
     monkeypatch.setattr(jaccard, "TREE_MEMBERS", 16)
+    monkeypatch.setattr(jaccard, "SLICE_SHINGLES", 1500)
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 4000)
     monkeypatch.setattr(jaccard, "COMMON_FROM", 20)
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS id", "2 AS class", "'x' AS tag", "3 AS n", "4 AS kind").repartition(4)
@@ -74,6 +76,18 @@ def test_components(spark, seed, monkeypatch):
     assert all(i == c for i, _, c in stay)
 
 
+def test_very_long_texts_and_one_text_in_a_third_of_all_rows(spark):
+    draw = random.Random(6)
+    long = [draw.choice("abcdefghij") + str(draw.randrange(50_000)) for _ in range(200_000)]
+    near = list(long)
+    for _ in range(3_000):
+        near[draw.randrange(len(near))] = "other"
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, "word " * 300_000), (4, "word " * 7)]
+    rows += [(10 + i, f"one text that very many rows hold {i % 2 * 'in two forms'}") for i in range(200)] + [(9, "the very same row")] * 150
+    got = jaccard.similar(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()), key=repr) == plain(rows)
+
+
 def test_empty_table(spark):
     assert jaccard.similar(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
@@ -104,4 +118,31 @@ def test_connected_components(spark):
         x, y = sorted((find(a), find(b)))
         root[y] = x
     want = sorted((x, find(x)) for x in list(root) if find(x) != x)
-    assert sorted(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())) == want
+    for few in (0, 1000):
+        assert sorted(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint"), few).collect())) == want
+
+
+def test_members_of_the_main_component_need_not_ask():
+    draw = random.Random(3)
+    for _ in range(200):
+        n = draw.randrange(2, 30)
+        pairs = {(draw.randrange(n), draw.randrange(n)) for _ in range(draw.randrange(40))}
+        near = [[b for a, b in pairs if a == k] + [a for a, b in pairs if b == k] for k in range(n)]
+        # some share a root already; of these one group never asks
+        roots = np.array([draw.randrange(n) for _ in range(n)])
+        _, labels = np.unique(roots, return_inverse=True)
+        asks = labels != labels[0] if draw.random() < 0.5 else np.ones(n, bool)
+        asked = []
+        got = jaccard.hanging(labels, asks, lambda k: asked.append(k) or np.array(near[k], np.int64))
+        want = labels.copy()
+        for a, b in pairs:
+            if asks[a] or asks[b]:
+                want[want == want[b]] = want[a]
+        assert len({*zip(got.tolist(), want.tolist(), strict=True)}) == len(set(got.tolist())) == len(set(want.tolist()))
+        assert len(asked) == len(set(asked))
+
+
+def test_hub_of_a_large_group_is_found_with_few_questions():
+    asked = []
+    labels = jaccard.hanging(np.arange(2000), np.ones(2000, bool), lambda k: asked.append(k) or np.arange(2000))
+    assert len(set(labels.tolist())) == 1 and len(asked) == 1

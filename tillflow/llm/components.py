@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import free, stored
+
+#: So many edges or fewer (16 bytes each) are finished by one task.
+FEW = 1_000_000
 
 
 def is_forest(edges: DataFrame) -> bool:
@@ -29,9 +35,37 @@ def small_star(edges: DataFrame) -> DataFrame:
     return tied.union(least.select("high", "least")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """An edge to the least node of its component for every other node of the edges of a task."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("high").to_pylist(), batch.column("low").to_pylist(), strict=True):
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    nodes = [x for x in root if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["high", "low"])
+
+
+def components(links: DataFrame, few: int = FEW) -> DataFrame:
     """(node, root) of all nodes of links (a, b) that are not the least of their component."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
-    while not is_forest(edges):
-        edges = stored(small_star(large_star(edges)), "edges")
+    while True:
+        if edges.count() <= few:
+            next_, done = edges.coalesce(1).mapInArrow(stars, "high bigint, low bigint"), True
+        elif is_forest(edges):
+            break
+        else:
+            next_, done = small_star(large_star(edges)), False
+        before, edges = edges, stored(next_, "edges")
+        free(before)
+        if done:
+            break
     return edges.select(F.col("high").alias("node"), F.col("low").alias("root"))

@@ -3,33 +3,33 @@
 Equal sets are one class, named by a fingerprint of the set; all else works on
 classes.
 
-1. Shingles are hashed into ``GROUPS`` groups; the counts per group are the
-   class's point.  The overlap of two sets is at most the sum over the groups
-   of the smaller count, and a box of points bounds it by its largest counts.
+1. Shingles are hashed into groups; the counts per group are the class's point.
+   The overlap of two sets is at most the sum over the groups of the smaller
+   count, and a box of points bounds it by its largest counts.
 2. Sets with similarity t share one of their first n - ceil(t n) + 1 shingles
    in any order of all shingles.  The order is by fingerprint, with the
    shingles that very many documents hold last.  Classes that share such a
    shingle form a block.  A tree over all points would have to be searched
    beyond any bound, as few of its boxes exclude anything in so many
    dimensions; in a block it has little to search.
-3. Each class is paired with the least and the greatest of those classes that
-   are the least of a block of its own.  The pairs that pass the bound join
-   nearly all there is to join, by two pairs a class.
-4. In blocks that these pairs leave in several components, the members outside
-   the block's largest component search R-trees of its members, cut into trees
-   of bounded size, for the best member of each other component.
-5. The shingle sets of the ends of all these pairs are made, and the pairs
-   verified.  The search is repeated with the components that verified links
-   make, now for all members of other components, and what it finds is verified.
-
-So every pair of similar sets is verified or its ends are already connected.
+3. In every block an R-tree finds which members may be similar to which.  Only
+   what hangs together is sent on, one row per member and not one per pair:
+   any two that may be similar are in one cluster.
+4. The members of a cluster meet with their shingle sets, once each, and exact
+   overlaps link them.  Again only what hangs together is sent on.
+
+In 3 and 4 a member that already hangs together with the largest component of
+its group asks for nothing: of two members in different components at least
+one has asked.  So a group of thousands of near copies costs a few searches.
+Groups beyond a size are cut into slices (``together``).
+
 Blocks are found by an exchange in which a task sends one class for each
 shingle, however many of its classes hold it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,23 +38,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .repeats import NULL_ID, bounds, groups
-from .scratch import stored
+from .repeats import bounds, groups
+from .scratch import free, stored
 from .words import BASE, Fingerprints, mix, shingles, slices, split
 
-GROUPS = 256
+GROUPS = 128
 #: Sets of more shingles than four a group have twice as many groups, and so on.
 DENSE = 4
 #: Stands for any count from this on.
-MANY = 65_535
+MANY = 255
 #: Shingles that a task holds before it sends what it has found.
 HELD = 1_500_000
 #: A shingle is common from so many documents on, and there are at most so many common ones (8 bytes each in every task).
 COMMON_FROM, MOST_COMMON = 32, 4_000_000
 #: Times that a task must see a shingle to report it as possibly common.
 SEEN = 4
-#: Shingles that one group of the exchange brings together, members of a block's tree, and of the trees of a task, about.
-GROUP_SHINGLES, TREE_MEMBERS, PART_MEMBERS = 1_000_000, 2048, 50_000
+#: Shingles that one group of the exchange brings together, about.
+GROUP_SHINGLES = 1_000_000
+#: Members of a slice of a block, and of all slices that a task gets, about.
+TREE_MEMBERS, PART_MEMBERS = 2048, 50_000
+#: The same for clusters, in shingles.
+SLICE_SHINGLES, PART_SHINGLES = 1_000_000, 2_000_000
+#: Bits of the filter that tells which texts are parsed again.
+FILTER_BITS = 1 << 26
 LEAF = 16
 ROW, COUNT = 0, 1
 POINT, MEMBER, ASK = 0, 1, 2
@@ -139,7 +145,7 @@ def block_table(docs: DataFrame, width: int, percent: int, common: np.ndarray, p
                     continue
                 known.add(name)
                 names.append(name)
-                points.append((len(own), np.minimum(group_counts(own), MANY).astype(np.uint16).tobytes()))
+                points.append((len(own), np.minimum(group_counts(own), MANY).astype(np.uint8).tobytes()))
                 firsts.append(first_shingles(own, common, percent))
             if not names:
                 continue
@@ -183,7 +189,7 @@ def group_counts(own: np.ndarray) -> np.ndarray:
 
 def fine(data: bytes) -> np.ndarray:
     """Counts of a point; one that was cut is as large as can be."""
-    counts = np.frombuffer(data, np.uint16).astype(np.int64)
+    counts = np.frombuffer(data, np.uint8).astype(np.int64)
     return np.where(counts == MANY, 1 << 40, counts) if (counts == MANY).any() else counts
 
 
@@ -202,42 +208,6 @@ def enough(n: np.ndarray, m: np.ndarray, overlap: np.ndarray, percent: int) -> n
     return (100 + percent) * overlap >= percent * (n + m)
 
 
-def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and summed smaller counts allow similarity."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = (batch.column(c).to_pylist() for c in ("counts_a", "counts_b", "n_a", "n_b"))
-            fits = [bool(enough(n, m, overlap_bound(fine(a), fine(b)), percent)) for a, b, n, m in zip(*columns, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
-
-    sized = pairs
-    for side in "ab":
-        sized = sized.join(points.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")), side)
-    sized = sized.where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
-    return sized.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(task, "a bigint, b bigint")
-
-
-def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (held: class, own) are similar."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "own_a"):
-            links = []
-            for one, two in zip(batch.column("own_a").to_pylist(), batch.column("own_b").to_pylist(), strict=True):
-                one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                small, large = (one, two) if len(one) <= len(two) else (two, one)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                links.append(bool(enough(len(one), len(two), int((large[at] == small).sum()), percent)))
-            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
-
-    for side in "ab":
-        pairs = pairs.join(held.select(F.col("class").alias(side), F.col("own").alias(f"own_{side}")), side)
-    return pairs.select("a", "b", "own_a", "own_b").mapInArrow(task, "a bigint, b bigint")
-
-
 class Tree:
     """R-tree over points (size, counts), packed by size, then by the counts' groups in turn."""
 
@@ -280,68 +250,168 @@ class Tree:
 
 
 def distinct_blocks(members: DataFrame) -> DataFrame:
-    """Members (shingle, class, head) of one of all blocks that have the same members; head is the least of them."""
+    """Members (shingle, class) of one of all blocks that have the same members."""
     name = F.xxhash64("class"), F.xxhash64("class", F.lit(1))
-    blocks = members.groupBy("shingle").agg(
-        F.bit_xor(name[0]).alias("one"), F.bit_xor(name[1]).alias("two"), F.count("*").alias("n"), F.min("class").alias("head")
-    )
-    kept = blocks.groupBy("one", "two", "n", "head").agg(F.min("shingle").alias("shingle")).select("shingle", "head")
+    blocks = members.groupBy("shingle").agg(F.bit_xor(name[0]).alias("one"), F.bit_xor(name[1]).alias("two"), F.count("*").alias("n"))
+    kept = blocks.groupBy("one", "two", "n").agg(F.min("shingle").alias("shingle")).select("shingle")
     return members.join(kept, "shingle")
 
 
-def fitting(spots: np.ndarray, asks: np.ndarray, held: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each asking spot the held ones that may be similar to it; small blocks need no tree."""
-    if len(held) > 4 * LEAF:
-        tree = Tree(spots[held])
-        for i in asks.tolist():
-            yield i, held[tree.search(spots[i], percent)]
-        return
-    box = spots[held]
-    for i in asks.tolist():
-        query = spots[i]
-        shared = np.minimum(box[:, 1:], query[1:]).sum(axis=1)
-        yield i, held[enough(query[0], box[:, 0], shared, percent)]
+Links = Callable[[int], np.ndarray]
 
 
-def searched(members: DataFrame, points: DataFrame, roots: DataFrame, percent: int, best: bool = False) -> DataFrame:
-    """Pairs (a, b) of different components that blocks (shingle, class) still allow, found in the blocks' trees.
+def hanging(labels: np.ndarray, asks: np.ndarray, links: Links) -> np.ndarray:
+    """Labels after the members that ``links`` gives for an asking member have got one label with it.
 
-    With ``best`` a class gets one partner of each component that it meets in a tree, the one with the largest bound.
+    Members whose label is the main one at the time need not ask: whoever could
+    be linked with them does.  The main label is that of the members which
+    never ask, who all share one, or where all ask the most frequent.
+    """
+    labels, waiting = labels.copy(), asks.copy()
+    silent = np.flatnonzero(~asks)
+    while True:
+        main = labels[silent[0]] if len(silent) else np.bincount(labels).argmax()
+        rest = np.flatnonzero(waiting & (labels != main))
+        if not len(rest):
+            return labels
+        waiting[rest[0]] = False
+        met = np.unique(labels[np.append(links(rest[0]), rest[0])])
+        if len(met) > 1:
+            labels[np.isin(labels, met)] = met[0]
+
+
+def linked_points(pdf: pd.DataFrame, percent: int) -> Links:
+    """Who may be similar to a member, by a tree of the members' points; small slices need none."""
+    counts = [fine(c) for c in pdf["counts"]]
+    spots = np.column_stack([pdf["n"].to_numpy(np.int64), np.array([folded(c, GROUPS) for c in counts])])
+    tree = Tree(spots) if len(spots) > 4 * LEAF else None
+
+    def links(k: int) -> np.ndarray:
+        query = spots[k]
+        if tree:
+            hits = tree.search(query, percent)
+        else:
+            shared = np.minimum(spots[:, 1:], query[1:]).sum(axis=1)
+            hits = np.flatnonzero(enough(query[0], spots[:, 0], shared, percent))
+        if len(counts[k]) > GROUPS:
+            closer = np.array([overlap_bound(counts[k], counts[h]) for h in hits.tolist()], np.int64)
+            hits = hits[enough(query[0], spots[hits, 0], closer, percent)]
+        return hits
+
+    return links
+
+
+def linked_sets(pdf: pd.DataFrame, percent: int) -> Links:
+    """Who is similar to a member, by exact overlaps: the lists of members by shingle are counted."""
+    sets_ = [np.frombuffer(o, np.uint64) for o in pdf["own"]]
+    sizes = np.array([len(o) for o in sets_], np.int64)
+    tokens, place = np.unique(np.concatenate(sets_), return_inverse=True)
+    owners = np.repeat(np.arange(len(sets_)), sizes)[np.argsort(place, kind="stable")]
+    starts = np.searchsorted(np.sort(place), np.arange(len(tokens) + 1))
+    own = np.split(place, np.cumsum(sizes)[:-1])
+
+    def links(k: int) -> np.ndarray:
+        lengths = starts[own[k] + 1] - starts[own[k]]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths) + np.repeat(starts[own[k]], lengths)
+        shared = np.bincount(owners[at], minlength=len(sizes))
+        return np.flatnonzero(enough(sizes[k], sizes, shared, percent))
+
+    return links
+
+
+def together(members: DataFrame, payload: DataFrame, link: Callable[[pd.DataFrame, int], Links], percent: int, slice_weight: int, part_weight: int) -> DataFrame:
+    """(node, root) of all classes that hang together by links within groups.
+
+    ``members`` has (group, class, weight), ``payload`` what ``link`` needs of a
+    class.  Groups beyond ``slice_weight`` are cut into slices, in every group
+    otherwise, and links are looked for within slices first.  Then the members
+    of such groups that are not in their group's largest component ask in all
+    of its slices.
     """
-    rooted = members.join(roots, members["class"] == roots["node"], "left").select("shingle", "class", F.coalesce("root", "class").alias("root"))
-    sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("n"))
-    blocks = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
-    blocks = blocks.where("roots > 1").withColumn("trees", F.ceil(F.col("n") / TREE_MEMBERS))
-    open_ = stored(rooted.join(blocks.select("shingle", "main", "trees"), "shingle").join(points, "class"), "open_blocks")
-
-    trees = open_.withColumn("tree", F.pmod(F.xxhash64("class"), F.col("trees"))).withColumn("asks", F.lit(False))
-    asking = open_.where("root <> main").withColumn("tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("trees") - 1))).withColumn("asks", F.lit(True))
-    parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // PART_MEMBERS))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = [fine(c) for c in pdf["counts"]]
-        spots = np.column_stack([pdf["n"].to_numpy(np.int64), np.array([folded(c, GROUPS) for c in counts])])
-        names, own, asks = pdf["class"].to_numpy(), pdf["root"].to_numpy(), pdf["asks"].to_numpy(bool)
-        block, tree = pdf["shingle"].to_numpy(), pdf["tree"].to_numpy()
-        order, found = np.lexsort((tree, block)), [np.empty((0, 2), np.int64)]
-        for i, j in bounds(block[order], tree[order]):
-            at = order[i:j]
-            for k, hits in fitting(spots, at[asks[at]], at[~asks[at]], percent):
-                hits = hits[own[hits] != own[k]]
-                shared = np.array([overlap_bound(counts[k], counts[h]) for h in hits.tolist()], np.int64)
-                fits = enough(spots[k, 0], spots[hits, 0], shared, percent)
-                hits, shared = hits[fits], shared[fits]
-                if best and len(hits):
-                    ranked = hits[np.lexsort((names[hits], -shared / (spots[hits, 0] + spots[k, 0])))]
-                    hits = ranked[np.unique(own[ranked], return_index=True)[1]]
-                if len(hits):
-                    found.append(np.column_stack([np.minimum(names[k], names[hits]), np.maximum(names[k], names[hits])]))
-        out = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
-
-    columns = ["shingle", "tree", "class", "root", "n", "counts", "asks"]
-    both = trees.select(columns).unionByName(asking.select(columns)).withColumn("part", F.pmod(F.xxhash64("shingle", "tree"), F.lit(parts)))
-    return both.groupBy("part").applyInPandas(search, "a bigint, b bigint").distinct()
+    spark = members.sparkSession
+    columns = [c for c in payload.columns if c != "class"]
+    sizes = stored(members.groupBy("group").agg(F.sum("weight").alias("weight"), F.count("*").alias("members")).where("members > 1"), "groups")
+    total, largest = sizes.agg(F.sum("weight"), F.max("weight")).first()
+    if not total:
+        return spark.createDataFrame([], "node bigint, root bigint")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_weight))
+    cut = sizes.select("group", F.ceil(F.col("weight") / slice_weight).alias("slices"))
+    of = F.pmod(F.xxhash64("class", "group"), F.col("slices"))
+
+    def search(rows: DataFrame) -> DataFrame:
+        """Star edges (a, b) of what hangs together in every slice of rows (group, slice, class, root, asks, ...)."""
+
+        def task(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(["group", "slice", "class"], ignore_index=True)
+            roots, asks, found = pdf["root"].to_numpy(), pdf["asks"].to_numpy(bool), [np.empty((0, 2), np.int64)]
+            for i, j in bounds(pdf["group"].to_numpy(), pdf["slice"].to_numpy()):
+                if j - i < 2:
+                    continue
+                names, labels = np.unique(roots[i:j], return_inverse=True)
+                after = hanging(labels, asks[i:j], link(pdf.iloc[i:j], percent))
+                pairs = np.unique(np.column_stack([names[after], names[labels]]), axis=0)
+                found.append(pairs[pairs[:, 0] != pairs[:, 1]])
+            out = np.concatenate(found)
+            return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
+
+        part = F.pmod(F.xxhash64("group", "slice"), F.lit(parts))
+        rows = rows.join(payload, "class").select("group", "slice", "class", "root", "asks", *columns).withColumn("part", part)
+        return rows.groupBy("part").applyInPandas(task, "a bigint, b bigint")
+
+    first = members.join(cut, "group").select("group", of.alias("slice"), "class", F.col("class").alias("root"), F.lit(True).alias("asks"))
+    found = components(search(first))
+    if largest <= slice_weight:
+        return found
+
+    rooted = members.join(cut.where("slices > 1"), "group").join(found, members["class"] == found["node"], "left")
+    rooted = rooted.select("group", "class", "slices", F.coalesce("root", "class").alias("root"))
+    mains = rooted.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group")
+    mains = mains.agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    open_ = stored(rooted.join(mains.select("group", "main"), "group"), "open")
+    own = open_.select("group", of.alias("slice"), "class", "root", (F.col("root") != F.col("main")).alias("asks"))
+    elsewhere = open_.where("root <> main").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).where(F.col("slice") != of)
+    both = own.unionByName(elsewhere.select("group", "slice", "class", "root", F.lit(True).alias("asks")))
+    return components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(search(both)))
+
+
+def asked_bits(wanted: DataFrame, *names: str) -> np.ndarray:
+    """A filter of FILTER_BITS bits that holds the wanted rows' names; the driver gets these bits and no more."""
+    at = F.pmod(F.xxhash64(*names), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+    found = np.zeros(FILTER_BITS // 8, np.uint8)
+    for bucket, data in bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).collect():
+        found[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(data, np.uint8)[: len(found)]
+    return found
+
+
+def sets_of(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """(class, own): the shingle sets of the classes in ``reps`` (class, id, tag), each from one of its rows.
+
+    A filter leaves hardly any other texts to be shuffled, and of rows that
+    repeat id and text one in a task.
+    """
+    wanted = asked_bits(reps, "id", "tag")
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int | None, int]] = set()
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            hit = (wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            names = zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(), strict=True)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            new = [bool(h) and n not in seen and not seen.add(n) for h, n in zip(hit.tolist(), names, strict=True)]
+            yield batch.drop_columns(["at"]).filter(pa.array(new, pa.bool_()))
+
+    def own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in groups(sets(batches, width), lambda r: len(r[1]) + 1, HELD):
+            yield pa.RecordBatch.from_arrays([pa.array([r["class"] for r, _ in part], pa.int64()), pa.array([o.tobytes() for _, o in part], pa.binary())], ["class", "own"])
+
+    some = rows.select("id", "tag", "text", F.pmod(F.xxhash64("id", "tag"), F.lit(FILTER_BITS)).alias("at")).mapInArrow(likely, "id bigint, tag bigint, text string")
+    reps = reps.select("class", F.col("id").alias("rep_id"), F.col("tag").alias("rep_tag"))
+    chosen = some.join(reps, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("tag") == F.col("rep_tag")))
+    return chosen.select("class", "text").mapInArrow(own_sets, "class bigint, own binary").dropDuplicates(["class"])
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
@@ -357,9 +427,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).select("id", F.xxhash64("text").alias("tag"), "text")
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("tag"), "text")
     known = stored(profile(rows, width), "profile", by="kind")
     light = known.where(F.col("kind") == ROW).select("id", "tag", "class", "n")
     total = light.agg(F.sum("n")).first()[0] or 0
@@ -372,43 +440,31 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     points = stored(blocks.where(F.col("kind") == POINT).select("class", "n", "counts").dropDuplicates(["class"]), "points")
     asked = blocks.where(F.col("kind") == ASK).select("part", "data").groupBy("part").applyInArrow(met, "shingle bigint, class bigint")
     members = stored(blocks.where(F.col("kind") == MEMBER).select("shingle", "class").unionByName(asked).distinct(), "members")
-    members = stored(distinct_blocks(members), "distinct_blocks")
-
-    # Pairs that the bound allows, first along stars, then between what those leave apart.
-    blocks_of = members.select("shingle", "class")
-    heads = members.where("class <> head").groupBy("class").agg(F.min("head").alias("first"), F.max("head").alias("last"))
-    stars = heads.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("a"), F.col("class").alias("b"))
-    allowed = stored(bounded(stars, points, percent), "stars")
-    allowed = allowed.unionByName(stored(searched(blocks_of, points, components(allowed), percent, best=True), "searched"))
-
-    def own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in groups(sets(batches, width), lambda r: len(r[1]) + 1, HELD):
-            yield pa.RecordBatch.from_arrays([pa.array([r["class"] for r, _ in part], pa.int64()), pa.array([o.tobytes() for _, o in part], pa.binary())], ["class", "own"])
-
-    def held(pairs: DataFrame) -> DataFrame:
-        """The shingle sets of the ends of pairs, and of no other classes."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        reps = light.groupBy("class").agg(F.min(F.struct("id", "tag")).alias("rep")).join(ends, "class", "left_semi")
-        reps = stored(reps.select("class", "rep.id", "rep.tag"), "ends")
-        return stored(rows.join(reps, ["id", "tag"]).select("class", "text").mapInArrow(own_sets, "class bigint, own binary"), "sets")
-
-    joined = components(stored(verified(allowed, held(allowed), percent).distinct(), "links"))
-    # Where a pair that was allowed is none, its ends may have other partners.
-    apart = stored(searched(blocks_of, points, joined, percent).join(allowed, ["a", "b"], "left_anti"), "apart")
-    found = stored(verified(apart, held(apart), percent).distinct(), "links")
-    roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+    free(blocks)
+    few = stored(distinct_blocks(members).select(F.col("shingle").alias("group"), "class", F.lit(1).alias("weight")), "distinct_blocks")
+    free(members)
+
+    # What may be similar hangs together in clusters, and within these what is.
+    clusters = stored(together(few, points, linked_points, percent, TREE_MEMBERS, PART_MEMBERS), "clusters")
+    free(few)
+    roots = clusters.select(F.col("root").alias("class")).distinct().select("class", F.col("class").alias("group"))
+    in_clusters = clusters.select(F.col("node").alias("class"), F.col("root").alias("group")).unionByName(roots)
+    in_clusters = stored(in_clusters.join(points.select("class", F.col("n").alias("weight")), "class").select("group", "class", "weight"), "in_clusters")
+    reps = light.join(in_clusters.select("class"), "class", "left_semi").groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag")).alias("rep"))
+    held = stored(sets_of(rows, stored(reps.select("class", "rep.id", "rep.tag"), "reps"), width), "sets")
+    roots = stored(together(in_clusters, held, linked_sets, percent, SLICE_SHINGLES, PART_SHINGLES), "roots")
+    free(held)
 
     # A component's number is its smallest key, over all rows of all its classes.
     named = light.groupBy("class").agg(F.min("id").alias("least")).join(roots, F.col("class") == F.col("node"), "left")
     named = named.select("class", "least", F.coalesce("root", "class").alias("root"))
     whole = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = stored(named.join(whole, "root").select("class", "component"), "components")
-    some = light.where("n > 0").join(named, "class").select("id", "tag", "n", "component")
-    some = some.unionByName(light.where("n = 0").select("id", "tag", "n", F.col("id").alias("component")))
-    first = some.where("n > 0").groupBy("component").agg(F.min(F.struct("id", "tag")).alias("first")).withColumnRenamed("component", "of")
-    judged = some.join(first, (F.col("component") == F.col("of")) & (F.col("n") > 0), "left")
-    stays = (F.col("n") == 0) | ((F.col("id") == F.col("first.id")) & (F.col("tag") == F.col("first.tag")))
-    return judged.select(
-        F.nullif("id", F.lit(NULL_ID)).alias(key), F.col("n").alias("n_shingles"), F.nullif("component", F.lit(NULL_ID)).alias("component_id"),
-        stays.alias("stays"), F.col("tag").alias("text_print"),
+    named = stored(named.join(whole, "root").select("class", "component", F.col("root").alias("name")), "components")
+    some = light.where("n > 0").join(named, "class").select("id", "tag", "n", "component", "name")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "tag")
+    first = some.groupBy(F.col("name").alias("of")).agg(F.min(place).alias("first"))
+    judged = some.join(first, F.col("name") == F.col("of")).withColumn("stays", F.col("first") == place).drop("of", "first", "name")
+    bare = light.where("n = 0").select("id", "tag", "n", F.col("id").alias("component"), F.lit(True).alias("stays"))
+    return judged.select("id", "tag", "n", "component", "stays").unionByName(bare).select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "stays", F.col("tag").alias("text_print"),
     )

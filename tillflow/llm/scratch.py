@@ -29,7 +29,14 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = new_folder(spark, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._scratch = path
+    return found
+
+
+def free(table: DataFrame) -> None:
+    """Removes what ``stored`` has written for a table that nothing reads any more."""
+    remove(table.sparkSession, table._scratch)
 
 
 def remove(spark: SparkSession, path: str) -> None:
