@@ -48,7 +48,9 @@ DENSE = 4
 #: Stands for any count from this on.
 MANY = 255
 #: Shingles that a task holds before it sends what it has found.
-HELD = 1_500_000
+HELD = 750_000
+#: Words that a task remembers the fingerprints of.
+WORDS = 200_000
 #: A shingle is common from so many documents on, and there are at most so many common ones (8 bytes each in every task).
 COMMON_FROM, MOST_COMMON = 32, 4_000_000
 #: Times that a task must see a shingle to report it as possibly common.
@@ -56,9 +58,9 @@ SEEN = 4
 #: Shingles that one group of the exchange brings together, about.
 GROUP_SHINGLES = 1_000_000
 #: Members of a slice of a block, and of all slices that a task gets, about.
-TREE_MEMBERS, PART_MEMBERS = 2048, 50_000
+TREE_MEMBERS, PART_MEMBERS = 2048, 20_000
 #: The same for clusters, in shingles.
-SLICE_SHINGLES, PART_SHINGLES = 1_000_000, 2_000_000
+SLICE_SHINGLES, PART_SHINGLES = 500_000, 1_000_000
 #: Bits of the filter that tells which texts are parsed again.
 FILTER_BITS = 1 << 26
 LEAF = 16
@@ -85,7 +87,7 @@ def class_of(own: np.ndarray) -> int:
 
 def sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[dict, np.ndarray]]:
     """Every row, without its text, and its shingle set."""
-    prints = Fingerprints()
+    prints = Fingerprints(limit=WORDS)
     for batch in slices(batches, "text"):
         others = batch.drop_columns(["text"]).to_pylist()
         for row, text in zip(others, batch.column("text").to_pylist(), strict=True):
@@ -399,7 +401,7 @@ def sets_of(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
             at = batch.column("at").to_numpy()
             hit = (wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1
             names = zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist(), strict=True)
-            if len(seen) > 1_000_000:
+            if len(seen) > WORDS:
                 seen.clear()
             new = [bool(h) and n not in seen and not seen.add(n) for h, n in zip(hit.tolist(), names, strict=True)]
             yield batch.drop_columns(["at"]).filter(pa.array(new, pa.bool_()))
