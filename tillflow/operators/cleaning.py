@@ -32,7 +32,7 @@ def _known_bad(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(False))
 
 
-def normalised_clickstream(df: DataFrame) -> DataFrame:
+def normalised_clickstream(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
         F.trim("user_id").alias("user_id"),
         parsed_time(df, "timestamp").alias("timestamp"),
@@ -40,10 +40,11 @@ def normalised_clickstream(df: DataFrame) -> DataFrame:
         F.upper(F.trim("event_type")).alias("event_type"),
         "product_id",
         F.trim("session_id").alias("session_id"),
+        *others,
     )
 
 
-def normalised_purchases(df: DataFrame) -> DataFrame:
+def normalised_purchases(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
         F.trim("order_id").alias("order_id"),
         F.trim("user_id").alias("user_id"),
@@ -51,16 +52,18 @@ def normalised_purchases(df: DataFrame) -> DataFrame:
         "product_id",
         "quantity",
         "price",
+        *others,
     )
 
 
-def normalised_customers(df: DataFrame) -> DataFrame:
+def normalised_customers(df: DataFrame, *others: str) -> DataFrame:
     return df.select(
         F.trim("customer_id").alias("customer_id"),
         F.trim("name").alias("name"),
         F.lower(F.trim("email")).alias("email"),
         F.upper(F.trim("country")).alias("country"),
         parsed_time(df, "signup_date").alias("signup_date"),
+        *others,
     )
 
 
@@ -128,14 +131,29 @@ def silver(
     return with_lineage(kept, source, run_ts).select(*SILVER_COLUMNS[entity])
 
 
-def quarantine(entity: str, df: DataFrame) -> DataFrame:
-    """The records that fail a rule, normalised, with the first rule failed."""
-    reason = reduce(
+def _first_failed(entity: str) -> Column:
+    """The first rule that a normalised record fails; null where it meets them all."""
+    return reduce(
         lambda chain, rule: F.coalesce(chain, F.when(~rule[1], rule[0])),
         rules(entity).items(),
         F.lit(None).cast("string"),
     )
-    return NORMALISE[entity](df).withColumn("failed_rule", reason).where("failed_rule IS NOT NULL")
+
+
+def quarantine(entity: str, df: DataFrame) -> DataFrame:
+    """The records that fail a rule, normalised, with the first rule failed."""
+    return NORMALISE[entity](df).withColumn("failed_rule", _first_failed(entity)).where("failed_rule IS NOT NULL")
+
+
+def message_quarantine(entity: str, decoded: DataFrame) -> DataFrame:
+    """Of checked messages (``raw``, ``fault``) those that can't be read or fail a rule, normalised, with the reason.
+
+    A message's own fault comes before the rules, which what is left of it may
+    also fail.  Serves batches and streams.
+    """
+    normal = NORMALISE[entity](decoded, "raw", "fault")
+    reason = F.coalesce(F.col("fault"), _first_failed(entity))
+    return normal.withColumn("failed_rule", reason).drop("fault").where("failed_rule IS NOT NULL")
 
 
 def stream_filter(entity: str, df: DataFrame) -> DataFrame:

@@ -459,6 +459,46 @@ def build() -> dict[str, str]:
     )
     bodies["batch_summary"] = " union all ".join(_profile(entity) for entity in ENTITIES)
     bodies["stored_counts"] = _counts("silver_clickstream", "silver_purchases", "silver_customers", "dim_customers", "fct_purchases", "daily_sales_summary")
+    closed_before_late = (
+        "time_bucket(interval '1 minute', \"timestamp\") + interval '1 minute' <= "
+        "(select max(\"timestamp\") from bronze_purchases where order_id not like '%-3') - interval '1 minute'"
+    )
+    sale = _columns("purchases")
+    bodies |= {
+        "daily_incremental": "select * from daily_sales_summary",
+        "stream_late_split": f"select {sale}, order_id like '%-3' and coalesce({closed_before_late}, false) as late from bronze_purchases",
+        "stream_deduped": f"select distinct {_columns('clickstream')} from bronze_clickstream where \"timestamp\" is not null",
+        "stream_layers_committed": " union all ".join(
+            f"select {sale}, '{layer}' as layer from ({bodies[f'stream_layers_{layer}']})" for layer in ("bronze", "keyed", "silver")
+        ),
+        "sketch_rollup_bound": " union all ".join(
+            f"select '{grain}' as grain, date_trunc('{grain}', \"timestamp\") as start, page_url, event_type, count(*) as event_count, "
+            f"true as within_bound from bronze_clickstream where \"timestamp\" is not null group by all" for grain in ("hour", "day")
+        ),
+        "stream_batches": """
+            select 'clicks' as query, cast(least(coalesce(floor((t - low) / (high - low) * 4), 0), 3) as bigint) as batch, count(*) as "rows"
+            from (select epoch("timestamp") as t from bronze_clickstream),
+                 (select epoch(min("timestamp")) as low, epoch(max("timestamp")) as high from bronze_clickstream) group by all""",
+        "stream_quarantine": """
+            with numbered as (select *, cast(split_part(order_id, '-', 1) as bigint) as n from judged_purchases)
+            select null::varchar as order_id, null::varchar as user_id, null::timestamp as "timestamp", null::integer as product_id,
+                   null::integer as quantity, null::double as price, '{"order_id":"' || order_id as "raw", 'message unreadable' as failed_rule
+            from numbered where n % 11 = 0
+            union all select order_id, null, null, null, null, null, '{"order_id":"' || order_id || '","quantity":"many"}', 'field unreadable'
+            from numbered where n % 11 <> 0 and n % 13 = 0
+            union all select null, null, null, null, null, null, null, 'message missing'
+            from numbered where n % 11 <> 0 and n % 13 <> 0 and n % 17 = 0
+            union all select order_id, user_id, "timestamp", product_id, quantity, price, null, failed_rule
+            from numbered where n % 11 <> 0 and n % 13 <> 0 and n % 17 <> 0 and failed_rule is not null""",
+    }
+    keyed = {"clickstream": last_click, "purchases": last_purchase, "customers": bodies["stream_bronze_customers"]}
+    for entity in ENTITIES:
+        for layer in ("bronze", "silver"):
+            bodies[f"stream_medallion_{layer}_{entity}"] = bodies[f"stream_{layer}_{entity}"]
+        bodies[f"stream_medallion_keyed_{entity}"] = keyed[entity]
+    bodies["stream_analytics_job_customers"] = countries
+    bodies["stream_analytics_job_clickstream"] = closed("click_windows", "bronze_clickstream")
+    bodies["stream_analytics_job_purchases"] = closed("sale_windows", "bronze_purchases")
     lookups = {
         "lookup_customers_email_domain": "'machinery.example.com'",
         "lookup_customers_country": "'NATION_7'",

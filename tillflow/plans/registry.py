@@ -8,23 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.scoring import engagement_score
-from tillflow.operators import analytics, cleaning, gold, keyed, monitoring, quality, reports
+from tillflow.operators import analytics, cleaning, gold, keyed, monitoring, quality, reports, sketches
 from tillflow.operators.skew import sliced_join
 from tillflow.operators.staging import STAGING, register_staging
-from tillflow.plans import jobs
+from tillflow.plans import incremental, jobs
 from tillflow.schemas import BRONZE, ENTITIES, KEYS, WIRE
 from tillflow.session import scratch_path, streaming_session, use_utc
 from tillflow.sinks import folders
 from tillflow.sinks.curve import files_to_read
 from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_table
 from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, stored_tables, table
-from tillflow.sources.messages import decode_json
+from tillflow.sources.messages import decode_checked, decode_json
 from tillflow.sources.sample import feed, message_stream, messages, write_deliveries
 from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion
+from tillflow.streaming.dedupe import start_deduped
+from tillflow.streaming.late import start_split
+from tillflow.streaming.progress import BatchLog
 from tillflow.streaming.sinks import (
     ONCE_THROUGH,
+    committed_batches,
     compact_keyed,
     read_batches,
+    read_committed,
     read_keyed,
     read_snapshot,
     stream_snapshot,
@@ -223,6 +228,116 @@ def _stream_layers(m: Models) -> dict[str, DataFrame]:
     return _layers(m, "purchases", root)
 
 
+def _stream_committed(m: Models) -> DataFrame:
+    """All three copies of the purchases after two deliveries, while a third batch has written its first copy only."""
+    root, checkpoint, schema = m.stored("layers"), m.stored("checkpoint"), BRONZE["purchases"]
+    _delivered(m, "purchases", lambda df: start_layers("purchases", df, root, checkpoint, trigger=ONCE_THROUGH), count=2)
+    *_, last = committed_batches(m.spark, root, "bronze", "purchases")
+    in_flight = f"{last.rpartition('=')[0]}={int(last.rpartition('=')[2]) + 1}"
+    write_table(m.spark.read.schema(schema).parquet(last), in_flight)
+    layers = {
+        layer: read_committed(m.spark, root, layer, "purchases", schema, KEYS["purchases"] if layer == "keyed" else None)
+        for layer in ("bronze", "keyed", "silver")
+    }
+    return quality.union_all([df.withColumn("layer", F.lit(layer)) for layer, df in layers.items()])
+
+
+def _late_split(m: Models) -> DataFrame:
+    """Purchases in two stores: those in time, and the third lines of orders, which come last and mostly too late."""
+    found = messages(m.spark, m.sf_dir, "purchases")
+    late = F.get_json_object(F.decode("value", "UTF-8"), "$.order_id").endswith("-3")
+    path, late_path, checkpoint = m.stored("in_time"), m.stored("late_rows"), m.stored("checkpoint")
+    session, source = streaming_session(m.spark), m.stored("messages")
+    slices = write_deliveries(found.where(~late), m.stored("slices"), DELIVERIES) + write_deliveries(found.where(late), m.stored("late"), 1)
+    for i, folder in enumerate(slices):
+        folders.move(m.spark, folder, f"{source}/{i:04d}")
+        rows = decode_json(message_stream(session, source), "purchases").select(BRONZE["purchases"].names)
+        await_all([start_split(rows, "timestamp", path, late_path, checkpoint, ONCE_THROUGH)])
+    stores = [read_batches(m.spark, p, BRONZE["purchases"]).withColumn("late", F.lit(p == late_path)) for p in (path, late_path)]
+    return stores[0].unionByName(stores[1])
+
+
+def _stream_deduped(m: Models) -> DataFrame:
+    """Clicks of which every message comes twice, and all of the first deliveries once more with the last."""
+    found = messages(m.spark, m.sf_dir, "clickstream").where("at IS NOT NULL")
+    names, out, checkpoint = BRONZE["clickstream"].names, m.stored("stream"), m.stored("checkpoint")
+    session, source = streaming_session(m.spark), m.stored("messages")
+    slices = write_deliveries(found.unionByName(found), m.stored("slices"), DELIVERIES)
+    again = m.stored("again")
+    write_table(quality.union_all([m.spark.read.parquet(s) for s in slices[:-1]]), again)
+    for i, folder in enumerate([*slices, again]):
+        folders.move(m.spark, folder, f"{source}/{i:04d}")
+        rows = decode_json(message_stream(session, source), "clickstream").select(names)
+        await_all([start_deduped(rows, names, "timestamp", out, checkpoint, ONCE_THROUGH)])
+    return read_batches(m.spark, out, BRONZE["clickstream"])
+
+
+def _broken_messages(m: Models) -> DataFrame:
+    """Purchases' messages, of which every 11th is cut off, every 13th has text for a quantity and every 17th is empty."""
+    purchases = feed(m.spark, m.sf_dir, "purchases").withColumn("n", F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint"))
+    good = F.to_json(F.struct(*WIRE["purchases"].names))
+    cut = F.concat(F.lit('{"order_id":"'), "order_id")
+    unfit = F.concat(F.lit('{"order_id":"'), "order_id", F.lit('","quantity":"many"}'))
+    text = F.when(F.col("n") % 11 == 0, cut).when(F.col("n") % 13 == 0, unfit).when(F.col("n") % 17 == 0, F.lit(None)).otherwise(good)
+    return purchases.select(F.encode(text, "UTF-8").alias("value"), F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("partition"), F.col("n").alias("offset"), F.try_to_timestamp("timestamp").alias("at"))
+
+
+def _stream_quarantine(m: Models) -> DataFrame:
+    """Messages that can't be read, with their text, and records that fail a rule."""
+    session, source, out, checkpoint = streaming_session(m.spark), m.stored("messages"), m.stored("stream"), m.stored("checkpoint")
+    for i, folder in enumerate(write_deliveries(_broken_messages(m), m.stored("slices"), 2)):
+        folders.move(m.spark, folder, f"{source}/{i:04d}")
+        decoded = decode_checked(message_stream(session, source), "purchases")
+        await_all([stream_to_files(cleaning.message_quarantine("purchases", decoded), out, checkpoint, ONCE_THROUGH)])
+    expected = cleaning.message_quarantine("purchases", decode_checked(_broken_messages(m), "purchases"))
+    return read_batches(m.spark, out, expected.schema)
+
+
+def _stream_batches(m: Models) -> DataFrame:
+    """Rows of each batch with any, as a listener saw them."""
+    log, out, checkpoint = BatchLog(), m.stored("stream"), m.stored("checkpoint")
+    session = streaming_session(m.spark)
+    log.attach(session)
+    source, names = m.stored("messages"), BRONZE["clickstream"].names
+    slices = write_deliveries(messages(m.spark, m.sf_dir, "clickstream"), m.stored("slices"), DELIVERIES)
+    try:
+        for i, folder in enumerate(slices):
+            folders.move(m.spark, folder, f"{source}/{i:04d}")
+            rows = decode_json(message_stream(session, source), "clickstream").select(names)
+            await_all([stream_to_files(rows, out, checkpoint, ONCE_THROUGH, name="clicks")])
+        session._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+        return log.table(m.spark).where("rows > 0").select("query", "batch", "rows")
+    finally:
+        log.detach(session)
+
+
+def _sketch_bound(m: Models) -> DataFrame:
+    """Per hour and day: whether counts from united sketches of minutes are within a tenth, or one, of the exact ones."""
+    path, events = m.stored("sketches"), m.bronze("clickstream")
+    write_table(analytics.flatten_window(sketches.click_sketches(events)), path)
+    stored, found = m.spark.read.parquet(path), []
+    for grain in ("hour", "day"):
+        keys = [F.date_trunc(grain, "timestamp").alias("start"), "page_url", "event_type"]
+        exact = events.where("timestamp IS NOT NULL").groupBy(*keys).agg(F.countDistinct("user_id").alias("users"), F.countDistinct("session_id").alias("sessions"))
+        both = sketches.rolled_up(stored, grain).alias("s").join(exact.alias("e"), [F.col(f"s.{k}").eqNullSafe(F.col(f"e.{k}")) for k in ("start", "page_url", "event_type")])
+        near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1), F.col(b) / 10)
+        found.append(both.select(F.lit(grain).alias("grain"), "s.start", "s.page_url", "s.event_type", "event_count", (near("unique_users", "users") & near("unique_sessions", "sessions")).alias("within_bound")))
+    return quality.union_all(found)
+
+
+def _daily_incremental(m: Models) -> DataFrame:
+    """The daily summary after three deliveries, of which the last brings late purchases and new customers."""
+    root, staged, customers = m.stored("incremental"), m.stored("staged"), m.stg("customers")
+    n = F.pmod(F.crc32("order_id"), F.lit(50))
+    number = F.when(F.col("purchase_date") >= F.lit("1998-01-01").cast("date"), 2).when(n == 0, 3).otherwise(1)
+    write_table(m.stg("purchases").withColumn("delivery", number), staged)
+    rows, late_customer = m.spark.read.parquet(staged), F.pmod(F.crc32("customer_id"), F.lit(20)) == 0
+    for i in (1, 2, 3):
+        known = customers if i == 3 else customers.where(~late_customer)
+        incremental.delivered(m.spark, root, i, rows.where(F.col("delivery") == i).drop("delivery"), known, RUN_TS)
+    return incremental.read_summary(m.spark, root, m.daily())
+
+
 def _new_checkpoint(m: Models) -> DataFrame:
     """All three copies of the customers, half of them written on one checkpoint and half on another."""
     root, checkpoints = m.stored("layers"), iter([m.stored("checkpoint"), m.stored("checkpoint")])
@@ -255,19 +370,39 @@ def _all_streams(m: Models) -> dict[str, DataFrame]:
     return streams
 
 
-def _medallion(m: Models) -> DataFrame:
-    """The keyed purchases of the job with nine queries."""
-    root = m.stored("lake")
-    await_all(start_medallion(_all_streams(m), root, m.stored("checkpoints"), ONCE_THROUGH))
-    return _layers(m, "purchases", root)["keyed"]
+_job_roots: dict[tuple[str, str, str], str] = {}
+
+
+def _job_root(m: Models, job: str, run: Callable[[str], None]) -> str:
+    """Where a job has written all its outputs; it runs at the first query of an application that reads one of them."""
+    name = (m.spark.sparkContext.applicationId, m.sf_dir, job)
+    if name not in _job_roots:
+        root = m.stored(job)
+        run(root)
+        _job_roots[name] = root
+    return _job_roots[name]
+
 
+def _medallion(m: Models, layer: str = "keyed", entity: str = "purchases") -> DataFrame:
+    """One of the nine outputs of the job with nine queries."""
+    run = lambda root: await_all(start_medallion(_all_streams(m), root, m.stored("checkpoints"), ONCE_THROUGH))
+    return _layers(m, entity, _job_root(m, "medallion", run))[layer]
 
-def _analytics_job(m: Models) -> DataFrame:
-    """The country snapshot of the job with three queries."""
-    root = m.stored("analytics")
-    records = {e: df.select(BRONZE[e].names) for e, df in _all_streams(m).items()}
-    await_all(start_analytics(records, root, m.stored("checkpoints"), ONCE_THROUGH, run_ts=RUN_TS))
-    return read_snapshot(m.spark, f"{root}/customer_analytics", analytics.customer_analytics(m.bronze("customers"), RUN_TS).schema)
+
+def _analytics_job(m: Models, output: str = "customers") -> DataFrame:
+    """One of the three outputs of the job with three queries."""
+
+    def run(root: str) -> None:
+        records = {e: df.select(BRONZE[e].names) for e, df in _all_streams(m).items()}
+        await_all(start_analytics(records, root, m.stored("checkpoints"), ONCE_THROUGH, run_ts=RUN_TS))
+
+    root = _job_root(m, "analytics", run)
+    if output == "customers":
+        return read_snapshot(m.spark, f"{root}/customer_analytics", analytics.customer_analytics(m.bronze("customers"), RUN_TS).schema)
+    measure, name = (
+        (analytics.clickstream_analytics, "clickstream_analytics") if output == "clickstream" else (analytics.purchase_analytics, "purchase_analytics")
+    )
+    return read_batches(m.spark, f"{root}/{name}", _windows(m, output, measure).schema)
 
 
 def _decoded(m: Models) -> DataFrame:
@@ -544,6 +679,9 @@ def build() -> dict[str, Query]:
         found[f"stream_silver_{entity}"] = lambda m, e=entity: _stream_layer(m, e, silver=True)
         found[f"bronze_full_{entity}"] = lambda m, e=entity: _bronze_full(m)[e]
         found[f"batch_silver_{entity}"] = lambda m, e=entity: read_silver(m.spark, _batch_silver(m)[1], e)
+        found[f"stream_analytics_job_{entity}"] = lambda m, e=entity: _analytics_job(m, e)
+        for layer in ("bronze", "silver", "keyed"):
+            found[f"stream_medallion_{layer}_{entity}"] = lambda m, name=layer, e=entity: _medallion(m, name, e)
     for layer in ("bronze", "silver", "keyed"):
         found[f"stream_layers_{layer}"] = lambda m, name=layer: _stream_layers(m)[name]
     found |= {
@@ -592,6 +730,13 @@ def build() -> dict[str, Query]:
         "retention_partitioned": _kept_folders,
         "lookup_files": _lookup_files,
         "batch_summary": _summary,
+        "daily_incremental": _daily_incremental,
+        "sketch_rollup_bound": _sketch_bound,
+        "stream_late_split": _late_split,
+        "stream_quarantine": _stream_quarantine,
+        "stream_layers_committed": _stream_committed,
+        "stream_batches": _stream_batches,
+        "stream_deduped": _stream_deduped,
         "stored_counts": _stored_counts,
         "validate": lambda m: jobs.validate(m.stored_gold())["checks"],
         "preview_check": _previewed,

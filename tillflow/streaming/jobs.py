@@ -14,7 +14,7 @@ from tillflow.operators.cleaning import stream_filter
 from tillflow.operators.keyed import Order
 from tillflow.schemas import ENTITIES, KEYS
 from tillflow.sources.messages import ARRIVAL
-from tillflow.streaming.sinks import batch_folder, latest, started, stream_snapshot, stream_to_files, stream_upsert
+from tillflow.streaming.sinks import batch_folder, commit, latest, started, stream_snapshot, stream_to_files, stream_upsert
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
 TRIGGERS = {
@@ -65,7 +65,8 @@ def start_layers(
     """All three copies of one entity in one query, so its topic is read once and not three times.
 
     Every copy of a batch has a folder of its own: a batch that runs again
-    replaces its files, whichever of the copies had been written.
+    replaces its files, whichever of the copies had been written.  Once all are,
+    the batch is marked; ``read_committed`` shows marked batches only.
     """
     last = order_by or [c for c in stream.columns if c == ARRIVAL]
     if not last:
@@ -82,6 +83,7 @@ def start_layers(
             }
             for layer, df in copies.items():
                 df.write.mode("overwrite").parquet(batch_folder(batch, f"{root}/{layer}/{entity}", batch_id))
+            commit(batch, root, entity, batch_id)
         finally:
             batch.unpersist()
 

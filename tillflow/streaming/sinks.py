@@ -140,14 +140,44 @@ def batches_of(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
-def compact_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> int:
+def commit(batch: DataFrame, root: str, entity: str, batch_id: int) -> None:
+    """Marks a batch that has written all its copies below ``root``; the mark is a folder, which is there or is not."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    folders.make(batch.sparkSession, f"{root}/_committed/{entity}/{batch_id:012d}-{query}")
+
+
+def committed_batches(spark: SparkSession, root: str, layer: str, entity: str) -> list[str]:
+    """The folders of one copy whose batch has written all copies; what was compacted had."""
+    path = f"{root}/{layer}/{entity}"
+    marks = set(folders.names(spark, f"{root}/_committed/{entity}"))
+    owners = {int(number): owner for number, _, owner in (name.partition("-") for name in folders.names(spark, f"{path}/_generations"))}
+    return [folder for g, b, folder in batches_of(spark, path) if g == COMPACTED or f"{b:012d}-{owners.get(g)}" in marks]
+
+
+def read_committed(spark: SparkSession, root: str, layer: str, entity: str, schema: StructType, keys: list[str] | None = None) -> DataFrame:
+    """One copy as of the batches that are complete in all copies; with ``keys`` the newest row of each key.
+
+    So the copies agree with each other, also while a batch is being written or after it has failed halfway.
+    """
+    path, batches = f"{root}/{layer}/{entity}", committed_batches(spark, root, layer, entity)
+    if not batches:
+        return spark.createDataFrame([], schema)
+    if keys:
+        return _keyed(spark, path, batches, schema, keys)
+    whole = StructType([*schema.fields]).add("generation", "integer").add("batch", "long")
+    return spark.read.schema(whole).option("basePath", path).parquet(*batches).select(schema.names)
+
+
+def compact_keyed(spark: SparkSession, path: str, schema: StructType, keys: list[str], only: list[str] | None = None) -> int:
     """Folds the finished batches of a keyed table into one, in place; returns how many there were.
 
+    ``only`` names the folders that may be folded, such as ``committed_batches``.
+
     The folded table takes its place first, older than every batch of a stream,
     and the batches go afterwards, oldest first: at every moment the newest row
     of a key is there, and a stream may write on.
     """
-    old = batches_of(spark, path)
+    old = [found for found in batches_of(spark, path) if only is None or found[2] in only]
     if not old:
         return 0
     work = f"{path}/_compaction-{uuid.uuid4().hex}"
