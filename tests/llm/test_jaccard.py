@@ -15,9 +15,9 @@ def shingle_set(text):
     return {tuple(words[i : i + w]) for i in range(len(words) - w + 1)} if words else set()
 
 
-def plain(rows, percent=80):
+def roots(rows, percent=80):
+    """The shingle set of each row, and the number of one row of its component."""
     sets = [shingle_set(t) for _, t in rows]
-    order = lambda i: (i is None, i or 0)  # noqa: E731  a null key is larger than any other
     root = list(range(len(rows)))
 
     def find(x):
@@ -29,11 +29,21 @@ def plain(rows, percent=80):
         for b in range(a):
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 root[find(a)] = find(b)
+    return sets, [find(a) for a in range(len(rows))]
+
+
+def order(i):
+    """A null key is larger than any other."""
+    return i is None, i or 0
+
+
+def plain(rows, percent=80):
+    sets, root = roots(rows, percent)
     least = {}
-    for a, (i, _) in enumerate(rows):
-        least[find(a)] = min(least.get(find(a), order(i)), order(i))
+    for (i, _), r in zip(rows, root, strict=True):
+        least[r] = min(least.get(r, order(i)), order(i))
     back = lambda i: None if i[0] else i[1]
-    return sorted(((i, len(s), back(least[find(a)])) for a, ((i, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
+    return sorted(((i, len(s), back(least[r])) for (i, _), s, r in zip(rows, sets, root, strict=True)), key=repr)
 
 
 def corpus(seed):

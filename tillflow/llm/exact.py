@@ -62,9 +62,14 @@ def ungolomb(code: bytes, n: int, width: int) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def tag_of(text: str | Column) -> Column:
+    """Tells a document's texts apart where several rows have its key; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: key, chunk, n_chars (code points of the text), sha256 and fingerprint of the text without white space."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """Per row: key, tag (names the text as it is), part, n_chars (its code points), sha256 and fingerprint of it without white space."""
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tag", tag_of("text"))
     kind = rows.schema["key"].dataType.simpleString()
     blanks = BLANKS.encode()
 
@@ -76,15 +81,16 @@ def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("key"),
+                    batch.column("tag"),
                     pa.array([part] * len(texts), pa.int32()),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([hashlib.sha256(b).hexdigest() for b in bare], pa.string()),
                     pa.array(np.array([xxhash.xxh3_64_intdigest(b) for b in bare], np.uint64).view(np.int64)),
                 ],
-                ["key", "part", "n_chars", "sha", "print"],
+                ["key", "tag", "part", "n_chars", "sha", "print"],
             )
 
-    return rows.mapInArrow(task, f"key {kind}, part int, n_chars bigint, sha string, print bigint")
+    return rows.mapInArrow(task, f"key {kind}, tag bigint, part int, n_chars bigint, sha string, print bigint")
 
 
 def suspects(rows: DataFrame, chunks: int, owners: int) -> DataFrame:
@@ -124,19 +130,21 @@ def suspects(rows: DataFrame, chunks: int, owners: int) -> DataFrame:
 
 
 def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256, text_print.
 
     Texts are equal when they are identical without ``[\\x20\\x09-\\x0D]``; null
     counts as empty, and empty texts equal each other.  Of equal texts the row
-    with the most code points stays, then the smallest key (a null key last).
-    Rows that repeat key and text count in group_size and carry the same
-    verdict.  Other columns are not read; an empty table gives no rows.
+    with the most code points stays, then the smallest key (a null key last),
+    then, among rows of one key, the smallest fingerprint of the text as it is
+    (``text_print``).  Rows that repeat key and text count in group_size and
+    carry the same verdict: to keep one of them, take distinct (key,
+    text_print).  Other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = stored(digests(docs, key, text), "digests")
     total, parts = rows.agg(F.count("*"), F.countDistinct("part")).first()
     if not total:
-        return rows.select(F.col("key").alias(key), F.col("key").alias("keep_id"), F.col("n_chars").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
+        return rows.select(F.col("key").alias(key), F.col("key").alias("keep_id"), F.col("n_chars").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), F.col("tag").alias("text_print"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(min(parts, width), -(-total // CHUNK_ROWS))
     owners = max(min(width, -(-total // 10_000)), -(-total // OWNER_ROWS))
@@ -147,17 +155,18 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     texts = (
         docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .join(ids.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("id")), "left_semi")
-        .select("key", F.char_length("text").cast("long").alias("n_chars"), F.translate("text", BLANKS, "").alias("bare"))
+        .select("key", tag_of("text").alias("tag"), F.char_length("text").cast("long").alias("n_chars"), F.translate("text", BLANKS, "").alias("bare"))
     )
+    # the smallest comes first: most code points, then keys in order with null last, then fingerprints
+    place = F.struct((-F.col("n_chars")).alias("fewer"), F.col("key").isNull().alias("none"), "key", "tag")
     classes = (
-        texts.groupBy("bare", "n_chars").agg(F.min("key").alias("first"), F.count("*").alias("n"))
-        .select(F.sha2("bare", 256).alias("sha"), "n_chars", "first", "n")
-        .groupBy("sha").agg(F.max_by("first", "n_chars").alias("keep_id"), F.sum("n").alias("group_size"))
+        texts.groupBy("bare").agg(F.min(place).alias("first"), F.count("*").alias("group_size"))
+        .select(F.sha2("bare", 256).alias("sha"), F.col("first.key").alias("keep_id"), F.col("first.tag").alias("keep_tag"), "group_size")
     )
     found = rows.where("suspect").join(stored(classes, "classes"), "sha")
-    alone = rows.where(~F.col("suspect")).withColumns({"keep_id": F.col("key"), "group_size": F.lit(1).cast("long")})
+    alone = rows.where(~F.col("suspect")).withColumns({"keep_id": F.col("key"), "keep_tag": F.col("tag"), "group_size": F.lit(1).cast("long")})
     columns: list[Column] = [
         F.col("key").alias(key), F.col("keep_id"), F.col("group_size"),
-        F.col("key").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"),
+        (F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("tag") == F.col("keep_tag"))).alias("kept"), F.col("sha").alias("text_sha256"), F.col("tag").alias("text_print"),
     ]
     return found.select(*columns).unionByName(alone.select(*columns))

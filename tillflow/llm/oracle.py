@@ -52,13 +52,13 @@ FROM p LEFT JOIN g ON p.html = g.html
 
 OP5 = r"""
 WITH d AS (
-  SELECT doc_id, length(coalesce(text, '')) AS n,
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
          sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS sha
   FROM documents
 ), g AS (
-  SELECT sha, arg_min(doc_id, (-n, doc_id)) AS keep_id, count(*) AS group_size FROM d GROUP BY sha
+  SELECT sha, arg_min(doc_id, (-n, doc_id)) AS keep_id, max(n) AS most, count(*) AS group_size FROM d GROUP BY sha
 )
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256 FROM d JOIN g USING (sha)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AND n = most AS kept, sha AS text_sha256 FROM d JOIN g USING (sha)
 """
 
 OP8 = r"""

@@ -39,7 +39,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact import duplicates
 
-    return duplicates(table(spark, sf_dir, "documents"))
+    return duplicates(table(spark, sf_dir, "documents")).drop("text_print")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,15 +29,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the most code points stays, then the smallest doc_id.
+    """Of documents with equal texts the one with the most code points stays, then the smallest doc_id, then text fingerprint.
 
-    Rows that repeat a doc_id and a text are one row afterwards.
+    Rows that repeat a doc_id and a text are one row afterwards, that with the
+    smallest other columns.  The rows' order doesn't matter.
     """
-    name = lambda key, sha: F.concat_ws(" ", key, sha)  # noqa: E731  null keys are left out and equal each other
-    bare = F.translate(F.coalesce("text", F.lit("")), exact.BLANKS, "")
-    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_sha256").alias(ROW_NAME))
-    named = docs.withColumn(ROW_NAME, name("doc_id", F.sha2(bare, 256)))
-    return named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi").dropDuplicates([ROW_NAME]).select(docs.columns)
+    name = lambda key, text: F.concat_ws(" ", key, text)  # noqa: E731  null keys are left out and equal each other
+    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_print").alias(ROW_NAME)).distinct()
+    named = docs.withColumn(ROW_NAME, name("doc_id", exact.tag_of("text")))
+    stay = named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi")
+    return stay.groupBy(ROW_NAME).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
