@@ -48,9 +48,9 @@ DENSE = 4
 #: Stands for any count from this on.
 MANY = 255
 #: Shingles that a task holds before it sends what it has found.
-HELD = 750_000
+HELD = 400_000
 #: Words that a task remembers the fingerprints of.
-WORDS = 200_000
+WORDS = 100_000
 #: A shingle is common from so many documents on, and there are at most so many common ones (8 bytes each in every task).
 COMMON_FROM, MOST_COMMON = 32, 4_000_000
 #: Times that a task must see a shingle to report it as possibly common.
@@ -60,7 +60,7 @@ GROUP_SHINGLES = 1_000_000
 #: Members of a slice of a block, and of all slices that a task gets, about.
 TREE_MEMBERS, PART_MEMBERS = 2048, 20_000
 #: The same for clusters, in shingles.
-SLICE_SHINGLES, PART_SHINGLES = 500_000, 1_000_000
+SLICE_SHINGLES, PART_SHINGLES = 400_000, 500_000
 #: Bits of the filter that tells which texts are parsed again.
 FILTER_BITS = 1 << 26
 LEAF = 16
@@ -94,6 +94,16 @@ def sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[dict,
             yield row, shingle_set(split(text, lower=True), prints, width)
 
 
+def lean(task: Callable) -> Callable:
+    """A task that gives unused memory back when it ends: Python workers live on, next to whatever runs then."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def profile(docs: DataFrame, width: int) -> DataFrame:
     """A row per document (kind ROW: id, tag, class, n) and counts of shingles that a task saw often (kind COUNT: class, n)."""
 
@@ -116,7 +126,7 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
             rows += [(COUNT, None, None, t, n) for t, n in zip(found[often].view(np.int64).tolist(), times[often].tolist(), strict=True)]
             yield batch(rows)
 
-    return docs.mapInArrow(task, "kind int, id bigint, tag bigint, class bigint, n bigint")
+    return docs.mapInArrow(lean(task), "kind int, id bigint, tag bigint, class bigint, n bigint")
 
 
 def first_shingles(own: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
@@ -165,7 +175,7 @@ def block_table(docs: DataFrame, width: int, percent: int, common: np.ndarray, p
             packed = [(i, t.tobytes() + o.tobytes()) for i, (t, o) in enumerate(zip(np.split(tokens, edges), np.split(owners, edges), strict=True)) if len(t)]
             yield batch(kind=[ASK] * len(packed), part=[i for i, _ in packed], data=[d for _, d in packed])
 
-    return docs.mapInArrow(task, "kind int, class bigint, n bigint, counts binary, shingle bigint, part int, data binary")
+    return docs.mapInArrow(lean(task), "kind int, class bigint, n bigint, counts binary, shingle bigint, part int, data binary")
 
 
 def met(table: pa.Table) -> pa.Table:
@@ -355,6 +365,7 @@ def together(members: DataFrame, payload: DataFrame, link: Callable[[pd.DataFram
                 pairs = np.unique(np.column_stack([names[after], names[labels]]), axis=0)
                 found.append(pairs[pairs[:, 0] != pairs[:, 1]])
             out = np.concatenate(found)
+            pa.default_memory_pool().release_unused()
             return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
         part = F.pmod(F.xxhash64("group", "slice"), F.lit(parts))
@@ -410,10 +421,10 @@ def sets_of(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
         for part in groups(sets(batches, width), lambda r: len(r[1]) + 1, HELD):
             yield pa.RecordBatch.from_arrays([pa.array([r["class"] for r, _ in part], pa.int64()), pa.array([o.tobytes() for _, o in part], pa.binary())], ["class", "own"])
 
-    some = rows.select("id", "tag", "text", F.pmod(F.xxhash64("id", "tag"), F.lit(FILTER_BITS)).alias("at")).mapInArrow(likely, "id bigint, tag bigint, text string")
+    some = rows.select("id", "tag", "text", F.pmod(F.xxhash64("id", "tag"), F.lit(FILTER_BITS)).alias("at")).mapInArrow(lean(likely), "id bigint, tag bigint, text string")
     reps = reps.select("class", F.col("id").alias("rep_id"), F.col("tag").alias("rep_tag"))
     chosen = some.join(reps, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("tag") == F.col("rep_tag")))
-    return chosen.select("class", "text").mapInArrow(own_sets, "class bigint, own binary").dropDuplicates(["class"])
+    return chosen.select("class", "text").mapInArrow(lean(own_sets), "class bigint, own binary").dropDuplicates(["class"])
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:

@@ -35,18 +35,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest other columns.  The rows' order doesn't matter.
     """
     name = lambda key, text: F.concat_ws(" ", key, text)  # noqa: E731  null keys are left out and equal each other
-    kept = exact.duplicates(docs).where("kept").select(name("doc_id", "text_print").alias(ROW_NAME)).distinct()
+    verdicts = exact.duplicates(docs).groupBy(name("doc_id", "text_print").alias(ROW_NAME)).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    special = stored(verdicts.where("NOT kept OR n > 1"), "special")
     named = docs.withColumn(ROW_NAME, name("doc_id", exact.tag_of("text")))
-    stay = named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi")
-    return stay.groupBy(ROW_NAME).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    once = named.join(special.select(ROW_NAME), ROW_NAME, "left_anti").select(docs.columns)
+    repeated = named.join(special.where("kept").select(ROW_NAME), ROW_NAME, "left_semi")
+    return once.unionByName(repeated.groupBy(ROW_NAME).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of 80 % similar five-word shingles connect, the one with the smallest doc_id stays."""
     name = lambda key, text: F.concat_ws(" ", key, text)  # noqa: E731  null keys are left out and equal each other
-    kept = jaccard.similar(docs).where("stays").select(name("doc_id", "text_print").alias(ROW_NAME))
+    gone = jaccard.similar(docs).where("NOT stays").select(name("doc_id", "text_print").alias(ROW_NAME)).distinct()
     named = docs.withColumn(ROW_NAME, name("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
-    return named.join(kept.hint("shuffle_hash"), ROW_NAME, "left_semi").select(docs.columns)
+    return named.join(gone, ROW_NAME, "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
