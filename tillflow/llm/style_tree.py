@@ -6,7 +6,8 @@ the element, the tree counts the ways it is presented (the sequence of its
 children) and its contents.  The importance of a branch is the larger of the
 two entropies, each divided by the largest it could be: a menu or a notice is
 presented alike and says the same on all pages, an article differs.  Equal
-pages of a host count once.
+pages of a host count once, and one page more is taken for granted on which
+everything is important, so that a few pages prove little (``smoothed``).
 
 Every text is a leaf under its element's path.  A leaf's importance is the
 information of meeting its text there: 0 if every page of the host that has the
@@ -14,19 +15,21 @@ path has the text, 1 if one page has it; the mean over the path's texts is the
 entropy above.  So a licence line among the paragraphs of every article goes
 and the paragraphs stay.
 
-Names enter as prior knowledge: elements whose tag, role or class says menu,
-advert, form and the like weigh their branch down.  Where a page has an article
-or main element of full weight, its text is looked for there.  The texts chosen
-are judged by the tree, if enough pages of the host have them; branches and
-leaves of low importance are removed from every page.
+All shown elements and texts of a page are nodes of the tree.  A block's score
+is the least importance from the root down to its leaf, times a prior weight
+from names: elements whose tag, role or class says menu, advert, form and the
+like weigh little.  Blocks of a score below LEAST_IMPORTANCE go.  Where a page
+has an article or main element, its blocks are looked at first (``chosen``).
 
-Each page is parsed once.  What leaves the parse are the texts of its blocks,
-two hashes per container and one per leaf; counts are aggregated in two steps, so that a
+Each page is parsed once, in time that grows as its length, whatever its
+markup.  What leaves the parse are the texts of its blocks, two hashes per
+container and one per leaf; counts are aggregated in two steps, so that a
 host that holds a third of all pages is counted by many tasks.
 """
 
 from __future__ import annotations
 
+import functools
 import html as markup
 import re
 from collections.abc import Iterator
@@ -34,20 +37,25 @@ from collections.abc import Iterator
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language import host_of
 from .scratch import stored
 from .words import slices
 
-#: Branches below this importance go; paths on fewer distinct pages of a host are not judged.
-LEAST_IMPORTANCE, LEAST_PAGES = 0.2, 6
-#: What the importance of a branch is multiplied by for a tag, or a name, that says it is not the page's text.
+#: Blocks below this score go.
+LEAST_IMPORTANCE = 0.2
+#: Pages of full importance that count besides those that a path has.
+PRIOR_PAGES = 1.0
+#: What a block's score is multiplied by for a tag, or a name, that says it is not the page's text.
 TAG_WEIGHT, NAME_WEIGHT = 0.05, 0.1
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*)>|<[!?][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+TAG_NAME = re.compile(r"[^\s/>]+")
+#: A name, and perhaps a value: in quotes, which count at its start only, or up to a blank or the tag's end.
+ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+TAG_END = re.compile(r"[\s/]*>")
+LONG_REFERENCE = re.compile(r"&#(?:[0-9]{4000,}|[xX][0-9a-fA-F]{4000,});?")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Kinds of HTML elements.
@@ -68,6 +76,8 @@ NOISE_TAGS = frozenset("nav footer aside form button input select dialog menu au
 HEAD_CONTENT = frozenset("title base basefont bgsound link meta style script noscript noframes template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div section article main body td".split())
+CLOSABLE = frozenset({"p"}.union(*CLOSES.values()))
+BARS = frozenset("article main body".split())
 
 # Names in classes, ids and roles that say that a branch is not the page's text.
 NOISE_NAMES = frozenset(
@@ -81,15 +91,46 @@ HEADER_NAMES = frozenset({"header"})
 NEGATING, LAYOUT = frozenset("no non not without has have with".split()), frozenset("result results".split())
 
 
+#: Contents are hashed as sequences, modulo a prime, so that those of an element follow from its parts'.
+PRIME, STEP = (1 << 61) - 1, 0x1F3D5B79A2C4E6
+
+
 class Element:
     """An element of full weight is 1, of a branch that is not shown 0."""
 
-    __slots__ = ("tag", "path", "weight", "article", "paths", "children", "content")
+    __slots__ = ("tag", "path", "weight", "article", "parent", "number", "children", "content", "factor")
 
-    def __init__(self, tag: str, path: int, weight: float, article: bool, paths: tuple[int, ...]):
-        self.tag, self.path, self.weight, self.article, self.paths = tag, path, weight, article, paths
+    def __init__(self, tag: str, path: int, weight: float, article: bool, parent: Element | None):
+        self.tag, self.path, self.weight, self.article, self.parent = tag, path, weight, article, parent
+        self.number = -1  # among the page's containers, once it or something in it has text
         self.children: list[str] = []
-        self.content: list[str] = []
+        self.content, self.factor = 0, 1
+
+    def says(self, content: int, factor: int) -> None:
+        """Appends a sequence of texts."""
+        self.content, self.factor = (self.content * factor + content) % PRIME, self.factor * factor % PRIME
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers of thousands of digits, which stand for nothing, are one replacement character."""
+    return markup.unescape(LONG_REFERENCE.sub("\ufffd", text) if "&#" in text else text)
+
+
+def attributes_at(html: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Attributes of the tag whose name ends at ``at``, whether it ends in a slash, and where the tag ends; -1 if it doesn't.
+
+    A value in quotes that are never closed ends as one without quotes.  A quote
+    that is looked for in vain was the page's last, so this happens once.
+    """
+    found: dict[str, str] = {}
+    while not (end := TAG_END.match(html, at)):
+        m = ATTRIBUTE.match(html, at)
+        if not m:
+            return found, False, -1
+        value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
+        found.setdefault(m[1].lower(), value)
+        at = m.end()
+    return found, "/" in end[0], end.end()
 
 
 def names_of(attributes: dict[str, str]) -> set[str]:
@@ -112,65 +153,120 @@ def not_shown(attributes: dict[str, str]) -> bool:
     return bool(shown) and shown[-1] == "none"
 
 
+@functools.cache
+def raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I)
+
+
 def leaf_of(path: int, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{path}:{text}") >> 1
 
 
 class Page:
-    """Blocks of text (in an article, weight, nodes from the root down to the leaf, text) and the elements of a page, from one pass over its markup."""
+    """Blocks of text (in an article, weight, container, leaf, text) and the elements of a page, from one pass over its markup."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[bool, float, tuple[int, ...], str]] = []
+        self.blocks: list[tuple[bool, float, int, int, str]] = []
         self.elements: list[Element] = []
-        self.stack = [Element("", 0, 1.0, False, (0,))]
+        self.containers: list[Element] = []
+        self.stack = [Element("", 0, 1.0, False, None)]
+        #: depths of the open elements of each tag, of those that bar an end tag, and of those that a start tag may close or stop at
+        self.open: dict[str, list[int]] = {}
+        self.bars: list[int] = [0]
+        self.closable: list[int] = []
         self.text: list[str] = []
-        at = 0
-        while m := TOKEN.search(html, at):
-            self.text.append(html[at : m.start()])
-            at = m.end()
-            if not m[2]:
-                continue
-            tag = m[2].lower()
-            if m[1]:
-                self.end(tag)
-            elif tag in RAW and not (m[3].endswith("/") and self.stack[-1].tag == "svg"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = close.end() if close else len(html)
+        at, size = 0, len(html)
+        while at < size:
+            start = html.find("<", at)
+            if start < 0 or start + 1 == size:
+                break
+            kind = html[start + 1]
+            if html.startswith("<!--", start):
+                self.text.append(html[at:start])
+                end = html.find("-->", start + 4)
+                at = end + 3 if end >= 0 else size
+            elif kind in "!?":
+                self.text.append(html[at:start])
+                end = html.find(">", start)
+                at = end + 1 if end >= 0 else size
+            elif (kind.isascii() and kind.isalpha()) or (kind == "/" and html[start + 2 : start + 3].isascii() and html[start + 2 : start + 3].isalpha()):
+                self.text.append(html[at:start])
+                at = self.tag(html, start)
             else:
-                self.start(tag, m[3])
-        rest = html[at:]
-        cut = re.search(r"<[A-Za-z/!?]", rest)  # a tag that the end of the page cuts off
-        self.text.append(rest[: cut.start()] if cut else rest)
+                self.text.append(html[at : start + 1])
+                at = start + 1
+        if at < size:
+            self.text.append(html[at:])
         while len(self.stack) > 1:
             self.pop()
         self.flush()
         self.elements.append(self.stack[0])
 
+    def tag(self, html: str, start: int) -> int:
+        """Handles the tag at ``start``; where the markup goes on.  A tag that the end of the page cuts off is none."""
+        closing = html[start + 1] == "/"
+        name = TAG_NAME.match(html, start + 1 + closing)
+        tag = name[0].lower()
+        attributes, empty, at = attributes_at(html, name.end())
+        if at < 0:
+            return len(html)
+        if closing:
+            self.end(tag)
+        elif tag in RAW and not (empty and self.stack[-1].tag == "svg"):
+            close = raw_end(tag).search(html, at)
+            at = close.end() if close else len(html)
+        else:
+            self.start(tag, attributes, empty)
+        return at
+
     def flush(self) -> None:
         """Ends a block: the text so far belongs to the innermost open element."""
-        text = " ".join(markup.unescape("".join(self.text)).split())
+        text = " ".join(unescaped("".join(self.text)).split())
         self.text = []
         if text:
             self.close_head()
         top = self.stack[-1]
         if text and top.weight:
-            self.blocks.append((top.article, top.weight, (*top.paths, leaf_of(top.path, text)), text))
-            for element in self.stack:
-                if top.weight >= element.weight:  # a branch that weighs less says nothing of those around it
-                    element.content.append(text)
+            up = top
+            while up is not None and up.number < 0:
+                up.number = len(self.containers)
+                self.containers.append(up)
+                up = up.parent
+            self.blocks.append((top.article, top.weight, top.number, leaf_of(top.path, text), text))
+            top.says(xxhash.xxh3_64_intdigest(text) % PRIME, STEP)
 
     def close_head(self) -> None:
         """A head ends, closed or not, where anything starts that is no head content."""
         if self.stack[-1].tag == "head":
-            self.stack.pop()
+            self.leave()
+
+    def enter(self, element: Element) -> None:
+        depth = len(self.stack)
+        self.open.setdefault(element.tag, []).append(depth)
+        if element.tag in BARS:
+            self.bars.append(depth)
+        if element.tag in SCOPES or element.tag in CLOSABLE:
+            self.closable.append(depth)
+        self.stack.append(element)
+
+    def leave(self) -> Element:
+        element, depth = self.stack.pop(), len(self.stack)
+        self.open[element.tag].pop()
+        for depths in (self.bars, self.closable):
+            if depths and depths[-1] == depth and depth:
+                depths.pop()
+        return element
 
     def pop(self) -> None:
         self.flush()
-        element = self.stack.pop()
+        element = self.leave()
         if element.weight:
             self.elements.append(element)
+            # a branch that weighs less says nothing of those around it
+            if element.weight == element.parent.weight:
+                element.parent.says(element.content, element.factor)
 
-    def start(self, tag: str, raw: str) -> None:
+    def start(self, tag: str, attributes: dict[str, str], empty: bool) -> None:
         if tag not in HEAD_CONTENT:
             self.close_head()
         if self.stack[-1].tag == "svg":
@@ -178,7 +274,7 @@ class Page:
                 self.pop()
             elif tag != "svg":
                 return
-        if tag == "svg" and raw.endswith("/"):
+        if tag == "svg" and empty:
             return
         if tag in ("mtd", "mspace"):
             self.text.append(" ")
@@ -189,19 +285,20 @@ class Page:
                 self.text.append(" ")
             return
         self.flush()
-        closed = CLOSES.get(tag)
-        if closed or tag not in INLINE:
-            for depth in range(len(self.stack) - 1, 0, -1):
-                open_ = self.stack[depth].tag
-                if open_ == "p" or (closed and open_ in closed):
-                    while len(self.stack) > depth:
-                        self.pop()
-                    if not closed:
-                        break
-                elif open_ in SCOPES:
+        closed = CLOSES.get(tag, frozenset())
+        at = len(self.closable) - 1
+        while at >= 0:
+            depth = self.closable[at]
+            open_ = self.stack[depth].tag
+            if open_ == "p" or open_ in closed:
+                while len(self.stack) > depth:
+                    self.pop()
+                if not closed:
                     break
+            elif open_ in SCOPES:
+                break
+            at -= 1
         parent = self.stack[-1]
-        attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if raw.strip() else {}
         names = names_of(attributes)
         article = parent.article or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
         weight = parent.weight
@@ -217,89 +314,136 @@ class Page:
         named = f"{tag}.{attributes.get('class', '')}#{attributes.get('id', '')}"
         path = xxhash.xxh3_64_intdigest(f"{parent.path}/{named}") >> 1
         parent.children.append(named)
-        self.stack.append(Element(tag, path, weight, article, (*parent.paths, path)))
+        self.enter(Element(tag, path, weight, article, parent))
 
     def end(self, tag: str) -> None:
         if tag in INLINE or tag in VOID:
             return
         self.flush()
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth].tag == tag:
-                while len(self.stack) > depth:
-                    self.pop()
-                return
-            if self.stack[depth].tag in ("article", "main", "body") and tag not in ("body", "html"):
-                return
+        depths = self.open.get(tag)
+        if depths and (depths[-1] >= self.bars[-1] or tag in ("body", "html")):
+            depth = depths[-1]
+            while len(self.stack) > depth:
+                self.pop()
 
-    def main_blocks(self) -> list[tuple[tuple[int, ...], str]]:
-        """The blocks that are looked at: those in articles of full weight, else what weighs most.
-
-        An article inside a branch with a name of noise may be the page's own,
-        with its wrapper named after the layout, or a teaser beside the text;
-        the longer of it and the text of full weight outside is taken.
-        """
-        inside = [b for b in self.blocks if b[0]]
-        full = [b for b in self.blocks if b[1] >= LEAST_IMPORTANCE]
-        found = [b for b in full if b[0]] or full
-        if inside and not any(b[0] for b in full):
-            most = max(b[1] for b in inside)
-            wrapped = [b for b in inside if b[1] >= most]
-            long = lambda blocks: sum(len(b[3]) for b in blocks)
-            # below two names, or below a tag of noise, it is a teaser
-            if not full or most >= NAME_WEIGHT and long(wrapped) > long(full):
-                found = wrapped
-        if not found and self.blocks:
-            most = max(b[1] for b in self.blocks)
-            found = [b for b in self.blocks if b[1] >= most]
-        return [(nodes, text) for *_, nodes, text in found]
+    def main_blocks(self, scores: list[float] | None = None) -> list[str]:
+        """The texts of the page, by its blocks' scores; without, by their weights."""
+        rows = zip(self.blocks, scores or [b[1] for b in self.blocks], strict=True)
+        return chosen([(article, score, text) for (article, *_, text), score in rows])
+
+
+def chosen(blocks: list[tuple[bool, float, str]]) -> list[str]:
+    """Of blocks (in an article, score, text) those of the page's text: in articles of a full score, else of a full score.
+
+    An article inside a branch with a name of noise may be the page's own,
+    with its wrapper named after the layout, or a teaser beside the text;
+    the longer of it and the text of full score outside is taken.  If every
+    block is below, those with the best score stay.
+    """
+    inside = [b for b in blocks if b[0]]
+    full = [b for b in blocks if b[1] >= LEAST_IMPORTANCE]
+    found = [b for b in full if b[0]] or full
+    if inside and not any(b[0] for b in full):
+        most = max(b[1] for b in inside)
+        wrapped = [b for b in inside if b[1] >= most]
+        long = lambda blocks: sum(len(b[2]) for b in blocks)
+        # below two names, or below a tag of noise, it is a teaser
+        if not full or most >= NAME_WEIGHT and long(wrapped) > long(full):
+            found = wrapped
+    if not found and blocks:
+        most = max(b[1] for b in blocks)
+        found = [b for b in blocks if b[1] >= most]
+    return [text for *_, text in found]
 
 
 def parsed(pages: DataFrame) -> DataFrame:
     """Per page (key, url, host, html): its blocks as a row, and a row for each of its nodes.
 
     A container has path, presentation and content; a leaf has its element's
-    path, no presentation, and as content the name it has among a block's nodes.
+    path, no presentation, and its own name as content.  A page's containers
+    are ``nodes`` (paths), each with the number of the one around it in ``up``
+    (-1: none); a block has its container's number and its leaf.
     """
     key = pages.schema["key"].dataType.simpleString()
-    block = pa.struct([("nodes", pa.list_(pa.int64())), ("text", pa.string())])
+    block = pa.struct([("article", pa.bool_()), ("weight", pa.float64()), ("node", pa.int32()), ("leaf", pa.int64()), ("text", pa.string())])
     hashed = lambda x: xxhash.xxh3_64_intdigest(x) >> 1
 
+    def nodes_of(page: Page) -> list[dict]:
+        paths = {c.path for c in page.containers}
+        found: dict[int, list[Element]] = {}
+        for element in page.elements:
+            if element.path in paths:
+                found.setdefault(element.path, []).append(element)
+        made = []
+        for path, same in found.items():
+            whole = Element("", 0, 1.0, False, None)
+            for e in same:
+                whole.says(e.content, e.factor)
+            made.append({"path": path, "shown": hashed("|".join(c for e in same for c in e.children)), "said": whole.content})
+        return made + [{"path": p, "said": leaf} for p, leaf in {(page.containers[n].path, leaf) for _, _, n, leaf, _ in page.blocks}]
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for batch in slices(batches, "html"):
-            rows: dict[str, list] = {c: [] for c in ("of", "row", "host", "page", "path", "shown", "said", "blocks", "nodes")}
+            rows: dict[str, list] = {c: [] for c in ("of", "row", "host", "page", "path", "shown", "said", "blocks", "nodes", "up")}
             for i, (host, html) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
                 page, n = Page(html), n + 1
-                blocks = page.main_blocks()
-                nodes = {p for d, _ in blocks for p in d}
                 own = {"of": i, "row": (part << 40) + n, "host": host, "page": hashed(html)}
-                found: dict[int, list[Element]] = {}
-                for element in page.elements:
-                    if element.path in nodes:
-                        found.setdefault(element.path, []).append(element)
-                made = [
-                    {"path": path, "shown": hashed("|".join(c for e in same for c in e.children)), "said": hashed(" ".join(t for e in same for t in e.content))}
-                    for path, same in found.items()
-                ]
-                made += [{"path": path, "said": leaf} for path, leaf in {d[-2:] for d, _ in blocks}]
-                for row in [*made, {"blocks": [{"nodes": list(d), "text": t} for d, t in blocks], "nodes": sorted(nodes)}]:
+                whole = {
+                    "blocks": [dict(zip(("article", "weight", "node", "leaf", "text"), b, strict=True)) for b in page.blocks],
+                    "nodes": [c.path for c in page.containers], "up": [c.parent.number if c.parent else -1 for c in page.containers],
+                }
+                for row in [*nodes_of(page), whole]:
                     row = own | row
                     for c, values in rows.items():
                         values.append(row.get(c))
-            of = pa.array(rows["of"], pa.int64())
-            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.list_(block), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.list_(block), pa.list_(pa.int64()), pa.list_(pa.int32())]
             columns = [pa.array(rows[c], k) for c, k in zip(list(rows)[1:], kinds, strict=True)]
-            whole = pa.array([b is not None for b in rows["blocks"]])
+            whole = pa.array([b is not None for b in rows["blocks"]], pa.bool_())
             # nodes need neither key nor address
             page_of = pa.array([i if b is not None else None for i, b in zip(rows["of"], rows["blocks"], strict=True)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("key").take(page_of), batch.column("url").take(page_of), whole, *columns], ["key", "url", "whole", *list(rows)[1:]])
 
     return pages.mapInArrow(
         task, f"key {key}, url string, whole boolean, row bigint, host string, page bigint, path bigint, shown bigint, said bigint, "
-        "blocks array<struct<nodes:array<bigint>,text:string>>, nodes array<bigint>",
+        "blocks array<struct<article:boolean,weight:double,node:int,leaf:bigint,text:string>>, nodes array<bigint>, up array<int>",
     )
 
 
+def judged(rows: DataFrame) -> DataFrame:
+    """(key, url, text) of pages (key, url, blocks, nodes, up) with the importance of their low nodes (map ``low``, null: none)."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select("key", "url").schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for blocks, nodes, up, low in zip(*(batch.column(c).to_pylist() for c in ("blocks", "nodes", "up", "low")), strict=True):
+                least = dict(low or [])
+                worth = [least.get(n, 1.0) for n in nodes]
+                for i in by_depth(up) if least else []:
+                    if up[i] >= 0:
+                        worth[i] = min(worth[i], worth[up[i]])
+                scored = [(b["article"], b["weight"] * min(worth[b["node"]], least.get(b["leaf"], 1.0)), b["text"]) for b in blocks]
+                texts.append(" ".join(chosen(scored)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"])
+
+    return rows.select("key", "url", "blocks", "nodes", "up", "low").mapInArrow(task, f"{schema}, text string")
+
+
+def by_depth(up: list[int]) -> list[int]:
+    """Containers so that each comes after the one around it."""
+    inner: list[list[int]] = [[] for _ in up]
+    order = []
+    for i, above in enumerate(up):
+        if above < 0:
+            order.append(i)
+        else:
+            inner[above].append(i)
+    for i in order:  # grows while it is gone through
+        order.extend(inner[i])
+    return order
+
+
 def importance(containers: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of containers (host, page, path, shown, said), equal pages counted once."""
     once = containers.select("host", "path", "page", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("shown").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("said").alias("value")))).alias("v"))
@@ -310,35 +454,43 @@ def importance(containers: DataFrame) -> DataFrame:
     return sums.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.max(entropy).alias("importance"))
 
 
-def low_nodes(nodes: DataFrame, least: float, least_pages: int) -> DataFrame:
-    """(host, node) of the containers and leaves whose importance is below ``least``.
+def smoothed(importance_: Column) -> Column:
+    """Importance with PRIOR_PAGES pages of full importance added to a path's pages."""
+    return (F.col("pages") * importance_ + PRIOR_PAGES) / (F.col("pages") + PRIOR_PAGES)
+
+
+def low_nodes(nodes: DataFrame, least: float) -> DataFrame:
+    """(host, node, importance) of the containers and leaves whose smoothed importance is below ``least``.
 
-    A leaf is low where more than pages ** (1 - least) of its path's pages have
-    it.  Leaves that no path could make low are left out before they meet their
-    path, so that a path with many texts is no hot key.
+    Leaves of one page are left out before they meet their path, so that a path
+    with many texts is no hot key: on one page's word nothing is low.
     """
-    paths = stored(importance(nodes.where("shown IS NOT NULL")).where(F.col("pages") >= least_pages), "paths")
+    paths = stored(importance(nodes.where("shown IS NOT NULL")), "paths")
     leaves = nodes.where("shown IS NULL").select("host", "path", "said", "page").distinct().groupBy("host", "path", "said").agg(F.count("*").alias("n"))
-    leaves = leaves.where(F.col("n") > F.lit(max(least_pages, 1) ** (1 - least) - 1e-9)).join(paths.select("host", "path", "pages"), ["host", "path"])
-    information = F.when(F.col("pages") > 1, 1 - F.log("n") / F.log("pages")).otherwise(1.0)
-    return leaves.where(information < least).select("host", F.col("said").alias("node")).unionByName(paths.where(F.col("importance") < least).select("host", F.col("path").alias("node")))
+    leaves = leaves.where(F.col("n") > 1).join(paths.select("host", "path", "pages"), ["host", "path"])
+    information = smoothed(F.when(F.col("pages") > 1, 1 - F.log("n") / F.log("pages")).otherwise(1.0))
+    found = leaves.select("host", F.col("said").alias("node"), information.alias("importance"))
+    found = found.unionByName(paths.select("host", F.col("path").alias("node"), smoothed(F.col("importance")).alias("importance")))
+    return found.where(F.col("importance") < least)
 
 
-def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
+def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST_IMPORTANCE) -> DataFrame:
     """One row per row of ``pages``: key, url, text (empty if none).
 
     Character references are decoded, white space in a block is one space,
     blocks are joined by one space in page order.  Null and empty html give the
     empty text; pages without url are one host.  Repeated rows stay.  If every
-    block of a page is of low importance, none is removed.  Other columns are
-    not read.
+    block of a page is of low score, those with the best stay.  Attribute
+    values whose quotes are never closed end at the tag's end; a tag that the
+    end of the page cuts off is dropped.  Other columns are not read.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     table = stored(parsed(rows), "blocks", by="whole")
-    low = stored(low_nodes(table.where(~F.col("whole")), least, least_pages), "low")
+    low = stored(low_nodes(table.where(~F.col("whole")), least), "low")
     whole = table.where("whole")
     # Written, so that its size is known and few removals don't move the texts.
-    gone = stored(whole.select("row", "host", F.explode("nodes").alias("node")).join(low, ["host", "node"]).groupBy("row").agg(F.collect_set("node").alias("gone")), "gone")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["nodes"], F.col("gone")), F.lit(False)))
-    judged = whole.join(gone, "row", "left").withColumn("kept", F.when(F.size(kept) > 0, kept).otherwise(F.col("blocks")))
-    return judged.select(F.col("key").alias(key), F.col("url").alias(url), F.array_join(F.transform("kept", lambda b: b["text"]), " ").alias("text"))
+    names = F.array_union("nodes", F.transform("blocks", lambda b: b["leaf"]))
+    met = whole.select("row", "host", F.explode(names).alias("node")).join(low, ["host", "node"])
+    of_row = stored(met.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("node", "importance"))).alias("low")), "low_of_rows")
+    found = judged(whole.join(of_row, "row", "left"))
+    return found.select(F.col("key").alias(key), F.col("url").alias(url), "text")
