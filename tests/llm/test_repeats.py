@@ -43,7 +43,7 @@ def corpus(seed):
         words = [w for _ in range(draw.randrange(4)) for w in text(draw.randrange(30)) + draw.choice(passages)]
         rows.append((i * 3 % 100, draw.choice([" ", "  ", "\n", "\t "]).join(words)))
     rows += [(None, " ".join(passages[0])), (7, None), (8, ""), (9, " "), (50, "again " * 400), (51, "again " * 40), rows[5], rows[5]]
-    rows += [(200 + i, " ".join(passages[4] + [f"end{i}"])) for i in range(60)]
+    rows += [(200 + i, " ".join(passages[4] + [f"end{i}"])) for i in range(60)] + [(repeats.NULL_ID, " ".join(passages[1])), (-repeats.NULL_ID - 1, " ".join(passages[2]))]
     return rows
 
 

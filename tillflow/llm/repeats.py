@@ -167,11 +167,11 @@ def marks(claims: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names)
 
 
-SCHEMA = "kind int, id bigint, tag bigint, name bigint, place int, data binary, n_words bigint, sha string"
+SCHEMA = "kind int, id bigint, tag bigint, name bigint, place int, data binary, n_words bigint, sha string, none boolean"
 
 
 def as_batch(rows: list[dict]) -> pa.RecordBatch:
-    kinds = {"kind": pa.int32(), "id": pa.int64(), "tag": pa.int64(), "name": pa.int64(), "place": pa.int32(), "data": pa.binary(), "n_words": pa.int64(), "sha": pa.string()}
+    kinds = {"kind": pa.int32(), "id": pa.int64(), "tag": pa.int64(), "name": pa.int64(), "place": pa.int32(), "data": pa.binary(), "n_words": pa.int64(), "sha": pa.string(), "none": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in kinds.items()], list(kinds))
 
 
@@ -185,7 +185,7 @@ def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool)
             out, open_ = [], []
             for row, words, h in rows:
                 data = b" ".join(words)
-                base = {"id": row["id"], "tag": row["tag"], "n_words": len(words), "sha": hashlib.sha256(data).hexdigest()}
+                base = {"id": row["id"], "tag": row["tag"], "n_words": len(words), "sha": hashlib.sha256(data).hexdigest(), "none": row["none"]}
                 if row["names"]:
                     open_.append((row, words, h))
                     out.append(base | {"kind": OPEN, "data": data})
@@ -238,11 +238,11 @@ def removed(open_: DataFrame, width: int, with_text: bool) -> DataFrame:
                 texts.append(kept.decode() if with_text else None)
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("n_words"), pa.array(spans, kind), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
-                ["id", "n_words", "spans", "kept_sha256", "kept"],
+                [batch.column("id"), batch.column("none"), batch.column("n_words"), pa.array(spans, kind), pa.array(shas, pa.string()), pa.array(texts, pa.string())],
+                ["id", "none", "n_words", "spans", "kept_sha256", "kept"],
             )
 
-    return open_.mapInArrow(task, "id bigint, n_words bigint, spans array<struct<start:int,end:int>>, kept_sha256 string, kept string")
+    return open_.mapInArrow(task, "id bigint, none boolean, n_words bigint, spans array<struct<start:int,end:int>>, kept_sha256 string, kept string")
 
 
 def without_repeats(
@@ -254,12 +254,13 @@ def without_repeats(
     tag, data).  Words are runs of bytes other than space and \\x09-\\x0D; kept
     words are joined by one space.  Null and empty texts have no words.  The key
     is a whole number; rows with equal keys are no smaller than each other, and
-    a null key counts as larger than any other.  Other columns are not read.
+    a null key counts as the largest there is, 2 ** 63 - 1, and as equal to it.
+    Other columns are not read.
     """
     rows = docs.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).select("id", F.xxhash64("text").alias("tag"), "text")
-    names = stored(anchor_table(rows, anchors, width), "anchors")
+        F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).isNull().alias("none")
+    ).select("id", F.xxhash64("text").alias("tag"), "text", "none")
+    names = stored(anchor_table(rows.drop("none"), anchors, width), "anchors")
     shared = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name")
     wanted = names.join(shared, "name").groupBy("id", "tag").agg(F.collect_list("name").alias("names"))
     claims = stored(claim_table(rows.join(wanted.hint("shuffle_hash"), ["id", "tag"], "left"), anchors, width, with_text), "claims", by="kind")
@@ -267,9 +268,9 @@ def without_repeats(
     found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "data"))
     found = found.unionByName(claims.where(F.col("kind") == MARK).select("id", "tag", "data"))
     found = found.groupBy("id", "tag").agg(F.collect_list("data").alias("found"))
-    open_ = claims.where(F.col("kind") == OPEN).select("id", "tag", "n_words", "sha", "data").join(found, ["id", "tag"], "left")
+    open_ = claims.where(F.col("kind") == OPEN).select("id", "none", "tag", "n_words", "sha", "data").join(found, ["id", "tag"], "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
-    done = claims.where(F.col("kind") == DONE).select("id", "n_words", none.alias("spans"), F.col("sha").alias("kept_sha256"), F.decode("data", "utf-8").alias("kept"))
+    done = claims.where(F.col("kind") == DONE).select("id", "none", "n_words", none.alias("spans"), F.col("sha").alias("kept_sha256"), F.decode("data", "utf-8").alias("kept"))
     every = removed(open_, width, with_text).unionByName(done)
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    return every.select(F.nullif("id", F.lit(NULL_ID)).alias(key), "n_words", gone.alias("n_removed"), "spans", "kept_sha256", "kept")
+    return every.select(F.when(~F.col("none"), F.col("id")).alias(key), "n_words", gone.alias("n_removed"), "spans", "kept_sha256", "kept")
