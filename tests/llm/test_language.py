@@ -18,7 +18,7 @@ def text(lang, draw, n=40):
 @pytest.fixture(scope="module")
 def model(spark):
     draw = random.Random(1)
-    rows = [(lang, text(lang, draw)) for lang in PARTS for _ in range(60)] + [("dd", "too few rows")] * 3 + [(None, "x"), ("aa", None)]
+    rows = [(lang, text(lang, draw)) for lang in PARTS for _ in range(60)] + [(None, "x"), ("aa", None)]
     return language.fit(spark.createDataFrame(rows, "lang string, text string"))
 
 
@@ -27,6 +27,90 @@ def test_fit(model):
     assert np.allclose(np.exp(model.logs.astype(float)).sum(axis=0), 1, atol=1e-3)
 
 
+def test_a_language_of_one_row_is_one(spark):
+    draw = random.Random(7)
+    rows = [("aa", text("aa", draw)) for _ in range(50)] + [("dd", "wxyz zyxw wxwx yzyz")]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == ["aa", "dd"]
+    got = language.identify(spark.createDataFrame([(1, "zyxw wxyz"), (2, text("aa", draw))], "doc_id bigint, text string"), model, "doc_id", "text").collect()
+    assert {r["doc_id"]: r["language"] for r in got} == {1: "dd", 2: "aa"}
+
+
+def test_labels_that_are_no_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LABELS", 3)
+    with pytest.raises(ValueError, match="labels"):
+        language.fit(spark.createDataFrame([(str(i), "x y") for i in range(5)], "lang string, text string"))
+
+
+def plain(rows, model, fused=True):
+    """{key: (language, probability, accepted)} of rows (key, text, declared, host, suffix), every count by hand."""
+    n = len(model.languages)
+    base, sums = [], {}
+    for _, t, declared, host, suffix in rows:
+        at = language.trigrams(t)
+        own = model.logs[at].sum(axis=0, dtype=float) / (len(at) + language.STRENGTH) * language.STRENGTH if len(at) else np.zeros(n)
+        own = own - own.max()
+        base.append((len(at), own))
+        if len(at):
+            share = np.exp(own) / np.exp(own).sum()
+            for name in (("all",), ("suffix", suffix or ""), ("host", host or "", suffix or ""), ("declared", declared or "")):
+                sums[name] = sums.get(name, np.zeros(n)) + share
+    overall = sums.get(("all",), np.zeros(n))
+    top = (overall + 1) / (overall.sum() + n)
+    values = max(sum(k[0] == "declared" for k in sums), 1)
+    near = lambda own, parent, weight: (own + weight * parent) / (own.sum() + weight)
+    out = {}
+    for (key, _, declared, host, suffix), (length, logs) in zip(rows, base, strict=True):
+        total = logs
+        if fused:
+            parent = near(sums.get(("suffix", suffix or ""), np.zeros(n)), top, language.SUFFIX_WEIGHT)
+            at = ("host", host or "", suffix or "")
+            total = total + np.log(near(sums[at], parent, language.HOST_WEIGHT) if at in sums else top)
+            if ("declared", declared or "") in sums:
+                total = total + np.log((sums["declared", declared or ""] + language.DECLARED_WEIGHT) / (overall + language.DECLARED_WEIGHT * values))
+        p = np.exp(total - total.max())
+        p /= p.sum()
+        out[key] = (model.languages[p.argmax()], p.max(), length > 0 and p.max() >= 0.5)
+    return out
+
+
+def short_pages():
+    """Pages of hosts that each write one language, many with too little text to tell; markup that declares it or another."""
+    draw, rows = random.Random(9), []
+    for h in range(12):
+        own = list(PARTS)[h % 3]
+        for i in range(25):
+            words = draw.choice([0, 1, 1, 2, 30])
+            body = text(own, draw, words) if words else draw.choice(["", "12 %", None])
+            said = draw.choice([own, own, own, "zz", None])
+            rows.append((100 * h + i, body, said, f"h{h}.example.{own}x", f"{own}x"))
+    rows += [(9000, "r", "bb", "new.example.bbx", "bbx"), (9001, "e", None, None, None), (9002, "ö " * 100_000, "aa", "h0.example.aax", "aax"), (None, text("cc", draw), None, "", "")]
+    return rows + [rows[3], rows[4]]
+
+
+def as_page(row):
+    key, body, said, host, _ = row
+    markup = None if body is None else f"<html{f' lang={said}' if said else ''}><body><p>{body}</p>"
+    return key, f"https://{host}/x" if host else host, markup
+
+
+def test_pages_against_plain_counts(spark, model):
+    rows = short_pages()
+    pages = spark.createDataFrame([as_page(r) for r in rows], "page_id bigint, url string, html string").selectExpr("*", "1 AS key", "'x' AS host", "2 AS declared").repartition(4)
+    html, url = F.col("html"), F.col("url")
+    got = language.identify(pages, model, "page_id", language.visible_text(html), language.markup_language(html), language.host_of(url), language.suffix_of(url)).collect()
+    seen = [(k, t, said if t is not None else None, host, suffix) for k, t, said, host, suffix in rows]
+    want, alone = plain(seen, model), plain(seen, model, fused=False)
+    assert len(got) == len(rows)
+    for r in got:
+        name, p, accepted = want[r["page_id"]]
+        assert (r["language"], r["accepted"]) == (name, accepted) and r["probability"] == pytest.approx(p, rel=1e-6)
+    own = {k: host.split(".")[2][:2] for k, _, _, host, _ in rows if host and k is not None}
+    changed = [k for k in own if want[k][0] != alone[k][0]]
+    better = sum(want[k][0] == own[k] for k in own) - sum(alone[k][0] == own[k] for k in own)
+    assert len(changed) > 20 and better > 20
+
+
 def test_held_out_accuracy_on_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0

@@ -10,7 +10,8 @@ log P(language | everything) is the sum of
   smoothed towards that of all rows.
 
 Trigram counts come from a bounded sample of each label's distinct texts
-(``FIT_ROWS``); which languages there are is decided by counts of all rows.  All
+(``FIT_ROWS``); every label of any row is a language.  A declaration must not be
+the label that the model was fitted on, or it would be its own evidence.  All
 other counts are grouped aggregates over every row, in which a host that holds
 a third of them is one row per task.
 """
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from .scratch import stored
 from .words import slices
 
-#: Distinct texts of each label that trigram counts are taken from, about; a language needs LEAST_ROWS labelled rows.
-FIT_ROWS, LEAST_ROWS = 5_000, 20
+#: Distinct texts of each label that trigram counts are taken from, about.
+FIT_ROWS = 5_000
+#: More labels than this are an error: they don't name languages, and each costs 65,536 numbers in every task.
+MOST_LABELS = 500
 #: The evidence of a text is that of this many independent trigrams at most.
 STRENGTH = 150.0
 #: Rows of the parent that count with a host or suffix, and rows that each declaration is seen with beforehand.
@@ -80,7 +83,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", fit_rows:
     """Trigram counts by label from about ``fit_rows`` distinct texts of each; the driver gets 65,536 sums per language."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(F.col("text").isNotNull() & F.col("label").isNotNull())
     counts = rows.groupBy("label").agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("text")).alias("texts"))
-    shares = {r["label"]: min(1.0, fit_rows / max(r["texts"], 1)) for r in counts.where(F.col("n") >= LEAST_ROWS).collect()}
+    shares = {r["label"]: min(1.0, fit_rows / max(r["texts"], 1)) for r in counts.limit(MOST_LABELS + 1).collect()}
+    if len(shares) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels in {label}")
     if not shares:
         return Model([], np.empty((BUCKETS, 0), np.float32))
     rows = sampled(rows, shares)

@@ -76,7 +76,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit, identify
 
     docs = table(spark, sf_dir, "documents")
-    found = identify(docs, fit(docs), "doc_id", "text", declared=F.lower("lang"), host=F.col("source"))
+    found = identify(docs, fit(docs), "doc_id", "text", host=F.col("source"))
     return found.withColumnRenamed("accepted", "kept")
 
 

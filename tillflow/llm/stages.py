@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language stays in doubt, go."""
     model = language.fit(docs)
     named = docs.withColumn(ROW_NAME, row_name())
-    found = language.identify(named, model, ROW_NAME, "text", declared=F.lower("lang"), host=F.col("source"))
+    found = language.identify(named, model, ROW_NAME, "text", host=F.col("source"))
     rejected = stored(found.where(~F.col("accepted")).select(ROW_NAME).distinct(), "rejected")
     return named.join(rejected, ROW_NAME, "left_anti").select(docs.columns)
 
