@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gc
 import random
+import weakref
 
 from tillflow.llm import decontaminate as d
 
@@ -63,3 +65,24 @@ def test_empty_tables(spark):
     assert d.contained(docs, items).collect() == []
     assert d.without_leaks(docs, items).count() == 1
     assert d.contained(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).collect() == []
+
+
+def test_driver_holds_one_block_at_a_time(spark, monkeypatch):
+    docs, items = corpus()
+    alive, most = weakref.WeakSet(), []
+
+    class Counted(d.Sketches):
+        def __init__(self, *args):
+            super().__init__(*args)
+            gc.collect()
+            alive.add(self)
+            most.append(len(alive))
+
+    monkeypatch.setattr(d, "Sketches", Counted)
+    a, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    for block_chars in (d.BLOCK_CHARS, 300):
+        most.clear()
+        assert d.contained(a, b, block_chars=block_chars).count() == len(plain(docs, items))
+        assert d.without_leaks(a, b, block_chars=block_chars).count() < len(docs)
+        # the one that was used last may still be there
+        assert max(most) <= 3 and (block_chars > 300 or len(most) > 20)

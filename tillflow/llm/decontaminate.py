@@ -15,7 +15,8 @@ the partition's smallest item.  Candidates are verified on the spot: the
 shingles themselves, as words, are looked up in the document.
 
 Items go to the tasks in blocks of bounded size; every block passes over all
-documents, which are never shuffled.
+documents, which are not shuffled.  The driver holds one block at a time: with
+several, what each has found is written before the next is made.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from .scratch import stored
 from .words import Fingerprints, shingles, slices, split
 
 #: Code points of benchmark text in a block: what the driver holds at once and a task gets.
@@ -108,17 +110,53 @@ class Sketches:
         return out
 
 
-def blocks(items: DataFrame, key: str, text: str, block_chars: int) -> Iterator[list[tuple[object, str]]]:
-    """The items, so many code points at once; an item longer than a block is one alone."""
+def block_count(items: DataFrame, text: str, block_chars: int) -> int:
+    size = items.where(F.trim(text) != "").agg(F.sum(F.char_length(text))).first()[0] or 0
+    return max(1, -(-size // block_chars))
+
+
+def blocks(items: DataFrame, key: str, text: str, n: int) -> Iterator[list[tuple[object, str]]]:
+    """The items in n blocks, one after the other; an item longer than a block is one alone."""
     items = items.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.trim("text") != "")
-    size = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_chars))
     for i in range(n):
         block: list[Row] = (items.where(F.pmod(F.xxhash64("key", "text"), F.lit(n)) == i) if n > 1 else items).collect()
         if block:
             yield [(r["key"], r["text"]) for r in block]
 
 
+def found_by(rows: DataFrame, sketches: Sketches, schema: str, item_kind: str) -> DataFrame:
+    """(key, item, n_shared, n_item) of rows (key, text) and the items of one block."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, prints = sketches.index(), Fingerprints()
+        for batch in slices(batches, "text"):
+            at: list[int] = []
+            hits: list[tuple[object, int, int]] = []
+            for i, t in enumerate(batch.column("text").to_pylist()):
+                words = split(t, lower=True)
+                for leak in index.leaks(words, prints.of(words)):
+                    at.append(i)
+                    hits.append(leak)
+            keys = batch.column("key").take(pa.array(at, pa.int64()))
+            items, shared, n = zip(*hits, strict=True) if hits else ((), (), ())
+            kinds = pa.int64() if item_kind == "bigint" else None
+            yield pa.RecordBatch.from_arrays([keys, pa.array(items, kinds or pa.string()), pa.array(shared, pa.int64()), pa.array(n, pa.int64())], ["key", "item", "n_shared", "n_item"])
+
+    return rows.mapInArrow(task, schema)
+
+
+def without(docs: DataFrame, sketches: Sketches, text: str) -> DataFrame:
+    """The rows of ``docs`` that contain no item of one block."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, prints = sketches.index(), Fingerprints()
+        for batch in slices(batches, text):
+            words = [split(t, lower=True) for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array([not index.leaks(w, prints.of(w)) for w in words], pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def contained(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
     percent: int = 80, width: int = 5, block_chars: int = BLOCK_CHARS,
@@ -132,28 +170,13 @@ def contained(
     or items give repeated pairs.  Other columns are not read.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind, item_kind = rows.schema["key"].dataType.simpleString(), items.schema[item_key].dataType
-    schema = f"key {kind}, item {item_kind.simpleString()}, n_shared bigint, n_item bigint"
+    kind, item_kind = rows.schema["key"].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
+    schema = f"key {kind}, item {item_kind}, n_shared bigint, n_item bigint"
     found: list[DataFrame] = []
-    for block in blocks(items, item_key, item_text, block_chars):
-        sketches = Sketches(block, width, percent)
-
-        def task(batches: Iterator[pa.RecordBatch], sketches: Sketches = sketches) -> Iterator[pa.RecordBatch]:
-            index, prints = sketches.index(), Fingerprints()
-            for batch in slices(batches, "text"):
-                at: list[int] = []
-                hits: list[tuple[object, int, int]] = []
-                for i, t in enumerate(batch.column("text").to_pylist()):
-                    words = split(t, lower=True)
-                    for leak in index.leaks(words, prints.of(words)):
-                        at.append(i)
-                        hits.append(leak)
-                keys = batch.column("key").take(pa.array(at, pa.int64()))
-                items, shared, n = zip(*hits, strict=True) if hits else ((), (), ())
-                kinds = pa.int64() if item_kind.simpleString() == "bigint" else None
-                yield pa.RecordBatch.from_arrays([keys, pa.array(items, kinds or pa.string()), pa.array(shared, pa.int64()), pa.array(n, pa.int64())], ["key", "item", "n_shared", "n_item"])
-
-        found.append(rows.mapInArrow(task, schema))
+    n = block_count(items, item_text, block_chars)
+    for block in blocks(items, item_key, item_text, n):
+        one = found_by(rows, Sketches(block, width, percent), schema, item_kind)
+        found.append(stored(one, "leaks") if n > 1 else one)
     empty = docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionAll, found, empty).withColumnsRenamed({"key": key, "item": item_key})
 
@@ -165,16 +188,14 @@ def without_leaks(
     """The rows of ``docs``, all columns, that contain no item by the rule of ``contained``.
 
     Each row is judged by its own text alone, so nulls and repeats in other
-    columns don't matter and nothing is shuffled.
+    columns don't matter.  With one block nothing is shuffled; with several the
+    texts found are named by their digests, and rows of these names go.
     """
-    for block in blocks(items, item_key, item_text, block_chars):
-        sketches = Sketches(block, width, percent)
-
-        def task(batches: Iterator[pa.RecordBatch], sketches: Sketches = sketches) -> Iterator[pa.RecordBatch]:
-            index, prints = sketches.index(), Fingerprints()
-            for batch in slices(batches, text):
-                words = [split(t, lower=True) for t in batch.column(text).to_pylist()]
-                yield batch.filter(pa.array([not index.leaks(w, prints.of(w)) for w in words], pa.bool_()))
-
-        docs = docs.mapInArrow(task, docs.schema)
-    return docs
+    n = block_count(items, item_text, block_chars)
+    if n == 1:
+        for block in blocks(items, item_key, item_text, n):
+            return without(docs, Sketches(block, width, percent), text)
+        return docs
+    name = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    pairs = contained(docs.select(name.alias("__name"), text), items, "__name", text, item_key, item_text, percent, width, block_chars)
+    return docs.withColumn("__name", name).join(pairs.select("__name").distinct(), "__name", "left_anti").select(docs.columns)
