@@ -95,3 +95,49 @@ def test_window_prints():
     got = window_prints(h, 9)
     assert len(set(got.tolist())) == 9 and (got[9:] == got[:-9]).all()
     assert len(shingles(h[:3], 5)) == 0 and len(window_prints(h[:3], 5)) == 0
+
+
+def brute(suffixes, width):
+    """Marked (id, tag, start) by comparing all windows of all suffixes as words."""
+    windows = {}
+    for s in suffixes:
+        for k in range(len(s["words"]) - width + 1):
+            windows.setdefault(tuple(s["words"][k : k + width]), []).append((s["id"], s["tag"], s["place"] + k))
+    return sorted({w for same in windows.values() for w in same if w[0] > min(i for i, *_ in same)})
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_neighbours_are_extended_to_both_sides(seed):
+    draw, width = random.Random(seed), 24
+    order = sparse_suffixes.ORDER
+    head = [draw.randrange(1 << 64) for _ in range(order)]
+    pool = [draw.randrange(1 << 64) for _ in range(2)]
+    suffixes = []
+    for i in range(draw.randrange(2, 60)):
+        at, after = draw.randrange(width - order + 1), draw.randrange(width - order + 1)
+        if at + order + after < width:
+            at = width - order - after
+        side = lambda n: [draw.choice(pool) if draw.random() < 0.2 else pool[0] for _ in range(n)]
+        h = np.array(side(at) + head + side(after), np.uint64)
+        suffixes.append({"id": draw.randrange(20), "tag": i, "place": draw.randrange(100), "at": at, "words": h.tolist(), "data": sparse_suffixes.pack(h, width, 0, len(h) - width + 1)})
+    suffixes.sort(key=lambda s: s["data"][s["at"] * sparse_suffixes.BYTES :])
+    batch = sparse_suffixes.compared(suffixes, width)
+    got = [(i, t, s) for i, t, d in zip(*(batch.column(c).to_pylist() for c in ("id", "tag", "data")), strict=True) for s in np.frombuffer(d, np.int32).tolist()]
+    assert sorted(set(got)) == brute(suffixes, width)
+
+
+def test_common_prefixes_and_packed_words():
+    right = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 9, 4], [5, 2, 9, 4], [5, 2, 9, 7]], np.uint64)
+    assert sparse_suffixes.common_prefixes(right).tolist() == [0, 4, 2, 0, 3]
+    h = np.array([1 << 63, (1 << 64) - 1, 12345 << 24], np.uint64)
+    assert sparse_suffixes.unpack([sparse_suffixes.pack(h, 2, 0, 2), sparse_suffixes.pack(h, 2, 1, 1)]).tolist() == [int(x) >> 24 for x in (*h, *h[1:])]
+
+
+def test_words_of_one_kind_and_a_passage_in_a_third_of_all_documents(spark):
+    draw = random.Random(2)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*(f"own{i}.{k}" for k in range(draw.randrange(30))), *(passage if i % 3 == 0 else []), *draw.choices(["a", "b"], k=30)])) for i in range(300)]
+    rows += [(1000, "same " * 5_000), (1001, "same " * 3_000), (1002, "x y " * 2_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    for method in METHODS:
+        assert result(method.without_repeats(df, width=20)) == plain(rows, 20)

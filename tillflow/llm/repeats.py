@@ -39,7 +39,10 @@ HELD = 1_000_000
 AT_ONCE = 100_000
 DONE, OPEN, CLAIM, MARK = range(4)
 NULL_ID = (1 << 63) - 1
-Anchors = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+#: (fingerprints of words, ends of documents, width) -> starts of windows, their anchors' names and, for some methods, places
+Anchors = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, ...]]
+#: (the words' fingerprints of a document, width, start of the first window of a run, windows) -> the words that a claim carries
+Pack = Callable[[np.ndarray, int, int, int], bytes]
 
 
 def groups(rows: Iterator[tuple], sizes: Callable[[tuple], int], most: int) -> Iterator[list[tuple]]:
@@ -81,7 +84,7 @@ def anchor_table(docs: DataFrame, anchors: Anchors, width: int) -> DataFrame:
             if not rows:
                 continue
             h, ends = joined_hashes(rows)
-            starts, names = anchors(h, ends, width)
+            starts, names, *_ = anchors(h, ends, width)
             doc = np.searchsorted(ends, starts, side="right")
             order = np.lexsort((names, doc))
             doc, names = doc[order], names[order]
@@ -94,30 +97,42 @@ def anchor_table(docs: DataFrame, anchors: Anchors, width: int) -> DataFrame:
 
 
 class Claims:
-    """Windows of a task: marks those that a smaller document of the task has, and sends the others as runs."""
+    """Windows of a task: marks those that a smaller document of the task has, and sends the others as runs.
 
-    def __init__(self) -> None:
+    A run's windows follow each other and share their anchor, its place
+    included.  It carries its windows' fingerprints, or what ``pack`` makes of
+    the document's words.
+    """
+
+    def __init__(self, width: int, pack: Pack | None = None) -> None:
+        self.width, self.pack = width, pack
         self.parts: list[tuple[np.ndarray, ...]] = []
+        self.docs: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, row: dict, starts: np.ndarray, names: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+    def add(self, row: dict, h: np.ndarray, starts: np.ndarray, names: np.ndarray, places: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         n = len(starts)
-        self.parts.append((one, two, np.full(n, row["id"]), np.full(n, row["tag"]), names, starts.astype(np.int32)))
+        doc = np.full(n, len(self.docs), np.int32)
+        self.parts.append((one, two, np.full(n, row["id"]), np.full(n, row["tag"]), names, starts.astype(np.int32), places.astype(np.int32), doc))
+        self.docs.append(h if self.pack else h[:0])
         self.size += n
 
     def rows(self) -> Iterator[dict]:
         if not self.size:
             return
-        one, two, ids, tags, names, starts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        self.parts, self.size = [], 0
+        one, two, ids, tags, names, starts, places, doc = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        docs = self.docs
+        self.parts, self.docs, self.size = [], [], 0
         repeated = marked(one, two, ids)
         for i, j in bounds(ids[repeated], tags[repeated]):
             at = np.flatnonzero(repeated)[i:j]
             yield {"kind": MARK, "id": ids[at[0]], "tag": tags[at[0]], "data": starts[at].tobytes()}
         left = np.flatnonzero(~repeated)
-        one, two, ids, tags, names, starts = one[left], two[left], ids[left], tags[left], names[left], starts[left]
-        for i, j in bounds(ids, tags, names, starts - np.arange(len(starts))):
-            yield {"kind": CLAIM, "id": ids[i], "tag": tags[i], "name": int(names[i].view(np.int64)), "place": starts[i], "data": one[i:j].tobytes() + two[i:j].tobytes()}
+        one, two, ids, tags, names, starts, places, doc = (x[left] for x in (one, two, ids, tags, names, starts, places, doc))
+        for i, j in bounds(ids, tags, doc, names, places, starts - np.arange(len(starts))):
+            start = int(starts[i])
+            data = self.pack(docs[doc[i]], self.width, start, j - i) if self.pack else one[i:j].tobytes() + two[i:j].tobytes()
+            yield {"kind": CLAIM, "id": ids[i], "tag": tags[i], "name": int(names[i].view(np.int64)), "place": start, "at": int(places[i]) - start, "data": data}
 
 
 def bounds(*columns: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -162,24 +177,30 @@ def marks(claims: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names)
     one, two, ids, tags, starts = unpacked(claims)
     at = np.flatnonzero(marked(one, two, ids))
-    at = at[np.lexsort((starts[at], tags[at], ids[at]))]
-    found = [(int(ids[at[i]]), int(tags[at[i]]), starts[at[i:j]].tobytes()) for i, j in bounds(ids[at], tags[at])]
-    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names)
+    return mark_batch(ids[at], tags[at], starts[at])
+
+
+def mark_batch(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """One row per document: id, tag and the starts of its windows that are marked."""
+    order = np.lexsort((starts, tags, ids))
+    ids, tags, starts = ids[order], tags[order], starts[order].astype(np.int32)
+    found = [(int(ids[i]), int(tags[i]), starts[i:j].tobytes()) for i, j in bounds(ids, tags)]
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["id", "tag", "data"])
 
 
-SCHEMA = "kind int, id bigint, tag bigint, name bigint, place int, data binary, n_words bigint, sha string, none boolean"
+SCHEMA = "kind int, id bigint, tag bigint, name bigint, place int, data binary, n_words bigint, sha string, none boolean, at int"
 
 
 def as_batch(rows: list[dict]) -> pa.RecordBatch:
-    kinds = {"kind": pa.int32(), "id": pa.int64(), "tag": pa.int64(), "name": pa.int64(), "place": pa.int32(), "data": pa.binary(), "n_words": pa.int64(), "sha": pa.string(), "none": pa.bool_()}
+    kinds = {"kind": pa.int32(), "id": pa.int64(), "tag": pa.int64(), "name": pa.int64(), "place": pa.int32(), "data": pa.binary(), "n_words": pa.int64(), "sha": pa.string(), "none": pa.bool_(), "at": pa.int32()}
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in kinds.items()], list(kinds))
 
 
-def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool) -> DataFrame:
+def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool, pack: Pack | None) -> DataFrame:
     """Of documents (id, tag, text, names): those without shared anchors as done, the others with their claims and marks."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints, claims = Fingerprints(), Claims()
+        prints, claims = Fingerprints(), Claims(width, pack)
         seconds = Fingerprints(seed=1)
         for rows in hashed(batches, prints, width, "names"):
             out, open_ = [], []
@@ -193,14 +214,15 @@ def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool)
                     out.append(base | {"kind": DONE, "data": data if with_text else None})
             if open_:
                 h, ends = joined_hashes(open_)
-                starts, names = anchors(h, ends, width)
+                starts, names, *rest = anchors(h, ends, width)
                 doc = np.searchsorted(ends, starts, side="right")
+                places = rest[0] - (ends - [len(o) for *_, o in open_])[doc] if rest else np.zeros(len(starts), np.int64)
                 at = np.searchsorted(doc, np.arange(len(open_) + 1))
                 for k, (row, words, own) in enumerate(open_):
                     mine = slice(at[k], at[k + 1])
                     wanted = np.flatnonzero(np.isin(names[mine], np.array(row["names"], np.int64).view(np.uint64)))
                     one, two = window_prints(own, width)[wanted], window_prints(seconds.of(words), width)[wanted]
-                    claims.add(row, wanted, names[mine][wanted], one, two.astype(np.uint32))
+                    claims.add(row, own, wanted, names[mine][wanted], places[mine][wanted], one, two.astype(np.uint32))
                 if claims.size >= HELD:
                     out += claims.rows()
             yield as_batch(out)
@@ -246,12 +268,13 @@ def removed(open_: DataFrame, width: int, with_text: bool) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, anchors: Anchors, settle: Callable[[DataFrame], DataFrame], key: str = "doc_id", text: str = "text", width: int = 50, with_text: bool = False
+    docs: DataFrame, anchors: Anchors, settle: Callable[[DataFrame], DataFrame], key: str = "doc_id", text: str = "text", width: int = 50, with_text: bool = False,
+    pack: Pack | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_words, n_removed, spans (of word places, end exclusive), kept_sha256, kept (null unless asked for).
 
-    ``settle`` gets claims (id, tag, name, place, data) and returns marks (id,
-    tag, data).  Words are runs of bytes other than space and \\x09-\\x0D; kept
+    ``settle`` gets claims (id, tag, name, place, at, data) and returns marks
+    (id, tag, data).  Words are runs of bytes other than space and \\x09-\\x0D; kept
     words are joined by one space.  Null and empty texts have no words.  The key
     is a whole number; rows with equal keys are no smaller than each other, and
     a null key counts as the largest there is, 2 ** 63 - 1, and as equal to it.
@@ -263,9 +286,9 @@ def without_repeats(
     names = stored(anchor_table(rows.drop("none"), anchors, width), "anchors")
     shared = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name")
     wanted = names.join(shared, "name").groupBy("id", "tag").agg(F.collect_list("name").alias("names"))
-    claims = stored(claim_table(rows.join(wanted.hint("shuffle_hash"), ["id", "tag"], "left"), anchors, width, with_text), "claims", by="kind")
+    claims = stored(claim_table(rows.join(wanted.hint("shuffle_hash"), ["id", "tag"], "left"), anchors, width, with_text, pack), "claims", by="kind")
 
-    found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "data"))
+    found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "at", "data"))
     found = found.unionByName(claims.where(F.col("kind") == MARK).select("id", "tag", "data"))
     found = found.groupBy("id", "tag").agg(F.collect_list("data").alias("found"))
     open_ = claims.where(F.col("kind") == OPEN).select("id", "none", "tag", "n_words", "sha", "data").join(found, ["id", "tag"], "left")
