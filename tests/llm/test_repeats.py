@@ -133,6 +133,22 @@ def test_common_prefixes_and_packed_words():
     assert sparse_suffixes.unpack([sparse_suffixes.pack(h, 2, 0, 2), sparse_suffixes.pack(h, 2, 1, 1)]).tolist() == [int(x) >> 24 for x in (*h, *h[1:])]
 
 
+def test_equal_windows_of_a_document_are_sent_once(spark):
+    """A word repeated very often is one window, so that a run of equal suffixes stays small."""
+    claims = repeats.Claims(50, sparse_suffixes.pack)
+    h = np.repeat(Fingerprints().of([b"same"]), 100_000)
+    one = window_prints(h, 50)
+    starts = np.arange(len(one))
+    claims.add({"id": 1, "tag": 2}, h, starts, one, starts, one, one.astype(np.uint32))
+    kinds = [r["kind"] for r in claims.rows()]
+    assert kinds == [repeats.ALIAS, repeats.CLAIM]
+    rows = [(1, "same " * 300_000), (2, "x " + "same " * 200_000 + "y"), (3, "a b " * 100_000), (4, "b a " * 60_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for method in METHODS:
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in method.without_repeats(df).collect()}
+        assert got == {1: (300_000, 0), 2: (200_002, 200_000), 3: (200_000, 0), 4: (120_000, 120_000)}
+
+
 def test_words_of_one_kind_and_a_passage_in_a_third_of_all_documents(spark):
     draw = random.Random(2)
     passage = [f"p{i}" for i in range(60)]

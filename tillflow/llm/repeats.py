@@ -37,7 +37,7 @@ from .words import Fingerprints, slices, split, window_prints
 HELD = 1_000_000
 #: Words of documents that are parsed at once.
 AT_ONCE = 100_000
-DONE, OPEN, CLAIM, MARK = range(4)
+DONE, OPEN, CLAIM, MARK, ALIAS = range(5)
 NULL_ID = (1 << 63) - 1
 #: (fingerprints of words, ends of documents, width) -> starts of windows, their anchors' names and, for some methods, places
 Anchors = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, ...]]
@@ -99,9 +99,11 @@ def anchor_table(docs: DataFrame, anchors: Anchors, width: int) -> DataFrame:
 class Claims:
     """Windows of a task: marks those that a smaller document of the task has, and sends the others as runs.
 
-    A run's windows follow each other and share their anchor, its place
-    included.  It carries its windows' fingerprints, or what ``pack`` makes of
-    the document's words.
+    Of equal windows of a document only the first is sent; the others are known
+    as its aliases, so that a word repeated a million times is one window.  A
+    run's windows follow each other and share their anchor, its place included.
+    It carries its windows' fingerprints, or what ``pack`` makes of the
+    document's words.
     """
 
     def __init__(self, width: int, pack: Pack | None = None) -> None:
@@ -128,6 +130,16 @@ class Claims:
             at = np.flatnonzero(repeated)[i:j]
             yield {"kind": MARK, "id": ids[at[0]], "tag": tags[at[0]], "data": starts[at].tobytes()}
         left = np.flatnonzero(~repeated)
+        order = left[np.lexsort((starts[left], two[left], one[left], tags[left], ids[left]))]
+        first = np.ones(len(order), bool)
+        if len(order):
+            first[1:] = (np.diff(ids[order]) != 0) | (np.diff(tags[order]) != 0) | (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+            stands = order[first][np.cumsum(first) - 1]
+            again, same = order[~first], stands[~first]
+            for i, j in bounds(ids[again], tags[again]):
+                pairs = np.column_stack([starts[again[i:j]], starts[same[i:j]]]).astype(np.int32)
+                yield {"kind": ALIAS, "id": ids[again[i]], "tag": tags[again[i]], "data": pairs.tobytes()}
+        left = np.sort(order[first])
         one, two, ids, tags, names, starts, places, doc = (x[left] for x in (one, two, ids, tags, names, starts, places, doc))
         for i, j in bounds(ids, tags, doc, names, places, starts - np.arange(len(starts))):
             start = int(starts[i])
@@ -240,19 +252,23 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 def removed(open_: DataFrame, width: int, with_text: bool) -> DataFrame:
-    """Of documents (id, n_words, sha, data, found): id, n_words, spans of removed words, digest and text of the others."""
+    """Of documents (id, n_words, sha, data, found, aliases): id, n_words, spans of removed words, digest and text of the others."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
             spans, shas, texts = [], [], []
-            for row in batch.select(["data", "found", "sha"]).to_pylist():
+            for row in batch.select(["data", "found", "aliases", "sha"]).to_pylist():
                 if not row["found"]:
                     spans.append([])
                     shas.append(row["sha"])
                     texts.append(row["data"].decode() if with_text else None)
                     continue
                 words = row["data"].split()
-                out = covered(np.frombuffer(b"".join(row["found"]), np.int32), width, len(words))
+                starts = np.frombuffer(b"".join(row["found"]), np.int32)
+                if row["aliases"]:
+                    pairs = np.frombuffer(b"".join(row["aliases"]), np.int32).reshape(-1, 2)
+                    starts = np.concatenate([starts, pairs[np.isin(pairs[:, 1], starts), 0]])
+                out = covered(np.unique(starts), width, len(words))
                 kept = b" ".join([w for w, gone in zip(words, out.tolist(), strict=True) if not gone])
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], out.view(np.int8), [0]]))).reshape(-1, 2)
                 spans.append([{"start": int(a), "end": int(b)} for a, b in edges])
@@ -290,7 +306,9 @@ def without_repeats(
 
     found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "at", "data"))
     found = found.unionByName(claims.where(F.col("kind") == MARK).select("id", "tag", "data"))
-    found = found.groupBy("id", "tag").agg(F.collect_list("data").alias("found"))
+    aliases = claims.where(F.col("kind") == ALIAS).select("id", "tag", F.lit(None).cast("binary").alias("data"), F.col("data").alias("alias"))
+    found = found.withColumn("alias", F.lit(None).cast("binary")).unionByName(aliases)
+    found = found.groupBy("id", "tag").agg(F.collect_list("data").alias("found"), F.collect_list("alias").alias("aliases"))
     open_ = claims.where(F.col("kind") == OPEN).select("id", "none", "tag", "n_words", "sha", "data").join(found, ["id", "tag"], "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
     done = claims.where(F.col("kind") == DONE).select("id", "none", "n_words", none.alias("spans"), F.col("sha").alias("kept_sha256"), F.decode("data", "utf-8").alias("kept"))
