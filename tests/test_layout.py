@@ -149,6 +149,21 @@ def test_counts_come_from_footers(spark, folder):
     tables = stored_tables(spark, {name: f"{folder}/{name}" for name in ("flat", "dated")})
     counts = quality.row_counts(tables)
     assert {r["table"]: r["records"] for r in counts.collect()} == {"flat": 3_000, "dated": 500}
-    plan = counts._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert plan.count("PushedAggregation: [COUNT(*)]") == 2
+    assert pushed(spark, counts) == 2
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def pushed(spark, df):
+    """Scans that take over the count."""
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(formatted).count("PushedAggregation: [COUNT(*)]")
+
+
+def test_presence_comes_from_footers(spark, folder):
+    from tillflow.schemas import silver_schema
+
+    for entity, n in (("purchases", 7), ("customers", 0)):
+        write_table(spark.createDataFrame([tuple([None] * len(silver_schema(entity)))] * n, silver_schema(entity)), f"{folder}/{entity}")
+    found = jobs.run_silver_checks(spark, folder)
+    assert {(r["table"], r["present"], r["records"], r["ok"]) for r in found.collect()} == {("clickstream", False, 0, False), ("purchases", True, 7, True), ("customers", True, 0, False)}
+    assert pushed(spark, found) == 2

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tillflow.functions.times import stamp
 
 
+# Columns of the three models, in order.
+
+
 def stg_customers(silver: DataFrame, run_ts: datetime | str | None = None) -> DataFrame:
     return silver.where(F.col("customer_id").isNotNull()).select(
         "customer_id", "name", "email", "country", "signup_date", "processed_timestamp",

@@ -16,7 +16,7 @@ from tillflow.schemas import ENTITIES, KEYS, WIRE
 from tillflow.sinks import folders
 from tillflow.sinks.curve import write_curve
 from tillflow.sinks.tables import export_gold, export_manifest, profile_measures, write_counted, write_table
-from tillflow.sources.files import find_silver, read_entity_csv, read_silver, require_sources, text_csv, typed, with_file_order
+from tillflow.sources.files import find_silver, footer_session, read_entity_csv, read_silver, require_sources, text_csv, typed, with_file_order
 from tillflow.streaming.jobs import await_all, ingest_bronze_append
 
 RunTime = datetime | str | None
@@ -161,8 +161,9 @@ def run_export(
 
 
 def run_silver_checks(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """Presence and row count of each silver table."""
-    return quality.silver_presence(spark, find_silver(spark, root, fmt))
+    """Presence and row count of each silver table; Parquet tables are counted by their footers."""
+    session = footer_session(spark) if fmt == "parquet" else spark
+    return quality.silver_presence(session, find_silver(session, root, fmt))
 
 
 def validate(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

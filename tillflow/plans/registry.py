@@ -617,7 +617,7 @@ def _reconciled(m: Models) -> DataFrame:
 
 
 def _presence(m: Models) -> DataFrame:
-    return quality.silver_presence(m.spark, find_silver(m.spark, m.stored_silver()))
+    return jobs.run_silver_checks(m.spark, m.stored_silver())
 
 
 def _file_stats(m: Models) -> DataFrame:
