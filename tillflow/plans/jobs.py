@@ -15,7 +15,7 @@ from tillflow.plans import retention
 from tillflow.schemas import ENTITIES, KEYS, WIRE
 from tillflow.sinks import folders
 from tillflow.sinks.curve import write_curve
-from tillflow.sinks.tables import export_gold, export_manifest, profile_measures, write_counted, write_table
+from tillflow.sinks.tables import export_gold, export_manifest, write_silver, write_table
 from tillflow.sources.files import find_silver, footer_session, read_entity_csv, read_silver, require_sources, text_csv, typed, with_file_order
 from tillflow.streaming.jobs import await_all, ingest_bronze_append
 
@@ -116,7 +116,7 @@ def batch_summary(
     found = []
     for entity, path in paths.items():
         df = cleaning.silver(entity, read_entity_csv(spark, entity, path), run_ts)
-        seen = write_counted(df, f"{root}/{entity}", fmt, DATE_FOLDERS[entity] if by_date else None, **profile_measures(df))
+        seen = write_silver(df, root, entity, fmt, DATE_FOLDERS[entity] if by_date else None)
         found += [(entity, seen["rows"], i + 1, c, kind, seen[f"filled_{i}"]) for i, (c, kind) in enumerate(df.dtypes)]
     return spark.createDataFrame(found, "table string, records bigint, position int, column string, type string, filled bigint")
 

@@ -66,8 +66,9 @@ def profile_measures(df: DataFrame) -> dict[str, Column]:
 
 def write_silver(
     df: DataFrame, root: str, entity: str, fmt: str = "parquet", partition_by: list[str] | None = None
-) -> None:
-    write_table(df, f"{root}/{entity}", fmt, partition_by)
+) -> dict[str, object]:
+    """Replaces a silver table; returns its rows, and how many fill each column, as they were written."""
+    return write_counted(df, f"{root}/{entity}", fmt, partition_by, **profile_measures(df))
 
 
 def materialise(
