@@ -20,7 +20,7 @@ from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, wri
 from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, stored_tables, table
 from tillflow.sources.messages import decode_checked, decode_json
 from tillflow.sources.sample import feed, message_stream, messages, write_deliveries
-from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion
+from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion, start_quarantine
 from tillflow.streaming.dedupe import start_deduped
 from tillflow.streaming.late import start_split
 from tillflow.streaming.progress import BatchLog
@@ -284,13 +284,12 @@ def _broken_messages(m: Models) -> DataFrame:
 
 def _stream_quarantine(m: Models) -> DataFrame:
     """Messages that can't be read, with their text, and records that fail a rule."""
-    session, source, out, checkpoint = streaming_session(m.spark), m.stored("messages"), m.stored("stream"), m.stored("checkpoint")
+    session, source, root, checkpoints = streaming_session(m.spark), m.stored("messages"), m.stored("lake"), m.stored("checkpoints")
     for i, folder in enumerate(write_deliveries(_broken_messages(m), m.stored("slices"), 2)):
         folders.move(m.spark, folder, f"{source}/{i:04d}")
-        decoded = decode_checked(message_stream(session, source), "purchases")
-        await_all([stream_to_files(cleaning.message_quarantine("purchases", decoded), out, checkpoint, ONCE_THROUGH)])
+        await_all([start_quarantine("purchases", message_stream(session, source), root, checkpoints, ONCE_THROUGH)])
     expected = cleaning.message_quarantine("purchases", decode_checked(_broken_messages(m), "purchases"))
-    return read_batches(m.spark, out, expected.schema)
+    return read_batches(m.spark, f"{root}/quarantine/purchases", expected.schema)
 
 
 def _stream_batches(m: Models) -> DataFrame:

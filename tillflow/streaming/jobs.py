@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tillflow.operators.analytics import clickstream_analytics, customer_analytics, purchase_analytics
-from tillflow.operators.cleaning import stream_filter
+from tillflow.operators.cleaning import message_quarantine, stream_filter
 from tillflow.operators.keyed import Order
 from tillflow.schemas import ENTITIES, KEYS
-from tillflow.sources.messages import ARRIVAL
+from tillflow.sources.messages import ARRIVAL, decode_checked
 from tillflow.streaming.sinks import batch_folder, commit, latest, started, stream_snapshot, stream_to_files, stream_upsert
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
@@ -90,6 +90,14 @@ def start_layers(
     return started(stream, write, checkpoint, trigger, f"{entity}_layers")
 
 
+def start_quarantine(
+    entity: str, messages: DataFrame, root: str, checkpoints: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Keeps the messages that can't be read, with their text, and the records that fail a rule, with its name."""
+    rejected = message_quarantine(entity, decode_checked(messages, entity))
+    return stream_to_files(rejected, f"{root}/quarantine/{entity}", f"{checkpoints}/{entity}_quarantine", trigger, name=f"{entity}_quarantine")
+
+
 def start_analytics(
     streams: dict[str, DataFrame], root: str, checkpoints: str,
     trigger: str | None = ANALYTICS_TRIGGER, fmt: str = "parquet", distinct: str = "exact",
