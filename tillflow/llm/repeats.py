@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import free, stored
 from .words import Fingerprints, slices, split, window_prints
 
 #: Claims that a task holds before it sends them.
@@ -303,6 +303,7 @@ def without_repeats(
     shared = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name")
     wanted = names.join(shared, "name").groupBy("id", "tag").agg(F.collect_list("name").alias("names"))
     claims = stored(claim_table(rows.join(wanted.hint("shuffle_hash"), ["id", "tag"], "left"), anchors, width, with_text, pack), "claims", by="kind")
+    free(names)
 
     found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "at", "data"))
     found = found.unionByName(claims.where(F.col("kind") == MARK).select("id", "tag", "data"))
