@@ -146,3 +146,24 @@ def test_top_customers_and_recent(spark):
 def test_staging_views(spark):
     register_staging(spark, {"customers": customers(spark, "c1")})
     assert spark.sql("SELECT email_clean FROM stg_customers").collect()[0][0] == "c1@x.com"
+
+
+def test_facts_of_a_hot_customer_come_from_several_tasks(spark):
+    rows = bought("hot", 4000) + bought("c1", 3) + bought("guest", 5) + bought("twice", 2)
+    bought_rows = purchases(spark, *rows).withColumn("customer_id", F.expr("nullif(customer_id, 'guest')"))
+    dim = gold.dim_customers(customers(spark, "hot", "c1", "twice", "twice"), bought_rows).localCheckpoint()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = gold.fct_purchases(bought_rows, dim)
+        # grouped by customer next, as in the daily summary
+        grouped = facts.withColumn("task", F.spark_partition_id()).groupBy("customer_id").agg(
+            F.count("*").alias("rows"), F.countDistinct("task").alias("tasks"), F.max("customer_segment").alias("segment")
+        )
+        got = {r["customer_id"]: r for r in grouped.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {c: (r["rows"], r["segment"]) for c, r in got.items()} == {
+        "hot": (4000, "Frequent"), "c1": (3, "Regular"), "twice": (4, "Regular"), None: (5, None),
+    }
+    assert got["hot"]["tasks"] > 1

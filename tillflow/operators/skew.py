@@ -67,12 +67,16 @@ def sliced_join(
     deal_by: list[str] | None = None,
     slices: int | None = None,
     right_unique: bool = False,
+    merged: bool = True,
 ) -> DataFrame:
     """``left.join(right, key, how)`` for inner, left, left_semi and left_anti.
 
     ``deal_by`` names columns that tell the left rows of one key apart.
     ``right_unique`` says that no key occurs twice on the right, which saves
-    counting its keys.
+    counting its keys; where one does, the join is right, but that key's rows on
+    the right stay together.  Adaptive execution merges partitions by their
+    compressed bytes, which for narrow rows makes tasks that sort gigabytes;
+    without ``merged`` there are as many tasks as the session has shuffle partitions.
     """
     if how in ("left_semi", "left_anti"):
         right, right_unique = right.select(key).distinct(), True
@@ -87,14 +91,17 @@ def sliced_join(
     def on_right(df: DataFrame) -> DataFrame:
         return _repeated(df.join(many_left, key, "left"), "__left_slice", _or_one("__left_parts")).drop("__left_parts")
 
+    def spread(df: DataFrame) -> DataFrame:
+        return df if merged else df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *on)
+
     if right_unique:
-        return on_left(left).join(on_right(right), on, how).drop("__left_slice")
+        return spread(on_left(left)).join(spread(on_right(right)), on, how).drop("__left_slice")
 
     # Keys that are hot on the right have a match, so an inner join is theirs and
     # both of their sides can be cut: each cell of the grid of slices is one task's.
     many_right = F.broadcast(hot_keys(right, key, slices, "__right_parts"))
-    plain = on_left(left.join(many_right, key, "left_anti")).join(
-        on_right(right.join(many_right, key, "left_anti")), on, how
+    plain = spread(on_left(left.join(many_right, key, "left_anti"))).join(
+        spread(on_right(right.join(many_right, key, "left_anti"))), on, how
     )
     wide_left = _repeated(left.join(many_right, key), "__right_slice", F.col("__right_parts")).drop("__right_parts")
     wide_right = _dealt(
