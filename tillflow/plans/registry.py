@@ -448,7 +448,7 @@ def _batch_silver(m: Models) -> tuple[DataFrame, str]:
 def _keyed_load(m: Models) -> DataFrame:
     """Purchases from CSV files that hold them in the order in which they arrived."""
     source, root = m.stored("landing"), m.stored("keyed")
-    ordered = feed(m.spark, m.sf_dir, "purchases").repartitionByRange(4, "arrival").sortWithinPartitions("arrival")
+    ordered = feed(m.spark, m.sf_dir, "purchases").repartitionByRange("arrival").sortWithinPartitions("arrival")
     write_csv(ordered.select(WIRE["purchases"].names), f"{source}/purchases.csv")
     for entity in ("clickstream", "customers"):
         write_csv(m.raw(entity), f"{source}/{entity}.csv")
