@@ -71,6 +71,7 @@ def cluster(spark, folder, monkeypatch):
 
 
 NAMES = [
+    "batch_silver_clickstream",
     "keyed_load",
 ]
 
