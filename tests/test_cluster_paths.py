@@ -72,6 +72,7 @@ def cluster(spark, folder, monkeypatch):
 
 NAMES = [
     "batch_silver_clickstream",
+    "batch_silver_customers",
     "keyed_load",
 ]
 
