@@ -73,6 +73,7 @@ def cluster(spark, folder, monkeypatch):
 NAMES = [
     "batch_silver_clickstream",
     "batch_silver_customers",
+    "batch_silver_purchases",
     "keyed_load",
 ]
 
