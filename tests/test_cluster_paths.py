@@ -74,6 +74,7 @@ NAMES = [
     "batch_silver_clickstream",
     "batch_silver_customers",
     "batch_silver_purchases",
+    "batch_summary",
     "keyed_load",
 ]
 
