@@ -75,6 +75,7 @@ NAMES = [
     "batch_silver_customers",
     "batch_silver_purchases",
     "batch_summary",
+    "bronze_append",
     "keyed_load",
 ]
 
