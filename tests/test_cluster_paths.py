@@ -76,6 +76,7 @@ NAMES = [
     "batch_silver_purchases",
     "batch_summary",
     "bronze_append",
+    "bronze_full_clickstream",
     "keyed_load",
 ]
 
