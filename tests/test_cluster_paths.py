@@ -77,6 +77,7 @@ NAMES = [
     "batch_summary",
     "bronze_append",
     "bronze_full_clickstream",
+    "bronze_append_rows",
     "keyed_load",
 ]
 
