@@ -78,6 +78,7 @@ NAMES = [
     "bronze_append",
     "bronze_full_clickstream",
     "bronze_append_rows",
+    "bronze_full",
     "keyed_load",
 ]
 
