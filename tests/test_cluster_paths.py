@@ -79,6 +79,7 @@ NAMES = [
     "bronze_full_clickstream",
     "bronze_append_rows",
     "bronze_full",
+    "bronze_full_customers",
     "keyed_load",
 ]
 
