@@ -80,6 +80,7 @@ NAMES = [
     "bronze_append_rows",
     "bronze_full",
     "bronze_full_customers",
+    "bronze_full_purchases",
     "keyed_load",
 ]
 
