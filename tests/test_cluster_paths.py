@@ -81,6 +81,7 @@ NAMES = [
     "bronze_full",
     "bronze_full_customers",
     "bronze_full_purchases",
+    "csv_declared",
     "keyed_load",
 ]
 
