@@ -82,6 +82,7 @@ NAMES = [
     "bronze_full_customers",
     "bronze_full_purchases",
     "csv_declared",
+    "csv_header",
     "keyed_load",
 ]
 
