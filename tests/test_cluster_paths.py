@@ -83,6 +83,7 @@ NAMES = [
     "bronze_full_purchases",
     "csv_declared",
     "csv_header",
+    "csv_inferred",
     "keyed_load",
 ]
 
