@@ -84,6 +84,7 @@ NAMES = [
     "csv_declared",
     "csv_header",
     "csv_inferred",
+    "daily_incremental",
     "keyed_load",
 ]
 
