@@ -85,6 +85,7 @@ NAMES = [
     "csv_header",
     "csv_inferred",
     "daily_incremental",
+    "csv_typed",
     "keyed_load",
 ]
 
