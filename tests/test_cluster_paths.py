@@ -86,6 +86,7 @@ NAMES = [
     "csv_inferred",
     "daily_incremental",
     "csv_typed",
+    "export_fct_purchases",
     "keyed_load",
 ]
 
