@@ -87,6 +87,7 @@ NAMES = [
     "daily_incremental",
     "csv_typed",
     "export_fct_purchases",
+    "export_gold",
     "keyed_load",
 ]
 
