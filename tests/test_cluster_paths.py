@@ -88,6 +88,7 @@ NAMES = [
     "csv_typed",
     "export_fct_purchases",
     "export_gold",
+    "export_dim_customers",
     "keyed_load",
 ]
 
