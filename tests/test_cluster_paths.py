@@ -89,6 +89,7 @@ NAMES = [
     "export_fct_purchases",
     "export_gold",
     "export_dim_customers",
+    "export_manifest",
     "keyed_load",
 ]
 
