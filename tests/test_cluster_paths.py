@@ -90,6 +90,7 @@ NAMES = [
     "export_gold",
     "export_dim_customers",
     "export_manifest",
+    "file_stats",
     "keyed_load",
 ]
 
