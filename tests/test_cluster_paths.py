@@ -91,6 +91,7 @@ NAMES = [
     "export_dim_customers",
     "export_manifest",
     "file_stats",
+    "gold_job",
     "keyed_load",
 ]
 
