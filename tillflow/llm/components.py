@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .scratch import free, stored
 
 #: So many edges or fewer (16 bytes each) are finished by one task.
@@ -59,7 +60,7 @@ def components(links: DataFrame, few: int = FEW) -> DataFrame:
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct(), "edges")
     while True:
         if edges.count() <= few:
-            next_, done = edges.coalesce(1).mapInArrow(stars, "high bigint, low bigint"), True
+            next_, done = edges.coalesce(1).mapInArrow(lean(stars), "high bigint, low bigint"), True
         elif is_forest(edges):
             break
         else:

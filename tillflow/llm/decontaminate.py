@@ -30,11 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .scratch import stored
 from .words import Fingerprints, shingles, slices, split
 
 #: Code points of benchmark text in a block: what the driver holds at once and a task gets.
 BLOCK_CHARS = 4_000_000
+#: Words that a task remembers the fingerprints of.
+WORDS = 100_000
 
 
 def needed(n: int, percent: int) -> int:
@@ -128,7 +131,7 @@ def found_by(rows: DataFrame, sketches: Sketches, schema: str, item_kind: str) -
     """(key, item, n_shared, n_item) of rows (key, text) and the items of one block."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, prints = sketches.index(), Fingerprints()
+        index, prints = sketches.index(), Fingerprints(limit=WORDS)
         for batch in slices(batches, "text"):
             at: list[int] = []
             hits: list[tuple[object, int, int]] = []
@@ -142,19 +145,19 @@ def found_by(rows: DataFrame, sketches: Sketches, schema: str, item_kind: str) -
             kinds = pa.int64() if item_kind == "bigint" else None
             yield pa.RecordBatch.from_arrays([keys, pa.array(items, kinds or pa.string()), pa.array(shared, pa.int64()), pa.array(n, pa.int64())], ["key", "item", "n_shared", "n_item"])
 
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(lean(task), schema)
 
 
 def without(docs: DataFrame, sketches: Sketches, text: str) -> DataFrame:
     """The rows of ``docs`` that contain no item of one block."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, prints = sketches.index(), Fingerprints()
+        index, prints = sketches.index(), Fingerprints(limit=WORDS)
         for batch in slices(batches, text):
             words = [split(t, lower=True) for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array([not index.leaks(w, prints.of(w)) for w in words], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(lean(task), docs.schema)
 
 
 def contained(

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .memory import give_back, lean
 from .repeats import bounds, groups
 from .scratch import free, stored
 from .words import BASE, Fingerprints, mix, shingles, slices, split
@@ -94,16 +95,6 @@ def sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[dict,
             yield row, shingle_set(split(text, lower=True), prints, width)
 
 
-def lean(task: Callable) -> Callable:
-    """A task that gives unused memory back when it ends: Python workers live on, next to whatever runs then."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from task(batches)
-        pa.default_memory_pool().release_unused()
-
-    return run
-
-
 def profile(docs: DataFrame, width: int) -> DataFrame:
     """A row per document (kind ROW: id, tag, class, n) and counts of shingles that a task saw often (kind COUNT: class, n)."""
 
@@ -365,7 +356,7 @@ def together(members: DataFrame, payload: DataFrame, link: Callable[[pd.DataFram
                 pairs = np.unique(np.column_stack([names[after], names[labels]]), axis=0)
                 found.append(pairs[pairs[:, 0] != pairs[:, 1]])
             out = np.concatenate(found)
-            pa.default_memory_pool().release_unused()
+            give_back()
             return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
 
         part = F.pmod(F.xxhash64("group", "slice"), F.lit(parts))
@@ -402,7 +393,9 @@ def sets_of(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     """(class, own): the shingle sets of the classes in ``reps`` (class, id, tag), each from one of its rows.
 
     A filter leaves hardly any other texts to be shuffled, and of rows that
-    repeat id and text one in a task.
+    repeat id and text one in a task.  They are always shuffled, few or many:
+    else filter and sets would run in one stage, and each task would need two
+    Python workers, which stay.
     """
     wanted = asked_bits(reps, "id", "tag")
 
@@ -423,7 +416,7 @@ def sets_of(rows: DataFrame, reps: DataFrame, width: int) -> DataFrame:
 
     some = rows.select("id", "tag", "text", F.pmod(F.xxhash64("id", "tag"), F.lit(FILTER_BITS)).alias("at")).mapInArrow(lean(likely), "id bigint, tag bigint, text string")
     reps = reps.select("class", F.col("id").alias("rep_id"), F.col("tag").alias("rep_tag"))
-    chosen = some.join(reps, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("tag") == F.col("rep_tag")))
+    chosen = some.join(reps.hint("merge"), F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("tag") == F.col("rep_tag")))
     return chosen.select("class", "text").mapInArrow(lean(own_sets), "class bigint, own binary").dropDuplicates(["class"])
 
 

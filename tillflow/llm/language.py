@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .scratch import stored
 from .words import slices
 
@@ -76,7 +77,7 @@ def sampled(rows: DataFrame, shares: dict[str, float]) -> DataFrame:
                     new.append(i)
             yield batch.take(pa.array(new, pa.int64()))
 
-    return rows.mapInArrow(once, rows.schema).dropDuplicates(["label", "print"]).select("text", "label")
+    return rows.mapInArrow(lean(once), rows.schema).dropDuplicates(["label", "print"]).select("text", "label")
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
@@ -101,7 +102,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", fit_rows:
             at = np.flatnonzero(values)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(values[at])], ["label", "bucket", "n"])
 
-    found = rows.mapInArrow(task, "label string, bucket bigint, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.mapInArrow(lean(task), "label string, bucket bigint, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(shares)
     sums = np.full((BUCKETS, len(languages)), 0.5)
     for i, name in enumerate(languages):
@@ -130,7 +131,7 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
             kept = [batch.column(n) for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(lengths), evidence], [*(n for n in batch.schema.names if n != "text"), "n_trigrams", "evidence"])
 
-    return rows.mapInArrow(task, f"{schema}, n_trigrams bigint, evidence array<double>")
+    return rows.mapInArrow(lean(task), f"{schema}, n_trigrams bigint, evidence array<double>")
 
 
 def smoothed(counts: list[Column], parent: list[Column], weight: float) -> list[Column]:

@@ -22,6 +22,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .words import slices
 
 MARK = "▁"
@@ -95,7 +96,7 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str | Colum
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), lists, pa.array(decoded, pa.string())], ["key", "ids", "decoded"])
 
-    return rows.mapInArrow(task, f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(task), f"key {kind}, ids array<int>, decoded string").withColumnRenamed("key", key)
 
 
 def decode(rows: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -109,4 +110,4 @@ def decode(rows: DataFrame, model: bytes, key: str = "doc_id", ids: str = "ids")
             texts = processor.decode(batch.column("ids").to_pylist(), num_threads=1)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())], ["key", "text"])
 
-    return rows.mapInArrow(task, f"key {kind}, text string").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(task), f"key {kind}, text string").withColumnRenamed("key", key)
