@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
+import os
 import random
+import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillflow.llm import recompression, repeats, sparse_suffixes
 from tillflow.llm.words import Fingerprints, shingles, window_prints
+from tillflow.session import shared_folder
 
 METHODS = [recompression, sparse_suffixes]
 
@@ -157,3 +162,41 @@ def test_words_of_one_kind_and_a_passage_in_a_third_of_all_documents(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
     for method in METHODS:
         assert result(method.without_repeats(df, width=20)) == plain(rows, 20)
+
+
+@pytest.mark.parametrize("bits", [repeats.FILTER_BITS, 1 << 15, 8])
+def test_a_filter_misses_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr(repeats, "FILTER_BITS", bits)
+    rows = spark.range(20_000).select(F.col("id"), (F.col("id") * 7 - 9).alias("tag"), F.lit("x").alias("text"))
+    got = repeats.likely(rows, rows.where("id % 50 = 0").select("tag", "id"), "id", "tag")
+    assert got.columns == ["id", "tag", "text", "likely"]
+    found = {r["id"]: r["likely"] for r in got.collect()}
+    assert len(found) == 20_000 and all(found[i] for i in range(0, 20_000, 50))
+    assert sum(found.values()) < 2_500 or bits == 8
+    assert not any(r["likely"] for r in repeats.likely(rows, rows.where("id < 0"), "id", "tag").collect())
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_a_filter_too_small_changes_no_result(spark, method, monkeypatch):
+    monkeypatch.setattr(repeats, "FILTER_BITS", 8)
+    rows = corpus(3)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert result(method.without_repeats(df, width=10)) == plain(rows, 10)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_texts_that_share_nothing_are_not_shuffled(spark, method, tmp_path):
+    draw = random.Random(5)
+    word = lambda: "%040x" % draw.getrandbits(160)
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(1_000)] + passage * (i % 100 == 0))) for i in range(400)]
+    # written, so that the operator reads it without a shuffle
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4).write.parquet(f"{tmp_path}/docs")
+    folder = os.environ.get("SPARK_LOCAL_DIRS") or spark.conf.get("spark.local.dir", tempfile.gettempdir())
+    shuffled = lambda: set(glob.glob(f"{folder}/blockmgr-*/*/shuffle_*.data"))
+    claims = lambda: set(glob.glob(f"{shared_folder(spark).removeprefix('file://')}/llm/claims-*/kind={repeats.CLAIM}"))
+    before, claimed = shuffled(), claims()
+    assert result(method.without_repeats(spark.read.parquet(f"{tmp_path}/docs"))) == plain(rows, 50)
+    sizes = [os.path.getsize(p) for p in shuffled() - before]
+    assert 0 < sum(sizes) < sum(len(t) for _, t in rows) / 4
+    assert claims() == claimed

@@ -6,7 +6,8 @@ words alone.
 
 1. Every document's distinct anchors are counted by document.  Anchors of one
    document only are done with.
-2. Documents get the list of their shared anchors; those without are done with.
+2. Documents get the list of their shared anchors; those without are done with,
+   and but for a few that a filter takes for others their texts are not shuffled.
 3. The windows at shared anchors are fingerprinted (96 bits, two functions).
    Within a task a window that a smaller document of the task also has is
    marked at once, so that a passage which a third of all documents hold
@@ -30,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import free, stored
+from .scratch import free, remove, stored
 from .words import Fingerprints, slices, split, window_prints
 
 #: Claims that a task holds before it sends them.
 HELD = 1_000_000
 #: Words of documents that are parsed at once.
 AT_ONCE = 100_000
+#: Bits of a filter: for each row that it holds, about, and in all, at most.
+ROW_BITS, FILTER_BITS = 16, 1 << 27
 DONE, OPEN, CLAIM, MARK, ALIAS = range(5)
 NULL_ID = (1 << 63) - 1
 #: (fingerprints of words, ends of documents, width) -> starts of windows, their anchors' names and, for some methods, places
@@ -74,6 +77,22 @@ def joined_hashes(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h for *_, h in rows]), np.cumsum([len(h) for *_, h in rows])
 
 
+def likely(rows: DataFrame, wanted: DataFrame, *names: str) -> DataFrame:
+    """Rows with a column ``likely``: true for all whose names are among those wanted, and for few others.
+
+    A filter of ``FILTER_BITS`` bits at most goes to all tasks; when it is too
+    small for what is wanted, more rows are likely.
+    """
+    bits = min(FILTER_BITS, max(1 << 15, 1 << (ROW_BITS * wanted.count()).bit_length()))
+    at = F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+    bucket, bit = F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")
+    maps = wanted.select(bucket, bit).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    byte = F.conv(F.hex(F.substring("map", F.shiftright("bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, F.col("bit").bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    asked = rows.select("*", bucket, bit).join(F.broadcast(maps), "bucket", "left")
+    return asked.select(*rows.columns, found.alias("likely"))
+
+
 def anchor_table(docs: DataFrame, anchors: Anchors, width: int) -> DataFrame:
     """Distinct (name, id, tag) of the windows of each document."""
 
@@ -300,12 +319,19 @@ def without_repeats(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).isNull().alias("none")
     ).select("id", F.xxhash64("text").alias("tag"), "text", "none")
     names = stored(anchor_table(rows.drop("none"), anchors, width), "anchors")
-    shared = names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name")
-    wanted = names.join(shared, "name").groupBy("id", "tag").agg(F.collect_list("name").alias("names"))
-    claims = stored(claim_table(rows.join(wanted.hint("shuffle_hash"), ["id", "tag"], "left"), anchors, width, with_text, pack), "claims", by="kind")
+    shared = stored(names.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("name"), "shared")
+    some = likely(names, shared, "name").where("likely").drop("likely")
+    wanted = stored(some.join(shared, "name").groupBy("id", "tag").agg(F.collect_list("name").alias("names")), "wanted")
     free(names)
-
-    found = settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "at", "data"))
+    free(shared)
+    rows = likely(rows, wanted, "id", "tag")
+    moved = rows.where("likely").join(wanted.hint("shuffle_hash"), ["id", "tag"], "left")
+    others = rows.where("NOT likely").withColumn("names", F.lit(None).cast("array<bigint>"))
+    claims = stored(claim_table(moved.unionByName(others).drop("likely"), anchors, width, with_text, pack), "claims", by="kind")
+    free(wanted)
+
+    found = stored(settle(claims.where(F.col("kind") == CLAIM).select("id", "tag", "name", "place", "at", "data")), "marks")
+    remove(claims.sparkSession, f"{claims._scratch}/kind={CLAIM}")
     found = found.unionByName(claims.where(F.col("kind") == MARK).select("id", "tag", "data"))
     aliases = claims.where(F.col("kind") == ALIAS).select("id", "tag", F.lit(None).cast("binary").alias("data"), F.col("data").alias("alias"))
     found = found.withColumn("alias", F.lit(None).cast("binary")).unionByName(aliases)
