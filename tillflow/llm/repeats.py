@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import lean
 from .scratch import free, remove, stored
 from .words import Fingerprints, slices, split, window_prints
 
@@ -112,7 +113,7 @@ def anchor_table(docs: DataFrame, anchors: Anchors, width: int) -> DataFrame:
             ids, tags = (np.array([o[c] for o, *_ in rows], np.int64) for c in ("id", "tag"))
             yield pa.RecordBatch.from_arrays([pa.array(names[new].view(np.int64)), pa.array(ids[doc[new]]), pa.array(tags[doc[new]])], ["name", "id", "tag"])
 
-    return docs.mapInArrow(task, "name bigint, id bigint, tag bigint")
+    return docs.mapInArrow(lean(task), "name bigint, id bigint, tag bigint")
 
 
 class Claims:
@@ -259,7 +260,7 @@ def claim_table(docs: DataFrame, anchors: Anchors, width: int, with_text: bool,
             yield as_batch(out)
         yield as_batch(list(claims.rows()))
 
-    return docs.mapInArrow(task, SCHEMA)
+    return docs.mapInArrow(lean(task), SCHEMA)
 
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
