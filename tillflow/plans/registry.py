@@ -19,7 +19,7 @@ from tillflow.sinks.curve import files_to_read
 from tillflow.sinks.tables import GOLD_TABLES, export_gold, export_manifest, write_csv, write_table
 from tillflow.sources.files import SourceMissing, csv_columns, find_silver, read_entity_csv, read_silver, require_sources, stored_tables, table
 from tillflow.sources.messages import decode_checked, decode_json
-from tillflow.sources.sample import feed, message_stream, messages, write_deliveries
+from tillflow.sources.sample import feed, message_steps, message_stream, messages, write_deliveries
 from tillflow.streaming.jobs import await_all, ingest_bronze_append, start_analytics, start_layers, start_medallion, start_quarantine
 from tillflow.streaming.dedupe import start_deduped
 from tillflow.streaming.late import start_split
@@ -125,7 +125,8 @@ DELIVERIES = 4
 def _delivered(m: Models, entity: str, start, found: DataFrame | None = None, count: int = DELIVERIES) -> None:
     """Delivers the messages slice by slice and runs the query of ``start`` after each until it has read all."""
     session, source = streaming_session(m.spark), m.stored("messages")
-    slices = write_deliveries(messages(m.spark, m.sf_dir, entity) if found is None else found, m.stored("slices"), count)
+    steps = message_steps(session, m.sf_dir, entity) if found is None else [found]
+    slices = write_deliveries(messages(session, m.sf_dir, entity) if found is None else found, m.stored("slices"), count, steps=steps)
     for i, folder in enumerate(slices):
         folders.move(m.spark, folder, f"{source}/{i:04d}")
         await_all([start(decode_json(message_stream(session, source), entity))])
@@ -363,7 +364,8 @@ def _all_streams(m: Models) -> dict[str, DataFrame]:
     session, streams = streaming_session(m.spark), {}
     for entity in ENTITIES:
         source = m.stored("messages")
-        (folder,) = write_deliveries(messages(m.spark, m.sf_dir, entity), m.stored("slices"), 1)
+        found, steps = (f(session, m.sf_dir, entity) for f in (messages, message_steps))
+        (folder,) = write_deliveries(found, m.stored("slices"), 1, steps=steps)
         folders.move(m.spark, folder, f"{source}/0")
         streams[entity] = decode_json(message_stream(session, source), entity)
     return streams

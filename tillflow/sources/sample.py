@@ -9,10 +9,11 @@ customers buy a few times only, some never.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.schemas import WIRE
+from tillflow.session import steps_of
 from tillflow.sinks.folders import names
 
 Tables = dict[str, DataFrame]
@@ -95,9 +96,17 @@ FEEDS = {
 }
 
 
-def feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+# Tables that are joined by a large shuffle, and the key by which steps take them.
+STEP_KEYS = {"purchases": {"lineitem": "l_orderkey", "orders": "o_orderkey"}}
+
+
+def feed(spark: SparkSession, sf_dir: str, entity: str, step: tuple[int, int] = (0, 1)) -> DataFrame:
+    """All records, or those of step ``i`` of ``n``."""
     derive, names = FEEDS[entity]
-    return derive(*given(spark, sf_dir, *names).values())
+    found, (i, n) = given(spark, sf_dir, *names), step
+    if n > 1:
+        found |= {t: found[t].where(F.pmod(F.xxhash64(key), F.lit(n)) == i) for t, key in STEP_KEYS[entity].items()}
+    return derive(*found.values())
 
 
 # A message's place in its topic: (timestamp, partition, offset), from columns that the wire format lacks.
@@ -112,32 +121,57 @@ PLACES = {
 MESSAGES = "value binary, timestamp timestamp, partition int, offset bigint"
 
 
-def messages(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The feed as JSON messages of a topic, and the time of each record (``at``).
+def messages(spark: SparkSession, sf_dir: str, entity: str, step: tuple[int, int] = (0, 1), **more: Column) -> DataFrame:
+    """The feed, or a step of it, as JSON messages of a topic, and the time of each record (``at``).
 
     Event types lose their padding and page urls too, as the live producer sends them clean.
+    ``more`` are further columns, of the records' fields.
     """
-    records = feed(spark, sf_dir, entity)
+    records = feed(spark, sf_dir, entity, step)
     if entity == "clickstream":
         records = records.withColumns({"event_type": F.trim("event_type"), "page_url": F.trim("page_url")})
     time, partition, offset = map(F.expr, PLACES[entity])
     return records.select(
         F.encode(F.to_json(F.struct(*WIRE[entity].names)), "UTF-8").alias("value"), time.alias("timestamp"),
         partition.cast("int").alias("partition"), offset.cast("long").alias("offset"), F.try_to_timestamp("signup_date" if entity == "customers" else "timestamp").alias("at"),
+        *[column.alias(name) for name, column in more.items()],
     )
 
 
-def write_deliveries(found: DataFrame, path: str, count: int) -> list[str]:
+def message_steps(spark: SparkSession, sf_dir: str, entity: str, **more: Column) -> list[DataFrame]:
+    """The messages in parts that are shuffled one at a time."""
+    rows = [spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table in STEP_KEYS.get(entity, ())]
+    count = steps_of(max(rows, default=0))
+    return [messages(spark, sf_dir, entity, (i, count), **more) for i in range(count)]
+
+
+def write_deliveries(found: DataFrame, path: str, count: int, last: str | None = None, steps: list[DataFrame] | None = None) -> list[str]:
     """Messages in ``count`` folders, in the order of their records' times; returns the folders that have any.
 
     Slices of equal length, so that records of equal times stay together; records without time come first.
+    Messages whose column ``last`` is true come in one more folder after all others; those where it is null don't come.
+    ``steps`` are parts of ``found``, written one after the other.
     """
-    low, high = found.agg(F.min("at").cast("double"), F.max("at").cast("double")).first()
+    if count == 1 and not last:
+        rows = 0
+        for part in steps or [found]:
+            seen = Observation()
+            part = part.drop("at").observe(seen, F.count(F.lit(1)).alias("rows"))
+            part.write.mode("append").option("compression", "zstd").parquet(f"{path}/delivery=0")
+            rows += seen.get["rows"]
+        return [f"{path}/delivery=0"] if rows else []
+    timed = found.where(~F.col(last)) if last else found
+    low, high = timed.agg(F.min("at").cast("double"), F.max("at").cast("double")).first()
     span = max((high or 0.0) - (low or 0.0), 1e-6)
     number = F.coalesce(F.floor((F.col("at").cast("double") - F.lit(low)) / span * count), F.lit(0))
-    found.withColumn("delivery", F.least(number, F.lit(count - 1)).cast("int")).drop("at").write.partitionBy("delivery").parquet(path)
+    number = F.least(number, F.lit(count - 1))
+    if last:
+        number = F.when(F.col(last), count).when(~F.col(last), number)
+    for part in steps or [found]:
+        part = part.withColumn("delivery", number.cast("int")).where("delivery IS NOT NULL").drop("at", *([last] if last else []))
+        part.write.mode("append").option("compression", "zstd").partitionBy("delivery").parquet(path)
     present = {name for name in names(found.sparkSession, path) if name.startswith("delivery=")}
-    return [f"{path}/delivery={i}" for i in range(count) if f"delivery={i}" in present]
+    return [f"{path}/delivery={i}" for i in range(count + bool(last)) if f"delivery={i}" in present]
 
 
 def message_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -12,9 +13,10 @@ from pyspark.sql.types import StructType
 from tillflow.operators.analytics import clickstream_analytics, customer_analytics, purchase_analytics
 from tillflow.operators.cleaning import message_quarantine, stream_filter
 from tillflow.operators.keyed import Order
-from tillflow.schemas import ENTITIES, KEYS
+from tillflow.schemas import ENTITIES, KEYS, TIME_FIELD
 from tillflow.sources.messages import ARRIVAL, decode_checked
 from tillflow.streaming.sinks import batch_folder, commit, latest, started, stream_snapshot, stream_to_files, stream_upsert
+from tillflow.streaming.windows import start_windows
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
 TRIGGERS = {
@@ -108,12 +110,13 @@ def start_analytics(
     def places(name: str) -> tuple[str, str]:
         return f"{root}/{name}", f"{checkpoints}/{name}"
 
-    clicks = clickstream_analytics(streams["clickstream"], run_ts, distinct)
-    sales = purchase_analytics(streams["purchases"], run_ts)
+    def windows(entity: str, measure: Callable[[DataFrame], DataFrame], name: str) -> StreamingQuery:
+        return start_windows(streams[entity], TIME_FIELD[entity], measure, *places(name), trigger, fmt, name)
+
     countries = customer_analytics(streams["customers"], run_ts)
     return [
-        stream_to_files(clicks, *places("clickstream_analytics"), trigger, fmt, "clickstream_analytics"),
-        stream_to_files(sales, *places("purchase_analytics"), trigger, fmt, "purchase_analytics"),
+        windows("clickstream", lambda rows: clickstream_analytics(rows, run_ts, distinct), "clickstream_analytics"),
+        windows("purchases", lambda rows: purchase_analytics(rows, run_ts), "purchase_analytics"),
         stream_snapshot(countries, *places("customer_analytics"), trigger, "customer_analytics"),
     ]
 

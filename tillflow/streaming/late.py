@@ -31,13 +31,20 @@ def committed_watermark(spark: SparkSession, checkpoint: str, batch_id: int) ->
     return int(found[0]["batchWatermarkMs"]) if found else 0
 
 
+def window_start(time: str, window_seconds: int = WINDOW_SECONDS) -> Column:
+    """Microseconds of the start of a row's window."""
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    return micros - F.pmod(micros, F.lit(window_seconds * 1_000_000))
+
+
+def has_ended(time: str, watermark_ms: int, window_seconds: int = WINDOW_SECONDS) -> Column:
+    """Whether a row's window ends at the watermark or before; that of a row without time does not."""
+    return F.coalesce(window_start(time, window_seconds) + window_seconds * 1_000_000 <= F.lit(watermark_ms * 1000), F.lit(False))
+
+
 def is_late(time: str, watermark_ms: int, window_seconds: int = WINDOW_SECONDS) -> Column:
     """Whether a row's window had ended at the watermark; a row without time is not late."""
-    if not watermark_ms:
-        return F.lit(False)
-    span = F.lit(window_seconds * 1_000_000)
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    return F.coalesce(micros - F.pmod(micros, span) + span <= F.lit(watermark_ms * 1000), F.lit(False))
+    return has_ended(time, watermark_ms, window_seconds) if watermark_ms else F.lit(False)
 
 
 def start_split(

@@ -17,7 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
@@ -69,6 +69,31 @@ def started(
     return triggered(writer, trigger).start()
 
 
+def held(batch: DataFrame, folder: str, **measures: Column) -> tuple[DataFrame, dict[str, object]]:
+    """A batch's rows, stored for as long as it is worked on, and aggregates of them; ``rows`` is always among these.
+
+    So the source is read and decoded once, however many passes the work takes.  The caller removes the folder.
+    """
+    seen = Observation()
+    rows = batch.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return batch.sparkSession.read.schema(batch.schema).parquet(folder), dict(seen.get)
+
+
+def write_steps(parts: list[DataFrame], folder: str, fmt: str = "parquet") -> None:
+    """Replaces a batch's folder by the rows of all parts, written one after the other; it is there once all are."""
+    spark, (store, _, place) = parts[0].sparkSession, folder.rpartition("/generation=")
+    to = folder if len(parts) == 1 else f"{store}/_steps-{place.replace('/batch=', '-')}"
+    for i, part in enumerate(parts):
+        writer = part.write.mode("append" if i else "overwrite").format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.save(to)
+    if to != folder:
+        folders.remove(spark, folder)
+        folders.move(spark, to, folder)
+
+
 def stream_to_files(
     df: DataFrame, path: str, checkpoint: str, trigger: str | None = None, fmt: str = "parquet", name: str | None = None
 ) -> StreamingQuery:
@@ -77,10 +102,7 @@ def stream_to_files(
         df = flatten_window(df)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").format(fmt)
-        if fmt == "csv":
-            writer = writer.option("header", True)
-        writer.save(batch_folder(batch, path, batch_id))
+        write_steps([batch], batch_folder(batch, path, batch_id), fmt)
 
     return started(df, write, checkpoint, trigger, name)
 
@@ -93,8 +115,16 @@ def read_batches(spark: SparkSession, path: str, schema: StructType, fmt: str =
 
 def latest(batch: DataFrame, keys: list[str], order_by: list[Order], columns: list[str] | None = None) -> DataFrame:
     """Of each key in a batch the row that arrived last; of equal places, the row that its task read last."""
-    numbered = batch.withColumn("__row", F.monotonically_increasing_id())
-    return upsert(numbered, keys, [*order_by, "__row"]).select(columns or batch.columns)
+    return latest_numbered(numbered(batch), keys, order_by).select(columns or batch.columns)
+
+
+def numbered(batch: DataFrame) -> DataFrame:
+    return batch.withColumn("__row", F.monotonically_increasing_id())
+
+
+def latest_numbered(batch: DataFrame, keys: list[str], order_by: list[Order]) -> DataFrame:
+    """As ``latest``, of rows that were numbered as their tasks read them."""
+    return upsert(batch, keys, [*order_by, "__row"])
 
 
 def stream_upsert(
