@@ -164,7 +164,7 @@ def test_deliveries(spark, folder):
     assert sample.write_deliveries(found.drop("last").where("false"), f"{folder}/none", 1) == []
 
 
-@pytest.mark.parametrize("name", ["stream_analytics_job_clickstream", "stream_analytics_job_purchases"])
+@pytest.mark.parametrize("name", ["stream_late_rows", "stream_analytics_job_clickstream", "stream_analytics_job_purchases"])
 def test_queries_in_steps(spark, tables, con, monkeypatch, name):
     """The same rows as by SQL, whatever the size of a step; no window ever is state."""
     monkeypatch.setattr(settings, "STEP_ROWS", 250)

@@ -36,6 +36,7 @@ from tillflow.streaming.sinks import (
     stream_to_files,
     stream_upsert,
 )
+from tillflow.streaming.windows import start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,15 +152,15 @@ def _stream_windows(m: Models, entity: str, measure, distinct: str | None = None
 
 def _late_rows(m: Models) -> DataFrame:
     """Purchases per window; the third line of every order comes after everything else, mostly too late."""
-    found = messages(m.spark, m.sf_dir, "purchases")
-    late = F.get_json_object(F.decode("value", "UTF-8"), "$.order_id").endswith("-3")
-    out, checkpoint = m.stored("stream"), m.stored("checkpoint")
-    start = lambda df: stream_to_files(analytics.purchase_analytics(df, RUN_TS), out, checkpoint, ONCE_THROUGH)
     session, source = streaming_session(m.spark), m.stored("messages")
-    slices = write_deliveries(found.where(~late), m.stored("slices"), DELIVERIES) + write_deliveries(found.where(late), m.stored("late"), 1)
-    for i, folder in enumerate(slices):
+    late = F.col("order_id").endswith("-3")
+    found, steps = (f(session, m.sf_dir, "purchases", late=late) for f in (messages, message_steps))
+    out, checkpoint = m.stored("stream"), m.stored("checkpoint")
+    measure = lambda rows: analytics.purchase_analytics(rows, RUN_TS)
+    for i, folder in enumerate(write_deliveries(found, m.stored("slices"), DELIVERIES, "late", steps)):
         folders.move(m.spark, folder, f"{source}/{i:04d}")
-        await_all([start(decode_json(message_stream(session, source), "purchases"))])
+        rows = decode_json(message_stream(session, source), "purchases").select(BRONZE["purchases"].names)
+        await_all([start_windows(rows, "timestamp", measure, out, checkpoint, ONCE_THROUGH)])
     schema = analytics.flatten_window(analytics.purchase_analytics(m.bronze("purchases"), RUN_TS)).schema
     return read_batches(m.spark, out, schema)
 
