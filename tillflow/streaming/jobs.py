@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,8 +14,12 @@ from tillflow.operators.analytics import clickstream_analytics, customer_analyti
 from tillflow.operators.cleaning import message_quarantine, stream_filter
 from tillflow.operators.keyed import Order
 from tillflow.schemas import ENTITIES, KEYS, TIME_FIELD
+from tillflow.session import steps_of
+from tillflow.sinks import folders
 from tillflow.sources.messages import ARRIVAL, decode_checked
-from tillflow.streaming.sinks import batch_folder, commit, latest, started, stream_snapshot, stream_to_files, stream_upsert
+from tillflow.streaming.sinks import (
+    batch_folder, commit, held, latest_numbered, numbered, started, stream_snapshot, stream_to_files, stream_upsert, write_steps,
+)
 from tillflow.streaming.windows import start_windows
 
 # Trigger of each layer's query; the keyed copies run as fast as possible.
@@ -66,6 +70,8 @@ def start_layers(
 ) -> StreamingQuery:
     """All three copies of one entity in one query, so its topic is read once and not three times.
 
+    A batch is stored once with the order in which its rows arrived, the keyed
+    copy is made of that in steps by key, and the silver copy of the bronze one.
     Every copy of a batch has a folder of its own: a batch that runs again
     replaces its files, whichever of the copies had been written.  Once all are,
     the batch is marked; ``read_committed`` shows marked batches only.
@@ -76,18 +82,18 @@ def start_layers(
     record = [c for c in stream.columns if c != ARRIVAL]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            copies = {
-                "bronze": batch.select(record),
-                "keyed": latest(batch, KEYS[entity], last, record),
-                "silver": stream_filter(entity, batch.select(record)),
-            }
-            for layer, df in copies.items():
-                df.write.mode("overwrite").parquet(batch_folder(batch, f"{root}/{layer}/{entity}", batch_id))
-            commit(batch, root, entity, batch_id)
-        finally:
-            batch.unpersist()
+        work, keys = f"{checkpoint}/held/{batch_id}", KEYS[entity]
+        bronze, keyed, silver = (batch_folder(batch, f"{root}/{layer}/{entity}", batch_id) for layer in ("bronze", "keyed", "silver"))
+        rows, seen = held(numbered(batch), work)
+        write_steps([rows.select(record)], bronze)
+        steps = steps_of(seen["rows"])
+        step = F.pmod(F.xxhash64(*keys), F.lit(steps))
+        parts = [rows.where(step == i) for i in range(steps)] if steps > 1 else [rows]
+        write_steps([latest_numbered(part, keys, last).select(record) for part in parts], keyed)
+        folders.remove(batch.sparkSession, work)
+        stored = batch.sparkSession.read.schema(batch.select(record).schema).parquet(bronze)
+        write_steps([stream_filter(entity, stored)], silver)
+        commit(batch, root, entity, batch_id)
 
     return started(stream, write, checkpoint, trigger, f"{entity}_layers")
 
